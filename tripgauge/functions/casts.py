@@ -67,6 +67,28 @@ def rounded(expr: str, digits: int) -> str:
     return f"(round(({expr}) * {scale}) / {scale})"
 
 
+def _halves(x: str) -> tuple[str, str]:
+    """A double as the sum of two with half the digits, so that products of them are exact."""
+    high = f"(134217729D * {x} - (134217729D * {x} - {x}))"
+    return high, f"({x} - {high})"
+
+
+def interpolated(low: str, high: str, weight: str) -> str:
+    """``low * (1 - weight) + high * weight`` with one rounding for the first product and sum.
+
+    A quantile is published with two decimals, so a value that lies half way between two of
+    them must come out as the fused multiply-add of the expected results leaves it. The
+    rounding error of the product and of the sum are computed and added back.
+    """
+    rest = f"(1D - {weight})"
+    a, b = f"({low} * {rest})", f"({high} * {weight})"
+    (xh, xl), (yh, yl) = _halves(low), _halves(rest)
+    product_error = f"((({xh} * {yh} - {a}) + {xh} * {yl} + {xl} * {yh}) + {xl} * {yl})"
+    s = f"({a} + {b})"
+    sum_error = f"(({a} - ({s} - ({s} - {a}))) + ({b} - ({s} - {a})))"
+    return f"({s} + ({sum_error} + {product_error}))"
+
+
 def seconds_between(start: str, end: str) -> str:
     """Elapsed seconds with microseconds, independent of the session time zone."""
     return f"CAST(CAST(CAST({end} - {start} AS INTERVAL SECOND) AS DECIMAL(18,6)) AS DOUBLE)"

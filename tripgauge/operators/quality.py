@@ -194,13 +194,13 @@ def publish_gate(counts: DataFrame, manifest: DataFrame, provenance: DataFrame,
         ("NOT retrieved",
          "'retrieval integrity check failed (API reconciliation or duplicates)'"),
         (f"{coverage} < {number(minimum)}",
-         f"format_string('valid coverage %.3f < min {minimum}', {coverage})"),
+         f"format_string('valid coverage %.3f < min {minimum}', {rounded(coverage, 3)})"),
     ]
     for r in executable:
         _, fail = contract.tolerances[r.id]
         reasons.append((
             f"{_rate(r)} > {number(fail)}",
-            f"format_string('rule {r.id} ({r.name}) FAIL rate=%.4f', {rounded(_rate(r), 6)})"))
+            f"format_string('rule {r.id} ({r.name}) FAIL rate=%.4f', {rounded(_rate(r), 4)})"))
     why = ", ".join(f"CASE WHEN {test} THEN {text} END" for test, text in reasons)
     return one.selectExpr(
         "raw_rows", "valid_rows", f"{rounded(coverage, 6)} AS coverage",

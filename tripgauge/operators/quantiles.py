@@ -17,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripgauge.functions.casts import exprs, ratio
+from tripgauge.functions.casts import exprs, interpolated, ratio
 from tripgauge.functions.scales import number
 
 # bins per power of two: a one-hour trip in microseconds shares its bin with about 40,000
@@ -113,7 +113,7 @@ def distribution(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[
         f"max({rows}) AS {rows}", *[f"max({f}) AS {f}" for f in flags], *ends))
     return groups.selectExpr(
         *keys, rows,
-        *[f"CASE WHEN _w{i} = 0 THEN _lo{i} ELSE _lo{i} * (1D - _w{i}) + _hi{i} * _w{i} END "
-          f"AS {name}" for i, name in enumerate(probs)],
+        *[f"CASE WHEN _w{i} = 0 THEN _lo{i} ELSE {interpolated(f'_lo{i}', f'_hi{i}', f'_w{i}')} "
+          f"END AS {name}" for i, name in enumerate(probs)],
         *[f"{f} AS {name}" for f, name in zip(flags, shares)],
     )

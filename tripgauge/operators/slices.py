@@ -114,7 +114,8 @@ def mix_adjusted(facts: DataFrame, scored: DataFrame, baseline: str) -> DataFram
             "sum(hits) / sum(n) AS trip_time_reliability"))
         .selectExpr(
             "month", f"{rounded('adjusted', 9)} AS mix_adjusted", "trip_time_reliability",
-            f"{rounded('(trip_time_reliability - adjusted) * 100D', 6)} AS gap_pts")
+            # adding zero turns a gap of -0.0 into 0.0
+            f"{rounded('(trip_time_reliability - adjusted) * 100D', 6)} + 0D AS gap_pts")
     )
 
 

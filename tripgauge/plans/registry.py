@@ -58,9 +58,10 @@ def _retype_try_cast(b: Fulfilment) -> DataFrame:
         "CASE l_linenumber WHEN 1 THEN date_format(l_shipdate, 'yyyy') WHEN 2 THEN 'unknown' "
         "WHEN 3 THEN date_format(l_shipdate, \"yyyy-MM-dd'T'HH:mm:ss\") "
         "ELSE CAST(l_shipdate AS STRING) END")
-    return retype(b.table("lineitem").selectExpr(
+    pages = b.table("lineitem").selectExpr(
         "l_orderkey AS order_key", f"{number} AS passenger_count", f"{number} AS trip_distance",
-        f"{stamp} AS tpep_pickup_datetime", "l_linestatus AS unmapped"))
+        f"{stamp} AS tpep_pickup_datetime", "l_linestatus AS unmapped")
+    return _texts(retype(pages), "tpep_pickup_datetime")
 
 
 def _json_props(b: Events) -> DataFrame:
