@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# a timestamp must start with a full calendar date: '2023' alone is not one
-_DATE_HEAD = r"r'^\s*\d{4}-\d{1,2}-\d{1,2}'"
-# java accepts '1.5d' and '2f' as numbers; a data file never means that
-_JAVA_SUFFIX = r"r'[0-9.][dDfF]\s*$'"
+# Text is checked before it is cast: a failing try_cast raises and catches an exception per
+# cell, which costs more than reading the row. Java's own notations ('1.5d') are no numbers.
+_NUMBER = r"r'(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|nan|inf(?:inity)?)\s*$'"
+_INTEGER = r"r'^\s*[+-]?\d{1,18}\s*$'"
 
 
 def exprs(*texts: str) -> list[Column]:
@@ -30,7 +30,7 @@ def _type_of(df: DataFrame, name: str) -> T.DataType:
 
 def to_double(expr: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.StringType):
-        return f"CASE WHEN NOT {expr} RLIKE {_JAVA_SUFFIX} THEN try_cast({expr} AS DOUBLE) END"
+        return f"CASE WHEN {expr} RLIKE {_NUMBER} THEN try_cast({expr} AS DOUBLE) END"
     return f"try_cast({expr} AS DOUBLE)"
 
 
@@ -39,14 +39,16 @@ def to_long(expr: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.IntegralType):
         return f"CAST({expr} AS BIGINT)"
     if isinstance(dtype, T.StringType):
-        rounded = f"try_cast(round({to_double(expr, dtype)}) AS BIGINT)"
-        return f"coalesce(try_cast({expr} AS BIGINT), {rounded})"
+        return (f"CASE WHEN {expr} RLIKE {_INTEGER} THEN CAST({expr} AS BIGINT) "
+                f"ELSE try_cast(round({to_double(expr, dtype)}) AS BIGINT) END")
     return f"try_cast(bround(try_cast({expr} AS DOUBLE)) AS BIGINT)"
 
 
 def to_timestamp(expr: str, dtype: T.DataType) -> str:
+    """A timestamp must start with a full calendar date: '2023' and '2023-01' are none."""
     if isinstance(dtype, T.StringType):
-        return f"CASE WHEN {expr} RLIKE {_DATE_HEAD} THEN try_cast({expr} AS TIMESTAMP_NTZ) END"
+        return (f"CASE WHEN locate('-', trim({expr}), 7) > 0 "
+                f"THEN try_cast({expr} AS TIMESTAMP_NTZ) END")
     return f"try_cast({expr} AS TIMESTAMP_NTZ)"
 
 

@@ -21,10 +21,12 @@ CARRIED_FLAGS = {
 
 
 def fact_trips(staged: DataFrame, contract: Contract) -> DataFrame:
-    """One row per valid trip. ``staged`` may carry the parsed columns or only the raw ones."""
-    rows = valid(staged)
-    if "t_pickup" not in rows.columns:
-        rows = parse_trip(rows)
+    """One row per valid trip of the staged table."""
+    return facts_of(parse_trip(valid(staged)), contract)
+
+
+def facts_of(rows: DataFrame, contract: Contract) -> DataFrame:
+    """Facts of rows known to be valid that carry the parsed columns and rule outcomes."""
     hour = "CAST(hour(t_pickup) AS BIGINT)"
     dow = "CAST(dayofweek(t_pickup) - 1 AS BIGINT)"  # Sunday is 0
     return rows.selectExpr(

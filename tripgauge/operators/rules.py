@@ -201,12 +201,20 @@ def reason_codes(contract: Contract, rules: Sequence[Rule] = RULES) -> str:
     return f"nullif(concat_ws(';', {failed}), '')"
 
 
-def stage(df: DataFrame, contract: Contract, rules: Sequence[Rule] = RULES,
-          keep_parsed: bool = False) -> DataFrame:
+def stage(df: DataFrame, contract: Contract, rules: Sequence[Rule] = RULES) -> DataFrame:
     """All rows, one outcome per rule and the reason codes, in a single projection."""
-    out = apply_rules(parse_trip(df), contract, rules).selectExpr(
-        "*", f"{reason_codes(contract, rules)} AS fail_reasons")
-    return out if keep_parsed else out.drop(*T_COLUMNS)
+    return apply_rules(parse_trip(df), contract, rules).selectExpr(
+        "*", f"{reason_codes(contract, rules)} AS fail_reasons").drop(*T_COLUMNS)
+
+
+def passing(df: DataFrame, contract: Contract, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The valid rows straight from the source, for jobs that need no staged table.
+
+    The quarantine rules form a plain conjunction (a NULL outcome keeps no row), so each of
+    them can be pushed towards the scan on its own.
+    """
+    out = apply_rules(parse_trip(df), contract, rules)
+    return out.where(" AND ".join(r.ok_column for r in quarantine_rules(contract, rules)))
 
 
 def quarantined(staged: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripgauge.contract import Contract
@@ -13,12 +13,6 @@ from tripgauge.operators.quantiles import distribution
 from tripgauge.operators.ruler import slow
 
 
-def latest_period(df: DataFrame) -> DataFrame:
-    """Rows of the last period only. The one-row maximum is broadcast and prunes the scan."""
-    last = df.selectExpr("max(month) AS month")
-    return df.join(F.broadcast(last), "month", "left_semi")
-
-
 def _slice(scored: DataFrame, keys: list[str], contract: Contract, slow_name: str) -> DataFrame:
     return rounded_quantiles(distribution(
         scored, keys, "duration_min", P50_P90,
@@ -50,25 +44,35 @@ def segments(scored: DataFrame, contract: Contract) -> DataFrame:
              "AS share_of_trips")
 
 
+def _top_of_last_period(table: DataFrame, k: int, *order: Column) -> DataFrame:
+    """The first k rows of the last period of a result table.
+
+    Sorted by period first, the k leading rows hold every row wanted; rows of an earlier
+    period are among them only when the last one has fewer than k, and are dropped.
+    """
+    top = table.orderBy(F.desc("month"), *order).limit(k)
+    return top.selectExpr("*", "max(month) OVER () AS _last").where("month = _last").drop("_last")
+
+
 def worst_hours(hourly: DataFrame, k: int = 3) -> DataFrame:
-    """The k hours with the highest slow share; equal shares go by hour."""
-    return hourly.orderBy(F.desc("slow_share"), "month", "hour").limit(k)
+    """The k hours of the last period with the highest slow share; equal shares go by hour."""
+    return _top_of_last_period(hourly, k, F.desc("slow_share"), F.asc("hour"))
 
 
 def worst_zones(zones: DataFrame, k: int = 5) -> DataFrame:
-    """The k rankable zones with the lowest reliability; equal ones go by zone id."""
-    return (
-        zones.where("rankable")
-        .orderBy("trip_time_reliability", "month", "pickup_zone_id").limit(k)
-    )
+    """The k rankable zones of the last period with the lowest reliability, ties by zone id."""
+    return _top_of_last_period(
+        zones, k, F.desc("rankable"), F.asc("trip_time_reliability"), F.asc("pickup_zone_id")
+    ).where("rankable")
 
 
 def zone_map_feed(zones: DataFrame) -> DataFrame:
+    """Zone and reliability for the map; zones with too few trips stay blank."""
     return zones.where("rankable").select("month", "pickup_zone_id", "trip_time_reliability")
 
 
-def exemplar_trips(facts: DataFrame, typical_min: float = 13.0) -> DataFrame:
-    """The fastest, a typical and the slowest trip: three running extremes, no sort.
+def exemplar_trips(facts: DataFrame, month: str, typical_min: float = 13.0) -> DataFrame:
+    """The fastest, a typical and the slowest trip of a period: three running extremes, no sort.
 
     Ties are decided by the remaining fields, and a trip that earns two titles keeps the first.
     """
@@ -80,7 +84,7 @@ def exemplar_trips(facts: DataFrame, typical_min: float = 13.0) -> DataFrame:
         "typical": f"abs(duration_min - {number(typical_min)})",
         "slowest": "-duration_min",
     }
-    picks = facts.selectExpr(*[f"min_by({trip}, struct({by}, {ties})) AS {title}"
+    picks = facts.where(F.col("month") == month).selectExpr(*[f"min_by({trip}, struct({by}, {ties})) AS {title}"
                                for title, by in titles.items()])
     rows = ", ".join(f"named_struct('ord', {i}, 'pick', '{title}', 'trip', {title})"
                      for i, title in enumerate(titles))

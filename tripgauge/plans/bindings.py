@@ -19,6 +19,7 @@ from tripgauge.contract import Contract
 from tripgauge.functions.casts import exprs, period_label
 from tripgauge.operators import facts as facts_op
 from tripgauge.operators import integrity, quality, ruler, rules
+from tripgauge.sources.tables import read_table
 
 EVENTS_CONTRACT = Contract(
     period_unit="week",
@@ -79,11 +80,11 @@ class Events:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return self.as_trips(self.table("events"))
+        return self.as_trips(read_table(self.spark, f"{self.dir}/events.parquet"))
 
     @cached_property
     def staged(self) -> DataFrame:
-        return rules.stage(self.raw, self.contract, keep_parsed=True)
+        return rules.stage(self.raw, self.contract)
 
     @cached_property
     def counts(self) -> DataFrame:
@@ -91,7 +92,7 @@ class Events:
 
     @cached_property
     def facts(self) -> DataFrame:
-        return facts_op.fact_trips(self.staged, self.contract)
+        return facts_op.facts_of(rules.passing(self.raw, self.contract), self.contract)
 
     @cached_property
     def ruler(self) -> DataFrame:
@@ -132,7 +133,7 @@ class Fulfilment:
     def lines(self) -> DataFrame:
         """Order lines with their order and both nations; keys decide, sizes are Spark's call."""
         return (
-            self.table("lineitem")
+            read_table(self.spark, f"{self.dir}/lineitem.parquet")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("customer").select("c_custkey", "c_nationkey"),
                   F.col("o_custkey") == F.col("c_custkey"))
@@ -184,7 +185,7 @@ class Fulfilment:
 
     @cached_property
     def staged(self) -> DataFrame:
-        return rules.stage(self.raw, self.contract, keep_parsed=True)
+        return rules.stage(self.raw, self.contract)
 
     @cached_property
     def counts(self) -> DataFrame:
@@ -196,7 +197,7 @@ class Fulfilment:
 
     @cached_property
     def facts(self) -> DataFrame:
-        return facts_op.fact_trips(self.staged, self.contract)
+        return facts_op.facts_of(rules.passing(self.raw, self.contract), self.contract)
 
     @cached_property
     def manifest(self) -> DataFrame:

@@ -30,6 +30,7 @@ from tripgauge.streaming.landing import stage_new_files
 Query = Callable[[SparkSession, str], DataFrame]
 
 OK_COLUMNS = [r.ok_column for r in rules.RULES]
+LAST_WHOLE_WEEK = "2024-01-22"
 ROW_ID = ["month", "order_key", "line_number"]
 
 
@@ -188,14 +189,13 @@ def _wide(b: Events) -> DataFrame:
     return metrics.metrics_wide(b.counts, b.facts, b.ruler, b.contract)
 
 
-def _zones(b: Events, latest: bool = False) -> DataFrame:
-    scored = slices.latest_period(b.scored) if latest else b.scored
+def _zones(b: Events, month: str | None = None) -> DataFrame:
+    scored = b.scored if month is None else b.scored.where(F.col("month") == month)
     return slices.zone_detail(scored, b.zone_lookup(), b.contract)
 
 
-def _hours(b: Events, latest: bool = False) -> DataFrame:
-    scored = slices.latest_period(b.scored) if latest else b.scored
-    return slices.hourly_detail(scored, b.contract)
+def _hours(b: Events) -> DataFrame:
+    return slices.hourly_detail(b.scored, b.contract)
 
 
 def _mix(b: Events) -> DataFrame:
@@ -288,11 +288,11 @@ def build() -> dict[str, Query]:
         "hourly_detail": ev(_hours),
         "zone_detail": ev(_zones),
         "segments": ev(lambda b: slices.segments(b.scored, b.contract)),
-        "worst_hours": ev(lambda b: slices.worst_hours(_hours(b, latest=True))),
-        "worst_zones": ev(lambda b: slices.worst_zones(_zones(b, latest=True))),
-        "zone_map_feed": ev(lambda b: slices.zone_map_feed(_zones(b, latest=True))),
+        "worst_hours": ev(lambda b: slices.worst_hours(_hours(b))),
+        "worst_zones": ev(lambda b: slices.worst_zones(_zones(b))),
+        "zone_map_feed": ev(lambda b: slices.zone_map_feed(_zones(b, LAST_WHOLE_WEEK))),
         "exemplar_trips": ev(lambda b: _texts(
-            slices.exemplar_trips(slices.latest_period(b.facts)), "pickup_ts", "dropoff_ts")),
+            slices.exemplar_trips(b.facts, LAST_WHOLE_WEEK), "pickup_ts", "dropoff_ts")),
         "mix_adjusted_reliability": ev(_mix),
         "mix_largest_gap": ev(lambda b: slices.largest_gap(_mix(b))),
     })

@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 from tripgauge.contract import COMPOSITE_KEY
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table, spread over the cores when the scan alone would not use them.
+
+    A row group is never split, so a small file is read by one task and everything up to the
+    next shuffle stays there. Tables with a split per core or more are left as they are.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_months(spark: SparkSession, base: str, months: Sequence[str] | None = None) -> DataFrame:
     """A table partitioned by ``month``; only the asked months' folders are opened."""
     df = spark.read.parquet(base).withColumn("month", F.col("month").cast("string"))
