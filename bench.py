@@ -18,7 +18,7 @@ from tripgauge.operators import rules
 from tripgauge.plans import pipeline, registry
 from tripgauge.plans.bindings import Fulfilment
 from tripgauge.session import SETTINGS
-from tripgauge.sources.tables import read_months, write_months
+from tripgauge.sources.tables import read_months, write_months, write_sorted_months
 
 HEADLINE = (
     "month_rule_counts", "rule_results", "publish_gate", "duplicate_audit",
@@ -57,7 +57,7 @@ def stages(spark: SparkSession, sf_dir: str) -> dict[str, float]:
     the month metrics, each writing its tables."""
     out = tempfile.mkdtemp(prefix="tripgauge-bench-")
     b = Fulfilment(spark, sf_dir)
-    write_months(b.raw, f"{out}/raw")
+    write_sorted_months(b.raw, f"{out}/raw")
     raw = read_months(spark, f"{out}/raw")
     provenance = raw.groupBy("month").count().selectExpr(
         "month", "count AS api_count", "count AS rows_stored", "true AS count_reconciled",

@@ -80,7 +80,7 @@ class Events:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return self.as_trips(read_table(self.spark, f"{self.dir}/events.parquet"))
+        return self.as_trips(read_table(self.spark, f"{self.dir}/events.parquet", "event_id"))
 
     @cached_property
     def staged(self) -> DataFrame:
@@ -133,7 +133,7 @@ class Fulfilment:
     def lines(self) -> DataFrame:
         """Order lines with their order and both nations; keys decide, sizes are Spark's call."""
         return (
-            read_table(self.spark, f"{self.dir}/lineitem.parquet")
+            read_table(self.spark, f"{self.dir}/lineitem.parquet", "l_orderkey")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("customer").select("c_custkey", "c_nationkey"),
                   F.col("o_custkey") == F.col("c_custkey"))

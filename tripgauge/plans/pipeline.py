@@ -27,21 +27,26 @@ class RunResult:
     valid_rows: int
 
 
+def _written(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """A small result table, written as one file and read back."""
+    df.repartition(1).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def validate(spark: SparkSession, raw: DataFrame, provenance: DataFrame, out: str,
              contract: Contract) -> dict:
     """Staged and quarantine tables and the report tables; aborts on schema or lost rows."""
     schema = quality.require_schema(raw)
-    manifest = require_files(build_manifest(raw, provenance))
-    write_months(rules.stage(raw, contract), f"{out}/staged")
+    manifest = require_files(_written(
+        spark, build_manifest(raw, provenance), f"{out}/manifest"))
     months = [r.month for r in manifest.select("month").collect()]
+
+    write_months(rules.stage(raw, contract), f"{out}/staged")
     staged = read_months(spark, f"{out}/staged", months)
     write_months(rules.quarantined(staged), f"{out}/quarantine")
 
-    # the counts are one row per month: write them once, every report below starts there
-    quality.period_counts(staged).coalesce(1).write.mode("overwrite").parquet(f"{out}/counts")
-    counts = spark.read.parquet(f"{out}/counts")
-    manifest.coalesce(1).write.mode("overwrite").parquet(f"{out}/manifest")
-    manifest = spark.read.parquet(f"{out}/manifest")
+    # one row per month: every report below starts from this table
+    counts = _written(spark, quality.period_counts(staged), f"{out}/counts")
     conservation = quality.row_conservation(counts, manifest)
     quality.require_conservation(conservation)
     reports = {
@@ -52,21 +57,17 @@ def validate(spark: SparkSession, raw: DataFrame, provenance: DataFrame, out: st
                                      schema_ok=schema["status"] == "PASS"),
     }
     for name, df in reports.items():
-        df.coalesce(1).write.mode("overwrite").parquet(f"{out}/report/{name}")
+        _written(spark, df, f"{out}/report/{name}")
     return {"staged": staged, "counts": counts}
 
 
 def compute_metrics(spark: SparkSession, counts: DataFrame, facts: DataFrame, lookup: DataFrame,
                     out: str, baseline: str, contract: Contract) -> None:
     facts = facts_op.scoped_to(facts, counts)
-    cells = ruler.build_ruler(facts, baseline, contract)
-    cells.coalesce(1).write.mode("overwrite").parquet(f"{out}/ruler")
-    cells = spark.read.parquet(f"{out}/ruler")
+    cells = _written(spark, ruler.build_ruler(facts, baseline, contract), f"{out}/ruler")
     scored = ruler.score(facts, cells)
-
-    wide = metrics.metrics_wide(counts, facts, cells, contract)
-    wide.coalesce(1).write.mode("overwrite").parquet(f"{out}/metrics/monthly_wide")
-    wide = spark.read.parquet(f"{out}/metrics/monthly_wide")
+    wide = _written(spark, metrics.metrics_wide(counts, facts, cells, contract),
+                    f"{out}/metrics/monthly_wide")
     reports = {
         "expected_duration_baseline": (cells, ["distance_band", "time_bucket"]),
         "metrics_monthly_wide": (wide, ["month"]),

@@ -15,9 +15,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
-    # the JVM never compiles methods above 8000 bytes of byte code: wide projections are
-    # faster split up than fused into one method that stays interpreted
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from tripgauge.contract import COMPOSITE_KEY
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table, spread over the cores when the scan alone would not use them.
+def read_table(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """A parquet table, spread over the cores by ``key`` when the scan would not use them.
 
     A row group is never split, so a small file is read by one task and everything up to the
     next shuffle stays there. Tables with a split per core or more are left as they are.
+    Spreading by a key needs no sort, which dealing rows out in turn does.
     """
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def read_months(spark: SparkSession, base: str, months: Sequence[str] | None = None) -> DataFrame:
@@ -45,4 +46,5 @@ def write_sorted_months(df: DataFrame, base: str, key: Sequence[str] = COMPOSITE
 
 def write_report_csv(df: DataFrame, path: str, *keys: str) -> None:
     """One CSV in key order. For the small result tables only."""
-    df.orderBy(*keys).coalesce(1).write.mode("overwrite").csv(path, header=True)
+    one = df.repartition(1).sortWithinPartitions(*keys)
+    one.write.mode("overwrite").csv(path, header=True)
