@@ -25,11 +25,13 @@ from tripgauge.functions.scales import number
 BINS_PER_OCTAVE = 65_536
 _ZERO = 1 << 28  # more than every possible bin of one sign: 2100 octaves
 _NAN = 1 << 40
+_LARGEST = "1.7976931348623157E308D"
 
 
 def value_bin(value: str) -> str:
     """Order-preserving bin of a double: equal or smaller values never get a larger bin."""
-    octave = f"CAST(floor(log2(abs({value})) * {BINS_PER_OCTAVE}D) AS BIGINT)"
+    size = f"least(abs({value}), {_LARGEST})"  # infinity shares the last bin
+    octave = f"CAST(floor(log2({size}) * {BINS_PER_OCTAVE}D) AS BIGINT)"
     return (f"CASE WHEN isnan({value}) THEN {_NAN}L WHEN {value} = 0 THEN 0L "
             f"WHEN {value} > 0 THEN {_ZERO}L + {octave} ELSE -({_ZERO}L + {octave}) END")
 
