@@ -22,10 +22,9 @@ from tripgauge.sources.tables import read_months, write_months, write_sorted_mon
 
 HEADLINE = (
     "month_rule_counts", "rule_results", "publish_gate", "duplicate_audit",
-    "count_reconciliation", "quarantine_rows", "fact_projection", "fact_projection_text",
-    "duration_quantiles", "ruler_p80", "m2_reliability", "m3_duration", "m5_slow_share",
-    "monthly_facts", "hourly_detail", "zone_detail", "segments", "worst_hours",
-    "mix_adjusted_reliability", "missing_metadata_cohort", "exemplar_trips",
+    "count_reconciliation", "quarantine_rows", "fact_projection", "duration_quantiles",
+    "ruler_p80", "m2_reliability", "m5_slow_share", "monthly_facts", "hourly_detail",
+    "zone_detail", "segments", "mix_adjusted_reliability",
 )
 
 

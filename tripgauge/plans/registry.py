@@ -108,6 +108,7 @@ def _incremental_counts(b: Events) -> DataFrame:
     """The events file taken by the landing stream, staged, then counted from the table."""
     base = scratch_dir(b.spark, "incremental")
     events = b.table("events")
+    # a file stream watches folders or patterns, so the one file is given as a pattern
     stage_new_files(b.spark, f"{b.dir}/event[s].parquet", events.schema, b.as_trips, b.contract,
                     f"{base}/staged", f"{base}/checkpoint")
     staged = b.spark.read.parquet(f"{base}/staged").withColumn(
