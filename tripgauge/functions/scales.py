@@ -12,6 +12,11 @@ def number(value: float) -> str:
     return f"{float(value)!r}D"
 
 
+def text(value: str) -> str:
+    """A string literal, whatever quotes the label holds."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def id_list(ids: Iterable[int]) -> str:
     return ", ".join(str(int(i)) for i in ids)
 
@@ -19,8 +24,8 @@ def id_list(ids: Iterable[int]) -> str:
 def banded(value: str, edges: Sequence[tuple[float | None, str]]) -> str:
     """Label of the first band whose upper edge is not exceeded; the open band otherwise."""
     *closed, (_, last) = edges
-    cases = " ".join(f"WHEN {value} <= {number(edge)} THEN '{label}'" for edge, label in closed)
-    return f"CASE {cases} ELSE '{last}' END"
+    cases = " ".join(f"WHEN {value} <= {number(edge)} THEN {text(label)}" for edge, label in closed)
+    return f"CASE {cases} ELSE {text(last)} END"
 
 
 def distance_band(distance: str, contract: Contract) -> str:

@@ -13,6 +13,7 @@ from tripgauge.operators.ruler import score, slow
 P50_P90 = {"duration_p50_min": 0.50, "duration_p90_min": 0.90}
 
 # metric register: field of the wide table -> id, name, grain, formula, link to the KPI
+# fixed values: fields, ids, names and grains
 METRIC_REGISTER: tuple[tuple[str, str, str, str, str, str], ...] = (
     ("valid_trip_rate", "M1", "valid_trip_rate", "month",
      "valid rows / raw rows", "gates the KPI"),

@@ -170,6 +170,14 @@ def integrity_checks(counts: DataFrame, provenance: DataFrame, contract: Contrac
         f"{duplicate_rate} AS duplicate_rate", f"{_retrieved(contract)} AS ok")
 
 
+# fixed values: the reasons a report is held for
+SCHEMA_REASON = "schema conformance FAIL"
+CONSERVATION_REASON = "row conservation broken (staged != manifest)"
+INTEGRITY_REASON = "retrieval integrity check failed (API reconciliation or duplicates)"
+COVERAGE_REASON = "valid coverage %.3f < min {minimum}"
+RULE_REASON = "rule {id} ({name}) FAIL rate=%.4f"
+
+
 # --- gate --------------------------------------------------------------------------------
 def publish_gate(counts: DataFrame, manifest: DataFrame, provenance: DataFrame,
                  contract: Contract, rules: Sequence[Rule] = RULES,
@@ -188,19 +196,19 @@ def publish_gate(counts: DataFrame, manifest: DataFrame, provenance: DataFrame,
         f"coalesce(bool_and({staged_only}), true) AS retrieved")
     coverage = f"coalesce({ratio('valid_rows', 'raw_rows')}, 0D)"
     minimum = contract.min_valid_coverage
+    low_coverage = COVERAGE_REASON.format(minimum=minimum)
     reasons = [
-        (f"NOT {str(schema_ok).lower()}", "'schema conformance FAIL'"),
-        ("NOT conserved", "'row conservation broken (staged != manifest)'"),
-        ("NOT retrieved",
-         "'retrieval integrity check failed (API reconciliation or duplicates)'"),
+        (f"NOT {str(schema_ok).lower()}", f"'{SCHEMA_REASON}'"),
+        ("NOT conserved", f"'{CONSERVATION_REASON}'"),
+        ("NOT retrieved", f"'{INTEGRITY_REASON}'"),
         (f"{coverage} < {number(minimum)}",
-         f"format_string('valid coverage %.3f < min {minimum}', {rounded(coverage, 3)})"),
+         f"format_string('{low_coverage}', {rounded(coverage, 3)})"),
     ]
     for r in executable:
         _, fail = contract.tolerances[r.id]
-        reasons.append((
-            f"{_rate(r)} > {number(fail)}",
-            f"format_string('rule {r.id} ({r.name}) FAIL rate=%.4f', {rounded(_rate(r), 4)})"))
+        text = RULE_REASON.format(id=r.id, name=r.name)
+        reasons.append((f"{_rate(r)} > {number(fail)}",
+                        f"format_string('{text}', {rounded(_rate(r), 4)})"))
     why = ", ".join(f"CASE WHEN {test} THEN {text} END" for test, text in reasons)
     return one.selectExpr(
         "raw_rows", "valid_rows", f"{rounded(coverage, 6)} AS coverage",

@@ -36,6 +36,12 @@ class Rule:
     fixed_status: str | None = None
     evidence: str | None = None
 
+    def __post_init__(self):
+        # both become column names and SQL text
+        for part in (self.id, self.name):
+            if not part.isidentifier():
+                raise ValueError(f"rule ids and names are plain identifiers, not {part!r}")
+
     @property
     def ok_column(self) -> str:
         return f"{self.id.lower()}_ok"
@@ -93,6 +99,7 @@ def _rule(id_: str, name: str, category: str, severity: str, owner: str, action:
     return Rule(id_, name, category, severity, owner, action, predicate)
 
 
+# fixed values: rule ids, names, categories and severities
 RULES: tuple[Rule, ...] = (
     _rule("R00", "timestamps_parseable", "technical", QUARANTINE, "data engineering",
           "set aside: without both times there is no duration",
@@ -147,6 +154,7 @@ RULES: tuple[Rule, ...] = (
 )
 
 # open questions and limits: no predicate can decide them, their status is fixed
+# fixed values: ids, names and categories
 FIXED_ENTRIES: tuple[Rule, ...] = (
     Rule("U1", "ratecode_99_undefined", "semantic", REPORT, "client",
          "ask the owner for a definition", None, "UNKNOWN", "seen as failures of R10"),
