@@ -91,3 +91,20 @@ def test_row_order_and_partitions_do_not_matter(spark, parts):
         got = sorted(map(tuple, distribution(df, ["g"], "v", {"p": 0.8}).collect()))
         want = want or got
         assert got == want
+
+
+def test_without_any_broadcast(spark):
+    """The way a large cluster takes: every join shuffled, AQE free to split it."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        rng = random.Random(4)
+        rows = [(rng.choice(["hot", "hot", "a", None]), round(rng.uniform(-9, 9), 1),
+                 rng.choice([True, False, None])) for _ in range(2000)]
+        _check(spark, rows)
+        df = spark.createDataFrame(rows, "g string, v double, ok boolean")
+        plan = distribution(df, ["g"], "v", PROBS)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
+    finally:
+        spark.conf.set(key, before)
