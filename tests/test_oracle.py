@@ -6,7 +6,9 @@ import __spark_entry__ as entry_points
 from compare import difference, oracle_connection
 from conftest import SF_SMALL
 
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+from tripgauge.plans import oracle, registry
+
+QUERIES, ORACLE = registry.build(), oracle.build()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +26,11 @@ def test_query_equals_sql(spark, con, name):
     assert difference(QUERIES[name](spark, SF_SMALL), con, ORACLE[name]) is None
 
 
+def test_entry_offers_every_query():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert ORACLE.items() <= entry_points.oracle_sql().items()
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 5
 
