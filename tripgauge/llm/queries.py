@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripgauge.llm.mixing import op1_mixing
+from tripgauge.llm.simhash import op2_simhash
 
 
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
+        "op2_simhash": op2_simhash,
     }
