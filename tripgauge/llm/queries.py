@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripgauge.llm.mixing import op1_mixing
 from tripgauge.llm.simhash import op2_simhash
+from tripgauge.llm.warc import op5_warc
 
 
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
         "op2_simhash": op2_simhash,
+        "op5_warc": op5_warc,
     }
