@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripgauge.llm.mixing import op1_mixing
 from tripgauge.llm.simhash import op2_simhash
+from tripgauge.llm.token_files import op6_token_files
 from tripgauge.llm.warc import op5_warc
 
 
@@ -16,4 +17,5 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mixing": op1_mixing,
         "op2_simhash": op2_simhash,
         "op5_warc": op5_warc,
+        "op6_token_files": op6_token_files,
     }
