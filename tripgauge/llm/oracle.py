@@ -2,6 +2,44 @@
 
 from __future__ import annotations
 
+TOPK = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+  WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT query_id, vec_id, score,
+         CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+EMBEDDING_DEDUP = """
+WITH RECURSIVE ok AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v
+  FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e)) / sqrt(list_inner_product(b.e, b.e)) >= 0.93),
+reach AS (
+  SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+least AS (SELECT u, least(u, min(v)) AS component_id FROM reach GROUP BY u),
+counted AS (SELECT u, count(*) AS n_links FROM links GROUP BY u)
+SELECT e.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links,
+       coalesce(component_id, e.vec_id) AS component_id,
+       coalesce(e.vec_id = coalesce(component_id, e.vec_id), true) AS kept
+FROM embeddings e LEFT JOIN least ON least.u = e.vec_id LEFT JOIN counted ON counted.u = e.vec_id
+"""
+
 
 def build() -> dict[str, str]:
-    return {}
+    return {"op8_exact_topk": TOPK, "op10_embedding_dedup": EMBEDDING_DEDUP}

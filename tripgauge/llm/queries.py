@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripgauge.llm.embedding_dedup import op10_embedding_dedup
 from tripgauge.llm.mixing import op1_mixing
 from tripgauge.llm.simhash import op2_simhash
 from tripgauge.llm.token_files import op6_token_files
+from tripgauge.llm.topk import op8_exact_topk
 from tripgauge.llm.warc import op5_warc
 
 
@@ -18,4 +20,6 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_simhash": op2_simhash,
         "op5_warc": op5_warc,
         "op6_token_files": op6_token_files,
+        "op8_exact_topk": op8_exact_topk,
+        "op10_embedding_dedup": op10_embedding_dedup,
     }

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from tripgauge.llm.common import settled
 from tripgauge.llm.components import components
+from tripgauge.llm.vectors import merge_labels
 
 
 def fingerprint(text: str | None, shingle: int = 4, seed: int = 42, block: int = 1 << 15) -> int:
@@ -100,19 +101,6 @@ def _descend(tree, values: np.ndarray, rows: np.ndarray, home: np.ndarray, slack
             yield from _descend(side, values, rows[may], (home & own)[may], slack)
 
 
-def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Give the ends of all links (a, b) the smaller label, in place, until nothing changes."""
-    while True:
-        x, y = label[a], label[b]
-        other = x != y
-        if not other.any():
-            return
-        a, b, x, y = a[other], b[other], x[other], y[other]
-        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
-        while not np.array_equal(jumped := label[label], label):
-            label[:] = jumped
-
-
 def _link_shard(prints: np.ndarray, band: np.ndarray, home: np.ndarray, slack: int, max_bits: int, label: np.ndarray,
                 leaf: int = 64, room: int = 1 << 20) -> None:
     """Merge the labels of every home row and every row within max_bits of it whose band is within slack."""
@@ -134,7 +122,7 @@ def _link_shard(prints: np.ndarray, band: np.ndarray, home: np.ndarray, slack: i
         for at in range(0, len(own), step):
             some = own[at : at + step]
             i, j = np.nonzero(_differ(prints[some][:, None], prints[all_rows][None, :]) <= max_bits)
-            _merge(label, some[i], all_rows[j])
+            merge_labels(label, some[i], all_rows[j])
 
 
 def linked_prints(prints: DataFrame, max_bits: int = 4, bands: int = 3, shard_rows: int = 4096, sample_rows: int = 8192,
@@ -163,7 +151,7 @@ def linked_prints(prints: DataFrame, max_bits: int = 4, bands: int = 3, shard_ro
                 for shard, at, home in _descend(tree, values & np.uint64(mask), rows, np.ones(len(rows), bool), slack):
                     yield pd.DataFrame({"shard": shard, "print": values[at].view(np.int64), "home": home})
 
-    def link(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def link(key, frame):
         # sorted, so that the smallest label of a group is its smallest fingerprint
         order = frame["print"].to_numpy().argsort(kind="stable")
         signed = frame["print"].to_numpy()[order]

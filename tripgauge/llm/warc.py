@@ -140,7 +140,7 @@ def _candidates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield from finish()
 
 
-def _walk(key, frame: pd.DataFrame) -> pd.DataFrame:
+def _walk(key, frame):
     """The candidates of one split that the chain through its entry meets; numbers only, no payload."""
     frame = frame.sort_values("offset")
     offset, successor = frame["offset"].to_numpy(), frame["successor"].to_numpy()
@@ -154,7 +154,7 @@ def _walk(key, frame: pd.DataFrame) -> pd.DataFrame:
     return frame.loc[met, ["file", "block", "offset"]]
 
 
-def _join_pieces(key, frame: pd.DataFrame) -> pd.DataFrame:
+def _join_pieces(key, frame):
     """One record from the pieces that the magics in its payload cut it into."""
     frame = frame.sort_values("at")
     size = int(frame["upto"].iloc[0] - key[1]) - len(MAGIC)
