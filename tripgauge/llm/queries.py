@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripgauge.llm.embedding_dedup import op10_embedding_dedup
+from tripgauge.llm.html_text import op4_html_text
 from tripgauge.llm.mixing import op1_mixing
 from tripgauge.llm.simhash import op2_simhash
 from tripgauge.llm.token_files import op6_token_files
@@ -18,6 +19,7 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
         "op2_simhash": op2_simhash,
+        "op4_html_text": op4_html_text,
         "op5_warc": op5_warc,
         "op6_token_files": op6_token_files,
         "op8_exact_topk": op8_exact_topk,
