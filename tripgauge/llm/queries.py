@@ -10,6 +10,7 @@ from tripgauge.llm.embedding_dedup import op10_embedding_dedup
 from tripgauge.llm.html_text import op4_html_text
 from tripgauge.llm.langid import op9_langid
 from tripgauge.llm.mixing import op1_mixing
+from tripgauge.llm.quality import op7_quality
 from tripgauge.llm.simhash import op2_simhash
 from tripgauge.llm.token_files import op6_token_files
 from tripgauge.llm.topk import op8_exact_topk
@@ -23,6 +24,7 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_html_text": op4_html_text,
         "op5_warc": op5_warc,
         "op6_token_files": op6_token_files,
+        "op7_quality": op7_quality,
         "op8_exact_topk": op8_exact_topk,
         "op9_langid": op9_langid,
         "op10_embedding_dedup": op10_embedding_dedup,
