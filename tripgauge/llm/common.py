@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +36,11 @@ def word_count(text: Column) -> Column:
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """True for the fold that no model learns from. A null id counts as held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(True))
+
+
+def kept_by_worker(name: str, make):
+    """What make() gives, made once per Python worker and used by all its tasks."""
+    held = sys.modules.setdefault("tripgauge_worker", types.ModuleType("tripgauge_worker")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 TOPK = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
@@ -42,4 +44,5 @@ FROM embeddings e LEFT JOIN least ON least.u = e.vec_id LEFT JOIN counted ON cou
 
 
 def build() -> dict[str, str]:
-    return {"op8_exact_topk": TOPK, "op10_embedding_dedup": EMBEDDING_DEDUP}
+    answers = {"op8_exact_topk": TOPK, "op10_embedding_dedup": EMBEDDING_DEDUP, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {name: sql for name, sql in answers.items() if sql}

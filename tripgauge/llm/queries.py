@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from tripgauge.llm.embedding_dedup import op10_embedding_dedup
 from tripgauge.llm.html_text import op4_html_text
 from tripgauge.llm.langid import op9_langid
 from tripgauge.llm.mixing import op1_mixing
+from tripgauge.llm.pieces import op3_pieces
 from tripgauge.llm.quality import op7_quality
 from tripgauge.llm.simhash import op2_simhash
 from tripgauge.llm.token_files import op6_token_files
@@ -21,6 +23,7 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
         "op2_simhash": op2_simhash,
+        "op3_pieces": op3_pieces,
         "op4_html_text": op4_html_text,
         "op5_warc": op5_warc,
         "op6_token_files": op6_token_files,
@@ -28,4 +31,5 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_topk": op8_exact_topk,
         "op9_langid": op9_langid,
         "op10_embedding_dedup": op10_embedding_dedup,
+        "pipeline": corpus_pipeline.run,
     }
