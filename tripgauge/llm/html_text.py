@@ -33,6 +33,7 @@ BLOCK = frozenset("address article aside blockquote body button center dd detail
                   " h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody"
                   " tfoot thead tr ul caption".split())
 LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote tr td th figcaption".split())
+HEADINGS = frozenset("h1 h2 h3".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 APART = frozenset("nav footer aside form menu dialog button fieldset".split())
 BOILERPLATE_NAMES = frozenset(
@@ -44,8 +45,9 @@ BOILERPLATE_NAMES = frozenset(
 CONTENT_NAMES = frozenset("article articlebody body content entry hentry main page post story text".split())
 
 #: Weights of the classifier: positive is content.
-WEIGHTS = {"bias": -1.5, "article": 4.0, "apart": -8.0, "header": -8.0, "boilerplate_name": -8.0, "content_name": 2.0, "hidden": -8.0,
-           "links": -5.0, "length": 0.5, "sentence": 0.5}
+WEIGHTS = {"bias": -1.0, "article": 4.0, "apart": -8.0, "header": -8.0, "boilerplate_name": -8.0, "content_name": 2.0, "hidden": -8.0,
+           "links": -5.0, "length": 0.75, "sentence": 0.5,
+           "heading": 0.5}
 #: Smoothness: next to each other in one container, next to each other otherwise, next in one container with others between.
 NEAR, TURN, BESIDE = 1.0, 0.3, 0.5
 
@@ -108,6 +110,7 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
                 words = text.count(" ") + 1
                 score += WEIGHTS["length"] * ((words // 8 + 1).bit_length() - 1)
                 score += WEIGHTS["sentence"] * (text[-1] in ".!?…。！？:;\"”»")
+                score += WEIGHTS["heading"] * (stack[-1].tag in HEADINGS)
                 out.append((text, score, id(container)))
                 held.append(container)
             parts.clear()

@@ -78,7 +78,7 @@ def splitting_tree(quotas: list[int], shards: int, seed: int) -> np.ndarray:
         for i, n in enumerate(have.tolist()):
             rest -= n
             if want and n:
-                left[i] = n if not rest else draw.hypergeometric(n, rest, want)
+                left[i] = draw.hypergeometric(n, rest, want) if rest else want
                 want -= int(left[i])
         deal(first, middle, left)
         deal(middle, last, have - left)

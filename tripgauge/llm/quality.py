@@ -114,24 +114,27 @@ def _pull_back(weights: list[np.ndarray], x: np.ndarray, by: np.ndarray, decay:
     return [x.T @ dh + decay * a, dh.sum(axis=0), h.T @ by + decay * c, np.array([by.sum()])]
 
 
-def class_prior(good: np.ndarray, other: np.ndarray, draw, hidden: int = 8, rounds: int = 300) -> float:
-    """Share of good rows among the other rows."""
-    g, o = draw.permutation(len(good)), draw.permutation(len(other))
-    fit_g, fit_o = good[g[::2]], other[o[::2]]
-    see_g, see_o = (good[g[1::2]], other[o[1::2]]) if min(len(good), len(other)) > 1 else (good, other)
-    weights = _network(good.shape[1], hidden, draw)
-    adam, x = Adam(weights, 0.02), np.vstack([fit_g, fit_o])
-    y = np.concatenate([np.ones(len(fit_g)), np.zeros(len(fit_o))])
-    each = np.where(y == 1, 0.5 / len(fit_g), 0.5 / len(fit_o))
-    for _ in range(rounds):
-        adam.step(_pull_back(weights, x, (_sigmoid(margin(weights, x)) - y) * each, 1e-3))
-    p, u = np.sort(margin(weights, see_g)), np.sort(margin(weights, see_o))
-    at = np.unique(np.concatenate([p, u]))
-    above_p, above_u = 1 - np.searchsorted(p, at) / len(p), 1 - np.searchsorted(u, at) / len(u)
-    doubt = np.sqrt(np.log(80) / 2 / len(p)) + np.sqrt(np.log(80) / 2 / len(u))
-    seen = above_p > 0
-    best = ((above_u + doubt)[seen] / above_p[seen]).argmin()
-    return float(np.clip((above_u[seen] / above_p[seen])[best], 0.05, 0.99))
+def class_prior(good: np.ndarray, other: np.ndarray, draw, hidden: int = 4, rounds: int = 200, halvings: int = 5) -> float:
+    """Share of good rows among the other rows: the median over several halvings of the sample."""
+    found = []
+    for _ in range(halvings):
+        g, o = draw.permutation(len(good)), draw.permutation(len(other))
+        fit_g, fit_o = good[g[::2]], other[o[::2]]
+        see_g, see_o = (good[g[1::2]], other[o[1::2]]) if min(len(good), len(other)) > 1 else (good, other)
+        weights = _network(good.shape[1], hidden, draw)
+        adam, x = Adam(weights, 0.02), np.vstack([fit_g, fit_o])
+        y = np.concatenate([np.ones(len(fit_g)), np.zeros(len(fit_o))])
+        each = np.where(y == 1, 0.5 / len(fit_g), 0.5 / len(fit_o))
+        for _ in range(rounds):
+            adam.step(_pull_back(weights, x, (_sigmoid(margin(weights, x)) - y) * each, 0.01))
+        p, u = np.sort(margin(weights, see_g)), np.sort(margin(weights, see_o))
+        at = np.unique(np.concatenate([p, u]))
+        above_p, above_u = 1 - np.searchsorted(p, at) / len(p), 1 - np.searchsorted(u, at) / len(u)
+        doubt = np.sqrt(np.log(80) / 2 / len(p)) + np.sqrt(np.log(80) / 2 / len(u))
+        seen = above_p > 0
+        best = ((above_u + doubt)[seen] / above_p[seen]).argmin()
+        found.append((above_u[seen] / above_p[seen])[best])
+    return float(np.clip(np.median(found), 0.05, 0.99))
 
 
 def fit_pu(good: np.ndarray, other: np.ndarray, prior: float, draw, hidden: int = 16, epochs: int = 40, batch: int = 512,
