@@ -1,68 +1,66 @@
-"""Trips made for the tests: one crafted row per rule, and plain sample months."""
+"""Trips made for the tests: one crafted row per case, and plain sample months."""
 
 from __future__ import annotations
 
 from tripgauge.contract import TRIP_COLUMNS
 
 COLUMNS = list(TRIP_COLUMNS)
-MONTH = "2023-01"
-
-_BASE = {
-    "vendorid": "2", "tpep_pickup_datetime": "2023-01-10 08:00:00",
-    "tpep_dropoff_datetime": "2023-01-10 08:20:00", "passenger_count": "1",
-    "trip_distance": "3.50", "ratecodeid": "1", "store_and_fwd_flag": "N", "payment_type": "1",
-    "fare_amount": "14.00", "extra": "0.50", "mta_tax": "0.50", "tip_amount": "3.05",
-    "tolls_amount": "0", "improvement_surcharge": "1.00", "airport_fee": "0",
-    "congestion_surcharge": "0", "total_amount": "18.35", "pulocationid": "132",
-    "dolocationid": "141",
-}
+MONTHS = ("2021-06", "2021-07")
+MONTH = MONTHS[0]
+PER_MONTH, MINUTES = 48, 24.0
 
+PLAIN = dict(zip(COLUMNS, (
+    "1", "2021-06-17 14:05:00", "2021-06-17 14:33:00", "2", "6.25", "3", "Y", "4", "21.40", "1.25", "0.30", "2.05",
+    "0.75", "0.25", "1.50", "2.50", "30.00", "77", "12")))
 
-def trip(**changes) -> dict:
-    return {**_BASE, **changes}
 
+def _times(pickup: str, dropoff: str) -> dict[str, str]:
+    return {"tpep_pickup_datetime": pickup, "tpep_dropoff_datetime": dropoff}
 
-def at(start: str, end: str) -> dict:
-    return {"tpep_pickup_datetime": start, "tpep_dropoff_datetime": end}
 
-
-# (row, rules it fails)
-CRAFTED: list[tuple[dict, set[str]]] = [
-    (trip(), set()),
-    (trip(**at("2023-01-10 09:00:00", "2023-01-10 09:00:00"), trip_distance="1.20",
-          fare_amount="7.00", total_amount="8.30"), {"R01"}),
-    (trip(**at("2023-01-10 10:00:00", "2023-01-10 09:00:00"), trip_distance="1.20",
-          fare_amount="7.00", total_amount="8.30"), {"R01"}),
-    (trip(**at("2023-01-09 08:00:00", "2023-01-11 08:00:00")), {"R02"}),
-    (trip(**at("2023-02-10 08:00:00", "2023-02-10 08:20:00")), {"R03"}),
-    (trip(pulocationid="999"), {"R04"}),
-    (trip(dolocationid="999"), {"R05"}),
-    (trip(trip_distance="0"), {"R06"}),
-    (trip(passenger_count="9"), {"R07"}),
-    (trip(fare_amount="-6.00", total_amount="-4.20"), {"R08"}),
-    (trip(total_amount="30.00"), {"R09"}),
-    (trip(ratecodeid="99"), {"R10"}),
-    (trip(store_and_fwd_flag="Q"), {"R11"}),
-    (trip(pulocationid="264"), {"R14"}),
-    (trip(**at("never", "soon")), {"R00", "R01", "R02", "R03"}),
-    (trip(vendorid="6", trip_distance="500", fare_amount="300", extra="0", mta_tax="0",
-          tip_amount="0", improvement_surcharge="1.00", total_amount="301",
-          store_and_fwd_flag="Y", ratecodeid="2", payment_type="2", dolocationid="1"), {"R06"}),
-    # further edges
-    (trip(trip_distance="NaN"), {"R06"}),
-    (trip(trip_distance=None), {"R06"}),
-    (trip(dolocationid="265"), {"R15"}),
-    (trip(payment_type="0"), {"R13"}),
-    (trip(vendorid="9"), {"R12"}),
-    (trip(store_and_fwd_flag="y"), set()),
-    (trip(passenger_count="1.0", pulocationid="132.0"), set()),
-    (trip(airport_fee=None, congestion_surcharge=None), set()),
-    (trip(tip_amount=None), {"R09"}),
-    (trip(tpep_pickup_datetime="2023"), {"R00", "R01", "R02", "R03"}),
-    (trip(pulocationid=None), {"R04", "R14"}),
-    (trip(ratecodeid=None, passenger_count=None, store_and_fwd_flag=None), {"R07", "R10", "R11"}),
-    (trip(**at("2023-01-10 08:00:00", "2023-01-11 08:00:00")), set()),  # exactly 24 hours
-]
+# case -> (cells that differ from the plain trip, rules that fail)
+CASES: dict[str, tuple[dict, str]] = {
+    "plain": ({}, ""),
+    "distance above the limit": ({"trip_distance": "200.01"}, "R06"),
+    "distance at the limit": ({"trip_distance": "200"}, ""),
+    "distance below zero": ({"trip_distance": "-1"}, "R06"),
+    "distance not a number": ({"trip_distance": "NaN"}, "R06"),
+    "distance missing": ({"trip_distance": None}, "R06"),
+    "one second over a day": (_times("2021-06-20 00:00:00", "2021-06-21 00:00:01"), "R02"),
+    "a whole day": (_times("2021-06-20 00:00:00", "2021-06-21 00:00:00"), ""),
+    "no time passes": (_times("2021-06-03 23:59:59", "2021-06-03 23:59:59"), "R01"),
+    "time runs back": (_times("2021-06-03 12:00:01", "2021-06-03 12:00:00"), "R01"),
+    "last second of the month before": (_times("2021-05-31 23:59:59", "2021-06-01 00:20:00"), "R03"),
+    "ends in the next month": (_times("2021-06-30 23:50:00", "2021-07-01 00:10:00"), ""),
+    "no readable times": (_times("no time", "-"), "R00 R01 R02 R03"),
+    "year only": ({"tpep_pickup_datetime": "2021"}, "R00 R01 R02 R03"),
+    "dropoff unreadable": ({"tpep_dropoff_datetime": "later"}, "R00 R01 R02"),
+    "pickup zone zero": ({"pulocationid": "0"}, "R04"),
+    "pickup zone beyond": ({"pulocationid": "266"}, "R04"),
+    "pickup zone missing": ({"pulocationid": None}, "R04 R14"),
+    "dropoff zone beyond": ({"dolocationid": "400"}, "R05"),
+    "dropoff zone missing": ({"dolocationid": None}, "R05 R15"),
+    "pickup placeholder": ({"pulocationid": "265"}, "R14"),
+    "dropoff placeholder": ({"dolocationid": "264"}, "R15"),
+    "no passenger": ({"passenger_count": "0"}, "R07"),
+    "seven passengers": ({"passenger_count": "7"}, "R07"),
+    "six passengers as a decimal": ({"passenger_count": "6.0"}, ""),
+    "negative total": ({"fare_amount": "-40.00", "total_amount": "-31.40"}, "R08"),
+    "parts off by more than five": ({"total_amount": "35.01"}, "R09"),
+    "parts off by five": ({"total_amount": "35.00"}, ""),
+    "tip missing": ({"tip_amount": None}, "R09"),
+    "late fees missing": ({"airport_fee": None, "congestion_surcharge": None}, ""),
+    "rate code beyond": ({"ratecodeid": "7"}, "R10"),
+    "no metadata": ({"ratecodeid": None, "passenger_count": None, "store_and_fwd_flag": None}, "R07 R10 R11"),
+    "flag unknown": ({"store_and_fwd_flag": "?"}, "R11"),
+    "flag in lower case": ({"store_and_fwd_flag": "n"}, ""),
+    "vendor unknown": ({"vendorid": "3"}, "R12"),
+    "vendor six": ({"vendorid": "6"}, ""),
+    "payment zero": ({"payment_type": "0"}, "R13"),
+    "several at once": ({"vendorid": "8", "trip_distance": "0", "pulocationid": "999", "payment_type": "11"}, "R04 R06 R12 R13"),
+}
+NAMES = list(CASES)
+CRAFTED: list[tuple[dict, set[str]]] = [({**PLAIN, **cells}, set(failed.split())) for cells, failed in CASES.values()]
 
 
 def crafted_frame(spark):
@@ -71,18 +69,18 @@ def crafted_frame(spark):
     return spark.createDataFrame(rows, schema)
 
 
-def sample_months(spark, months=("2023-01", "2023-02")):
-    """Per month 60 valid trips of half an hour; every zone has one trip."""
-    return spark.range(60).selectExpr(
-        f"explode(array({', '.join(repr(m) for m in months)})) AS month", "id AS k"
-    ).selectExpr(
-        "month", "2L AS vendorid",
-        "CAST(concat(month, '-10 ', lpad(CAST(8 + k % 10 AS STRING), 2, '0'), ':00:00') "
-        "AS TIMESTAMP_NTZ) AS tpep_pickup_datetime",
-        "1 + k % 4 AS passenger_count", "1D + (k % 40) / 4D AS trip_distance", "1L AS ratecodeid",
-        "'N' AS store_and_fwd_flag", "1L AS payment_type", "CAST(10 + k % 20 AS DOUBLE) "
-        "AS fare_amount", "0.5D AS extra", "0.5D AS mta_tax", "3.8D AS tip_amount",
-        "0D AS tolls_amount", "1D AS improvement_surcharge", "0D AS airport_fee",
-        "0D AS congestion_surcharge", "15.8D + k % 20 AS total_amount", "1 + k % 263 "
-        "AS pulocationid", "1 + (7 * k) % 263 AS dolocationid",
-    ).selectExpr("*", "tpep_pickup_datetime + INTERVAL '30' MINUTE AS tpep_dropoff_datetime")
+def sample_months(spark, months=MONTHS):
+    """Per month PER_MONTH valid trips of MINUTES each; every zone has one trip."""
+    parts = {"extra": 0.25, "mta_tax": 0.3, "tip_amount": 1.2, "tolls_amount": 0.0, "improvement_surcharge": 0.3,
+             "airport_fee": 0.0, "congestion_surcharge": 2.75}
+    fare = "6.5D + 0.25D * (k % 17)"
+    chosen = " UNION ALL ".join(f"SELECT '{m}' AS month" for m in months)
+    pickup = "CAST(month || '-01' AS DATE) + CAST(k % 27 AS INT)"
+    return spark.sql(f"""
+      SELECT m.month, 6L AS vendorid,
+        CAST({pickup} AS TIMESTAMP_NTZ) + make_dt_interval(0, CAST((k * 5) % 24 AS INT), 7) AS tpep_pickup_datetime,
+        CAST({pickup} AS TIMESTAMP_NTZ) + make_dt_interval(0, CAST((k * 5) % 24 AS INT), {7 + int(MINUTES)}) AS tpep_dropoff_datetime,
+        5 - k % 3 AS passenger_count, 0.6D + 1.7D * (k % 11) AS trip_distance, 2L AS ratecodeid, 'Y' AS store_and_fwd_flag,
+        2L AS payment_type, {fare} AS fare_amount, {', '.join(f'{v}D AS {n}' for n, v in parts.items())},
+        {fare} + {sum(parts.values())}D AS total_amount, 1 + (11 * k) % 263 AS pulocationid, 263 - k AS dolocationid
+      FROM (SELECT id AS k FROM range({PER_MONTH})) CROSS JOIN ({chosen}) m""")

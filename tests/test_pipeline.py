@@ -5,17 +5,16 @@ from pathlib import Path
 
 import pytest
 
-from fixtures import crafted_frame, sample_months
+from fixtures import MINUTES, MONTHS, PER_MONTH, crafted_frame, sample_months
 from tripgauge.contract import Contract, ContractAbort
 from tripgauge.plans import pipeline
 from tripgauge.sources.tables import read_months, write_months
 
-MONTHS = ("2023-01", "2023-02")
 CSVS = ("expected_duration_baseline", "metrics_monthly_wide", "metrics_monthly",
         "metrics_hourly_detail", "metrics_zone_detail", "metrics_segments")
 
 
-def _provenance(spark, rows=60):
+def _provenance(spark, rows=PER_MONTH):
     return spark.createDataFrame(
         [(m, rows, rows, True, 1, 0) for m in MONTHS],
         "month string, api_count bigint, rows_stored bigint, count_reconciled boolean, "
@@ -42,7 +41,7 @@ def run(spark, tmp_path_factory):
     for name in ("first", "second"):
         results.append(pipeline.run(
             spark, str(base / "raw"), _provenance(spark), _lookup(spark), str(base / name),
-            "2023-01", publish_required=True))
+            MONTHS[0], publish_required=True))
     after = {p: p.stat().st_mtime_ns for p in (base / "raw").rglob("*.parquet")}
     return {"base": base, "out": str(base / "first"), "results": results,
             "untouched": before == after}
@@ -50,7 +49,7 @@ def run(spark, tmp_path_factory):
 
 def test_published_with_all_rows(run):
     for result in run["results"]:
-        assert (result.gate_status, result.raw_rows, result.valid_rows) == ("PUBLISH", 120, 120)
+        assert (result.gate_status, result.raw_rows, result.valid_rows) == ("PUBLISH", 2 * PER_MONTH, 2 * PER_MONTH)
 
 
 def test_inputs_are_never_written(run):
@@ -60,7 +59,7 @@ def test_inputs_are_never_written(run):
 def test_layers_hold_the_same_rows(spark, run):
     staged = read_months(spark, run["out"] + "/staged")
     facts = read_months(spark, run["out"] + "/facts")
-    assert staged.count() == facts.count() == 120
+    assert staged.count() == facts.count() == 2 * PER_MONTH
     assert len(facts.columns) == 30 - 1  # the fact table's 29 columns
     assert not [c for c in facts.columns if "longitude" in c or "latitude" in c]
 
@@ -70,7 +69,7 @@ def test_reliability_of_equal_trips_is_one(run):
     assert [r["month"] for r in wide] == list(MONTHS)
     for r in wide:
         assert float(r["trip_time_reliability"]) == 1.0
-        assert float(r["duration_p50_min"]) == float(r["duration_p90_min"]) == 30.0
+        assert float(r["duration_p50_min"]) == float(r["duration_p90_min"]) == MINUTES
         assert float(r["valid_trip_rate"]) + float(r["invalid_trip_rate"]) == 1.0
 
 
@@ -85,7 +84,7 @@ def test_hours_zones_and_segments_hold_the_same_trips(run):
     hourly, zones, segments = (_csv(run["out"], f"metrics_{n}") for n in
                                ("hourly_detail", "zone_detail", "segments"))
     for rows in (hourly, zones, segments):
-        assert sum(int(r["trips"]) for r in rows) == 120
+        assert sum(int(r["trips"]) for r in rows) == 2 * PER_MONTH
     assert {r["segment"] for r in segments} == {"airport_zone", "city_zone"}
     for m in MONTHS:
         assert sum(float(r["share_of_trips"]) for r in segments
@@ -103,22 +102,22 @@ def test_second_run_gives_the_same_bytes(run):
 
 def test_months_subset(spark, run, tmp_path):
     result = pipeline.run(spark, str(run["base"] / "raw"), _provenance(spark), _lookup(spark),
-                          str(tmp_path), "2023-02", months=["2023-02"])
-    assert result.raw_rows == 60
-    assert [r["month"] for r in _csv(str(tmp_path), "metrics_monthly_wide")] == ["2023-02"]
+                          str(tmp_path), MONTHS[1], months=[MONTHS[1]])
+    assert result.raw_rows == PER_MONTH
+    assert [r["month"] for r in _csv(str(tmp_path), "metrics_monthly_wide")] == [MONTHS[1]]
 
 
 def test_hold_stops_a_required_publish(spark, run, tmp_path):
     with pytest.raises(ContractAbort, match="HOLD"):
-        pipeline.run(spark, str(run["base"] / "raw"), _provenance(spark, 61), _lookup(spark),
-                     str(tmp_path), "2023-01", publish_required=True)
+        pipeline.run(spark, str(run["base"] / "raw"), _provenance(spark, PER_MONTH + 1), _lookup(spark),
+                     str(tmp_path), MONTHS[0], publish_required=True)
 
 
 def test_missing_column_aborts(spark, tmp_path):
     write_months(sample_months(spark).drop("extra"), str(tmp_path / "raw"))
     with pytest.raises(ContractAbort, match="extra"):
         pipeline.run(spark, str(tmp_path / "raw"), _provenance(spark), _lookup(spark),
-                     str(tmp_path / "out"), "2023-01")
+                     str(tmp_path / "out"), MONTHS[0])
     assert not (tmp_path / "out").exists()
 
 
@@ -130,3 +129,56 @@ def test_quarantine_keeps_rows_with_reasons(spark, tmp_path):
     kept = read_months(spark, str(tmp_path / "out/quarantine"))
     assert kept.where("fail_reasons IS NULL").count() == 0
     assert kept.count() == staged.where("fail_reasons IS NOT NULL").count() > 0
+
+
+def _rows(spark, path):
+    df = read_months(spark, path)
+    return sorted(map(str, df.select(sorted(df.columns)).collect()))
+
+
+@pytest.mark.parametrize("first,second", [("broken", "whole"), ("whole", "broken")])
+def test_a_rerun_equals_a_fresh_folder(spark, tmp_path, first, second):
+    """A month loses all its valid rows, or all its quarantined ones."""
+    whole = sample_months(spark)
+    broken = whole.selectExpr("* EXCEPT (trip_distance)", f"IF(month = '{MONTHS[1]}', 0D, trip_distance) AS trip_distance")
+    for name, df in (("whole", whole), ("broken", broken)):
+        write_months(df, str(tmp_path / name))
+    go = lambda data, out: pipeline.run(
+        spark, str(tmp_path / data), _provenance(spark), _lookup(spark), str(tmp_path / out), MONTHS[0])
+    go(first, "again")
+    assert go(second, "again") == go(second, "fresh")
+    for layer in ("staged", "quarantine", "facts"):
+        old, new = tmp_path / "again" / layer, tmp_path / "fresh" / layer
+        assert sorted(p.name for p in old.glob("month=*")) == sorted(p.name for p in new.glob("month=*"))
+        if list(new.glob("month=*")):
+            assert _rows(spark, str(old)) == _rows(spark, str(new))
+    for name in CSVS:
+        assert _csv(str(tmp_path / "again"), name) == _csv(str(tmp_path / "fresh"), name)
+
+
+def test_baseline_outside_the_subset(spark, run, tmp_path):
+    pipeline.run(spark, str(run["base"] / "raw"), _provenance(spark), _lookup(spark), str(tmp_path), MONTHS[0], months=[MONTHS[1]])
+    for name in CSVS[1:]:
+        assert _csv(str(tmp_path), name) == [r for r in _csv(run["out"], name) if r["month"] == MONTHS[1]]
+    assert _csv(str(tmp_path), CSVS[0]) == _csv(run["out"], CSVS[0])
+
+
+def test_empty_ruler_aborts(spark, run, tmp_path):
+    with pytest.raises(ContractAbort, match="baseline"):
+        pipeline.run(spark, str(run["base"] / "raw"), _provenance(spark), _lookup(spark), str(tmp_path), "2019-01")
+
+
+def test_a_month_without_a_column_aborts(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    write_months(sample_months(spark), raw)
+    write_months(sample_months(spark, MONTHS[1:]).drop("congestion_surcharge"), raw)
+    with pytest.raises(ContractAbort, match="congestion_surcharge"):
+        pipeline.run(spark, raw, _provenance(spark), _lookup(spark), str(tmp_path / "out"), MONTHS[0])
+
+
+def test_repeated_provenance_counts_once(spark, run, tmp_path):
+    twice = _provenance(spark).union(_provenance(spark))
+    result = pipeline.run(spark, str(run["base"] / "raw"), twice, _lookup(spark), str(tmp_path / "a"), MONTHS[0])
+    assert (result.gate_status, result.raw_rows) == ("PUBLISH", 2 * PER_MONTH)
+    with pytest.raises(ContractAbort, match="contradicts"):
+        pipeline.run(spark, str(run["base"] / "raw"), twice.union(_provenance(spark, 7)), _lookup(spark), str(tmp_path / "b"), MONTHS[0])

@@ -1,6 +1,6 @@
 import pytest
 
-from fixtures import crafted_frame, sample_months
+from fixtures import MONTHS, PER_MONTH, crafted_frame, sample_months
 from tripgauge.contract import Contract, ContractAbort
 from tripgauge.operators import integrity, quality, rules
 
@@ -20,8 +20,9 @@ def _provenance(spark, *rows):
         list(rows), "month string, api_count bigint, composite_key_duplicates bigint")
 
 
-GOOD_MANIFEST = (("2023-01", 60), ("2023-02", 60))
-GOOD_PROVENANCE = (("2023-01", 60, 0), ("2023-02", 60, None))
+N, (ONE, TWO) = PER_MONTH, MONTHS
+GOOD_MANIFEST = ((ONE, N), (TWO, N))
+GOOD_PROVENANCE = ((ONE, N, 0), (TWO, N, None))
 
 
 def _gate(spark, manifest=GOOD_MANIFEST, provenance=GOOD_PROVENANCE, df=None, **kw):
@@ -32,17 +33,17 @@ def _gate(spark, manifest=GOOD_MANIFEST, provenance=GOOD_PROVENANCE, df=None, **
 
 def test_clean_months_are_published(spark):
     gate = _gate(spark)
-    assert (gate.status, gate.reasons, gate.raw_rows, gate.valid_rows) == ("PUBLISH", "", 120, 120)
+    assert (gate.status, gate.reasons, gate.raw_rows, gate.valid_rows) == ("PUBLISH", "", 2 * N, 2 * N)
 
 
 @pytest.mark.parametrize("change,reason", [
     ({"schema_ok": False}, "schema conformance FAIL"),
-    ({"manifest": (("2023-01", 60), ("2023-02", 61))}, "row conservation broken"),
-    ({"manifest": (("2023-01", 60),)}, "row conservation broken"),
-    ({"manifest": (*GOOD_MANIFEST, ("2023-03", 5))}, "row conservation broken"),
-    ({"provenance": (("2023-01", 60, 0), ("2023-02", 59, 0))}, "retrieval integrity"),
-    ({"provenance": (("2023-01", 60, 2), ("2023-02", 60, 0))}, "retrieval integrity"),
-    ({"provenance": (("2023-01", None, 0), ("2023-02", 60, 0))}, "retrieval integrity"),
+    ({"manifest": ((ONE, N), (TWO, N + 1))}, "row conservation broken"),
+    ({"manifest": ((ONE, N),)}, "row conservation broken"),
+    ({"manifest": (*GOOD_MANIFEST, ("2021-08", 5))}, "row conservation broken"),
+    ({"provenance": ((ONE, N, 0), (TWO, N - 1, 0))}, "retrieval integrity"),
+    ({"provenance": ((ONE, N, 2), (TWO, N, 0))}, "retrieval integrity"),
+    ({"provenance": ((ONE, None, 0), (TWO, N, 0))}, "retrieval integrity"),
     ({"provenance": ()}, "retrieval integrity"),
 ])
 def test_each_broken_proof_holds(spark, change, reason):
@@ -51,13 +52,13 @@ def test_each_broken_proof_holds(spark, change, reason):
 
 
 def test_one_duplicate_is_tolerated(spark):
-    assert _gate(spark, provenance=(("2023-01", 60, 1), ("2023-02", 60, 0))).status == "PUBLISH"
+    assert _gate(spark, provenance=((ONE, N, 1), (TWO, N, 0))).status == "PUBLISH"
 
 
 def test_failing_rules_hold_with_rate(spark):
     df = crafted_frame(spark)
     n = df.count()
-    gate = _gate(spark, (("2023-01", n),), (("2023-01", n, 0),), df)
+    gate = _gate(spark, ((ONE, n),), ((ONE, n, 0),), df)
     assert gate.status == "HOLD" and "valid coverage 0." in gate.reasons
     assert "rule R06 (distance_in_range) FAIL rate=0." in gate.reasons
 
@@ -75,7 +76,18 @@ def test_conservation_abort(spark):
         counts, _manifest(spark, *GOOD_MANIFEST)))
     with pytest.raises(ContractAbort):
         quality.require_conservation(quality.row_conservation(
-            counts, _manifest(spark, ("2023-01", 60), ("2023-02", 59))))
+            counts, _manifest(spark, (ONE, N), (TWO, N - 1))))
+
+
+def test_outputs_are_counted_on_their_own(spark):
+    staged = rules.stage(crafted_frame(spark), CONTRACT)
+    bad, good = rules.quarantined(staged), rules.valid(staged)
+    assert quality.conservation_of_outputs(staged, bad, good).first().ok
+    lost = quality.conservation_of_outputs(staged, bad, good.where("i > 0"))
+    with pytest.raises(ContractAbort):
+        quality.require_conservation(lost)
+    stale = good.union(good.limit(1).withColumn("month", rules.F.lit("2020-01")))
+    assert {r.month: r.ok for r in quality.conservation_of_outputs(staged, bad, stale).collect()} == {ONE: True, "2020-01": False}
 
 
 def test_results_tally_and_disclosures(spark):

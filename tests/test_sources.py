@@ -2,7 +2,7 @@ import gzip
 import hashlib
 import json
 
-from fixtures import sample_months
+from fixtures import MONTHS, PER_MONTH, sample_months
 from tripgauge.operators.integrity import duplicate_audit
 from tripgauge.sources import fingerprint, pages, reports, tables
 from tripgauge.streaming.landing import land_new_pages
@@ -15,61 +15,68 @@ def _page(folder, number, header, *rows):
 
 
 def test_pages_are_typed(spark, tmp_path):
-    header = ["vendorid", "tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance",
-              "pulocationid", "note"]
-    _page(tmp_path / "2023-01", 1, header, *[
-        f'2,"2023-01-10 08:0{i}:00","2023-01-10 08:0{i}:30",3.5,132,x' for i in range(4)])
-    df = pages.retype(pages.read_pages(spark, str(tmp_path / "2023-01")))
-    assert dict(df.dtypes) == {
-        "vendorid": "bigint", "tpep_pickup_datetime": "timestamp_ntz",
-        "tpep_dropoff_datetime": "timestamp_ntz", "trip_distance": "double",
-        "pulocationid": "bigint", "note": "string", "month": "string"}
+    lines = ['"2021-06-05 06:30:00",17.5,"4, maybe",9.75', '"soon",0.4,40,', '"2021-06-06 21:15:09",n/a,7,"1e2"']
+    _page(tmp_path / "2021-06", 3, ["TPEP_Pickup_Datetime", "trip_distance", "DOLocationID", "tip_amount"], *lines)
+    df = pages.retype(pages.read_pages(spark, str(tmp_path / "2021-06")))
+    kinds = dict(df.dtypes)
+    assert {k: kinds[k] for k in ("tpep_pickup_datetime", "trip_distance", "dolocationid", "month")} == {
+        "tpep_pickup_datetime": "timestamp_ntz", "trip_distance": "double", "dolocationid": "bigint", "month": "string"}
+    rows = sorted((str(r.tpep_pickup_datetime), r.trip_distance, r.dolocationid, r.tip_amount, r.vendorid, r.month) for r in df.collect())
+    assert rows == [("2021-06-05 06:30:00", 17.5, None, 9.75, None, "2021-06"),
+                    ("2021-06-06 21:15:09", None, 7, 100.0, None, "2021-06"), ("None", 0.4, 40, None, None, "2021-06")]
+    assert duplicate_audit(df).first().duplicates == 0
+
+
+def test_repeated_page_rows_are_duplicates(spark, tmp_path):
+    first, second = "88,2021-07-04 00:00:01,12.00", "13,2021-07-04 00:00:01,12.00"
+    header = ["pulocationid", "tpep_pickup_datetime", "total_amount"]
+    _page(tmp_path / "2021-07", 1, header, first, second, first)
+    _page(tmp_path / "2021-07", 2, header, second, second, first, "")
+    df = pages.retype(pages.read_pages(spark, str(tmp_path / "2021-07")))
     audit = duplicate_audit(df).first()
-    assert (audit.month, audit.rows, audit.duplicates) == ("2023-01", 4, 0)
+    assert (audit.month, audit.rows, audit.duplicates) == ("2021-07", 6, 4)
 
 
-def test_identical_page_rows_are_duplicates(spark, tmp_path):
-    row = '"2023-01-10 08:00:00","2023-01-10 08:30:00",3.5'
-    _page(tmp_path / "2023-01", 1,
-          ["tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance"], *[row] * 5)
-    df = pages.retype(pages.read_pages(spark, str(tmp_path / "2023-01")))
-    assert duplicate_audit(df).first().duplicates == 4
+def test_pages_are_read_once_and_without_lists(spark, tmp_path):
+    _page(tmp_path / "2021-07", 1, ["vendorid"], "1")
+    plan = pages.read_pages(spark, str(tmp_path / "2021-07"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
 
 
 def test_pages_with_other_column_orders_bind_by_name(spark, tmp_path):
-    _page(tmp_path / "2023-01", 1, ["trip_distance", "vendorid"], "1.5,2")
-    _page(tmp_path / "2023-01", 2, ["vendorid", "trip_distance"], "6,2.5")
-    _page(tmp_path / "2023-02", 1, ["vendorid"], "1", "1")
+    _page(tmp_path / "2021-06", 1, ["trip_distance", "vendorid"], "1.5,2")
+    _page(tmp_path / "2021-06", 2, ["vendorid", "trip_distance"], "6,2.5")
+    _page(tmp_path / "2021-07", 1, ["vendorid"], "1", "1")
     df = pages.retype(pages.read_pages(
-        spark, [str(tmp_path / "2023-01"), str(tmp_path / "2023-02")]))
+        spark, [str(tmp_path / "2021-06"), str(tmp_path / "2021-07")]))
     got = sorted((r.month, r.vendorid, r.trip_distance) for r in
                  df.na.fill(-1.0, ["trip_distance"]).collect())
-    assert got == [("2023-01", 2, 1.5), ("2023-01", 6, 2.5), ("2023-02", 1, -1.0),
-                   ("2023-02", 1, -1.0)]
+    assert got == [("2021-06", 2, 1.5), ("2021-06", 6, 2.5), ("2021-07", 1, -1.0),
+                   ("2021-07", 1, -1.0)]
 
 
 def test_landing_takes_each_page_once(spark, tmp_path):
     source, out = tmp_path / "landing", str(tmp_path / "raw")
     checkpoint = str(tmp_path / "checkpoint")
-    _page(source / "2023-01", 1, ["vendorid", "trip_distance"], "1,1.0", "2,2.0")
+    _page(source / "2021-06", 1, ["vendorid", "trip_distance"], "1,1.0", "2,2.0")
     land_new_pages(spark, str(source), out, checkpoint)
     assert spark.read.parquet(out).count() == 2
     land_new_pages(spark, str(source), out, checkpoint)
     assert spark.read.parquet(out).count() == 2
-    _page(source / "2023-02", 1, ["trip_distance", "vendorid"], "3.0,6")
+    _page(source / "2021-07", 1, ["trip_distance", "vendorid"], "3.0,6")
     land_new_pages(spark, str(source), out, checkpoint)
     rows = sorted((str(r.month), r.vendorid, r.trip_distance)
                   for r in tables.read_months(spark, out).collect())
-    assert rows == [("2023-01", 1, 1.0), ("2023-01", 2, 2.0), ("2023-02", 6, 3.0)]
+    assert rows == [("2021-06", 1, 1.0), ("2021-06", 2, 2.0), ("2021-07", 6, 3.0)]
 
 
 def test_zone_lookup_reads_na_as_missing(spark, tmp_path):
     path = tmp_path / "zones.csv"
-    path.write_text('"LocationID","Borough","Zone","service_zone"\n1,"EWR","Newark Airport","EWR"\n'
-                    '264,"Unknown","N/A","N/A"\n265,"N/A","Outside of NYC","N/A"\n')
+    path.write_text('"LocationID","Borough","Zone","service_zone"\n9,"North","Old Mill","x"\n'
+                    '31,"South","N/A","N/A"\n32,"N/A","Harbour","N/A"\n')
     rows = {r.pickup_zone_id: r for r in pages.read_zone_lookup(spark, str(path)).collect()}
-    assert rows[264].pickup_zone is None and rows[265].borough is None
-    assert rows[1].pickup_zone == "Newark Airport"
+    assert rows[31].pickup_zone is None and rows[32].borough is None
+    assert rows[9].pickup_zone == "Old Mill"
 
 
 def test_zone_pages(spark, tmp_path):
@@ -83,19 +90,47 @@ def test_zone_pages(spark, tmp_path):
 def _report(path):
     results = [
         {"month": m, "dataset": "d", "where": "w", "count_query": {"count": n, "status": s},
-         "rows": 60, "match": n == 60, "composite_key_duplicates": 0,
+         "rows": PER_MONTH, "match": n == PER_MONTH, "composite_key_duplicates": 0,
          "retrieval": {"page_count": 1, "raw_dir": "r"}}
-        for m, n, s in (("2023-01", 60, "OK"), ("2023-02", None, "UNKNOWN (Timeout)"))]
+        for m, n, s in ((MONTHS[0], PER_MONTH, "OK"), (MONTHS[1], None, "UNKNOWN (Timeout)"))]
     path.write_text(json.dumps({"retrieved_at": "t", "trips": {
-        "trips:2023": {"results": results, "totals": {}}}}, indent=1))
+        "trips:2021": {"results": results, "totals": {}}}}, indent=1))
 
 
 def test_nested_report_is_flattened(spark, tmp_path):
     path = tmp_path / "report.json"
     _report(path)
     rows = {r.month: r for r in reports.read_retrieval_report(spark, str(path)).collect()}
-    assert rows["2023-01"].api_count == 60 and rows["2023-01"].count_reconciled
-    assert rows["2023-02"].api_count is None and rows["2023-02"].count_status.startswith("UNKNOWN")
+    assert rows[MONTHS[0]].api_count == PER_MONTH and rows[MONTHS[0]].count_reconciled
+    assert rows[MONTHS[1]].api_count is None and rows[MONTHS[1]].count_status.startswith("UNKNOWN")
+
+
+def test_provenance_is_one_row_per_month(spark):
+    import pytest
+
+    from tripgauge.contract import ContractAbort
+    schema = "month string, api_count bigint"
+    same = spark.createDataFrame([("a", 1), ("a", 1), ("b", None)], schema)
+    assert reports.one_per_month(same).count() == 2
+    with pytest.raises(ContractAbort, match="contradicts"):
+        reports.one_per_month(same.union(spark.createDataFrame([("b", 5)], schema)))
+
+
+def test_a_cell_that_moves_past_a_missing_one_changes_the_fingerprint(spark):
+    def of(*row):
+        return spark.createDataFrame([row], "a string, b string, c string").selectExpr(fingerprint.rendered_row(["a", "b", "c"])).first()[0]
+
+    rows = [(None, "x", "y"), ("x", None, "y"), ("x", "y", None), ("", "x", "y"), ("x,1:y", None, None), ("-", "x", "y")]
+    assert len({of(*r) for r in rows}) == len(rows)
+
+
+def test_months_are_replaced_by_nothing_too(spark, tmp_path):
+    base, df = str(tmp_path / "t"), sample_months(spark)
+    tables.replace_months(df, base, MONTHS)
+    left = tables.replace_months(df.where("false"), base, [MONTHS[1]])
+    assert left.count() == 0 and left.columns[-1] == "month"
+    assert {r.month: r["count"] for r in tables.read_months(spark, base).groupBy("month").count().collect()} == {MONTHS[0]: PER_MONTH}
+    assert tables.replace_months(df.where("false"), str(tmp_path / "none"), MONTHS).count() == 0
 
 
 def test_missing_report_is_empty(spark, tmp_path):
@@ -106,19 +141,19 @@ def test_missing_report_is_empty(spark, tmp_path):
 def test_written_months_replace_only_themselves(spark, tmp_path):
     base = str(tmp_path / "t")
     tables.write_months(sample_months(spark), base)
-    tables.write_months(sample_months(spark, ("2023-02",)).limit(7), base)
+    tables.write_months(sample_months(spark, (MONTHS[1],)).limit(7), base)
     got = {r.month: r["count"] for r in
            tables.read_months(spark, base).groupBy("month").count().collect()}
-    assert got == {"2023-01": 60, "2023-02": 7}
+    assert got == {MONTHS[0]: PER_MONTH, MONTHS[1]: 7}
 
 
 def test_month_subset_prunes_folders(spark, tmp_path):
     base = str(tmp_path / "t")
     tables.write_months(sample_months(spark), base)
-    df = tables.read_months(spark, base, ["2023-02"])
-    assert df.count() == 60
+    df = tables.read_months(spark, base, [MONTHS[1]])
+    assert df.count() == PER_MONTH
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "2023-02" in plan
+    assert "PartitionFilters: [" in plan and MONTHS[1] in plan
 
 
 def test_sorted_months_are_in_key_order_and_zstd(spark, tmp_path):
@@ -153,7 +188,7 @@ def test_fingerprints(spark, tmp_path):
     assert row.sha256 == hashlib.sha256(file.read_bytes()).hexdigest()
     assert row.bytes == file.stat().st_size
     one = fingerprint.content_fingerprint(spark.read.parquet(str(base))).first()
-    assert (one["name"], one.row_count, one.header_column_count) == (file.name, 120, 20)
+    assert (one["name"], one.row_count, one.header_column_count) == (file.name, 2 * PER_MONTH, 20)
     other = tmp_path / "g"
     sample_months(spark).orderBy("pulocationid").coalesce(1).write.parquet(
         str(other))
@@ -168,5 +203,5 @@ def test_manifest_joins_provenance(spark, tmp_path):
     manifest = fingerprint.build_manifest(
         tables.read_months(spark, base), reports.read_retrieval_report(spark, str(path)))
     rows = {r.month: r for r in manifest.collect()}
-    assert rows["2023-01"].row_count == 60 and rows["2023-01"].count_reconciled is True
-    assert rows["2023-01"].bytes > 0 and rows["2023-02"].api_count is None
+    assert rows[MONTHS[0]].row_count == PER_MONTH and rows[MONTHS[0]].count_reconciled is True
+    assert rows[MONTHS[0]].bytes > 0 and rows[MONTHS[1]].api_count is None
