@@ -125,6 +125,8 @@ class Contract:
     ruler_percentile: float = 0.80
     min_zone_trips: int = 1000
     disclose_rate: float = 0.01
+    # how far the baseline period may score from the ruler's own percentile
+    fairness_tolerance: float = 0.01
     distance_bands: tuple[tuple[float | None, str], ...] = DEFAULT_DISTANCE_BANDS
     time_buckets: tuple[tuple[int | None, str], ...] = DEFAULT_TIME_BUCKETS
     residual_bands: tuple[tuple[float | None, str], ...] = DEFAULT_RESIDUAL_BANDS
@@ -159,11 +161,11 @@ class Contract:
                 rule: (float(t["warn"]), float(t["fail"]))
                 for rule, t in cfg["tolerances"].items()
             }
-        known = cls.__dataclass_fields__
-        values = {
-            k: tuple(v) if isinstance(v, list) else v for k, v in flat.items() if k in known
-        }
-        return cls(**values)
+        unknown = sorted(set(flat) - set(cls.__dataclass_fields__)) + sorted(
+            set(cfg) - {"zones", "limits", "kpi", "gate", "quarantine", "tolerances"})
+        if unknown:
+            raise ContractAbort(f"settings that no contract has: {unknown}")
+        return cls(**{k: tuple(v) if isinstance(v, list) else v for k, v in flat.items()})
 
 
 def require_publish(gate_status: str, contract: Contract) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tripgauge.contract import Contract
 from tripgauge.functions.casts import exprs, rounded
-from tripgauge.functions.scales import banded
+from tripgauge.functions.scales import banded, text
 from tripgauge.operators.quantiles import distribution
 from tripgauge.operators.rules import MONEY_PARTS, money_parts, parse_trip
 
@@ -27,8 +27,8 @@ TYPE_NAMES: dict[str, str] = {
 
 
 def type_name(dtype: T.DataType) -> str:
-    text = dtype.simpleString()
-    return TYPE_NAMES.get(text, text.upper())
+    name = dtype.simpleString()
+    return TYPE_NAMES.get(name, name.upper())
 
 
 def describe_columns(df: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def describe_columns(df: DataFrame) -> DataFrame:
     fields = list(enumerate(df.schema.fields))
     one = df.selectExpr("count(1) AS rows", *[f"count(`{f.name}`) AS have_{i}" for i, f in fields])
     rows = ", ".join(
-        f"named_struct('column_name', '{f.name}', 'column_type', '{type_name(f.dataType)}', "
+        f"named_struct('column_name', {text(f.name)}, 'column_type', '{type_name(f.dataType)}', "
         f"'rows', rows, 'nulls', rows - have_{i})" for i, f in fields)
     return one.selectExpr(f"inline(array({rows}))")
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from tripgauge.contract import TRIP_COLUMNS, Contract, ContractAbort
 from tripgauge.functions.casts import exprs, ratio, rounded
-from tripgauge.functions.scales import number
+from tripgauge.functions.scales import number, text
 from tripgauge.operators.rules import FIXED_ENTRIES, RULES, Rule, passes
 
 
@@ -31,6 +31,14 @@ def require_schema(df: DataFrame, wanted: Sequence[str] = tuple(TRIP_COLUMNS)) -
     return report
 
 
+def schema_table(df: DataFrame) -> DataFrame:
+    """The schema report as one row."""
+    report = schema_report([c for c in df.columns if c != "month"])
+    return df.sparkSession.createDataFrame(
+        [(report["status"], report["missing_columns"], report["unexpected_columns"])],
+        "status string, missing_columns array<string>, unexpected_columns array<string>")
+
+
 # --- counts ------------------------------------------------------------------------------
 def _executable(rules: Sequence[Rule]) -> list[Rule]:
     return [r for r in rules if r.predicate is not None]
@@ -43,7 +51,7 @@ def fails_column(rule: Rule) -> str:
 def period_counts(staged: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """Rows, valid rows, quarantined rows and failures per rule, per period, in one pass.
 
-    The two populations are counted each on its own, so their sum proves something.
+    What was written of them is counted by ``conservation_of_outputs``.
     """
     return staged.groupBy("month").agg(*exprs(
         "count(1) AS total_rows",
@@ -92,14 +100,16 @@ def _rate(rule: Rule) -> str:
 
 def _result_row(rule: Rule, failures: str, rate: str, warn: str, fail: str, status: str) -> str:
     return (
-        f"named_struct('id', '{rule.id}', 'name', '{rule.name}', 'category', '{rule.category}', "
-        f"'severity', '{rule.severity}', 'failures', {failures}, 'fail_rate', {rate}, "
-        f"'warn', {warn}, 'fail', {fail}, 'status', {status})")
+        f"named_struct('id', '{rule.id}', 'name', '{rule.name}', 'category', {text(rule.category)}, "
+        f"'severity', {text(rule.severity)}, 'failures', {failures}, 'fail_rate', {rate}, "
+        f"'warn', {warn}, 'fail', {fail}, 'status', {status}, 'description', {text(rule.description)}, "
+        f"'owner', {text(rule.owner)}, 'action', {text(rule.action)}, 'evidence', {text(rule.evidence or '')})")
 
 
 def rule_results(counts: DataFrame, contract: Contract, rules: Sequence[Rule] = RULES,
                  fixed: Sequence[Rule] = FIXED_ENTRIES) -> DataFrame:
-    """One row per rule with failures, rate and status; fixed entries follow with NULL counts.
+    """One row per rule with failures, rate and status, and what a reader needs beside them:
+    meaning, owner, action, evidence. Fixed entries follow with NULL counts.
 
     The sums form one row, which is unfolded into a row per rule: the data is read once.
     """
@@ -153,9 +163,23 @@ def row_conservation(counts: DataFrame, manifest: DataFrame) -> DataFrame:
         f"{_CONSERVED} AS ok")
 
 
+def conservation_of_outputs(staged: DataFrame, quarantine: DataFrame, facts: DataFrame) -> DataFrame:
+    """Rows of the written tables, each counted on its own, per period: staged = facts + quarantine.
+
+    Partial counts are combined before the shuffle; periods that any of the tables has are there.
+    """
+    parts = [df.groupBy("month").agg(*exprs(f"count(1) AS {name}")).selectExpr(
+        "month", *[f"{name if name == n else '0L'} AS {n}" for n in ("staged_rows", "quarantine_rows", "fact_rows")])
+        for df, name in ((staged, "staged_rows"), (quarantine, "quarantine_rows"), (facts, "fact_rows"))]
+    return parts[0].union(parts[1]).union(parts[2]).groupBy("month").agg(*exprs(
+        "sum(staged_rows) AS staged_rows", "sum(quarantine_rows) AS quarantine_rows",
+        "sum(fact_rows) AS fact_rows")).selectExpr(
+        "*", "staged_rows = quarantine_rows + fact_rows AS ok")
+
+
 def require_conservation(conservation: DataFrame) -> None:
     if not conservation.where("NOT ok").isEmpty():
-        raise ContractAbort("row conservation broken: staged rows differ from the manifest")
+        raise ContractAbort("row conservation broken: written rows differ from what was promised")
 
 
 def integrity_checks(counts: DataFrame, provenance: DataFrame, contract: Contract) -> DataFrame:
@@ -206,15 +230,15 @@ def publish_gate(counts: DataFrame, manifest: DataFrame, provenance: DataFrame,
     ]
     for r in executable:
         _, fail = contract.tolerances[r.id]
-        text = RULE_REASON.format(id=r.id, name=r.name)
+        reason = RULE_REASON.format(id=r.id, name=r.name)
         reasons.append((f"{_rate(r)} > {number(fail)}",
-                        f"format_string('{text}', {rounded(_rate(r), 4)})"))
-    why = ", ".join(f"CASE WHEN {test} THEN {text} END" for test, text in reasons)
+                        f"format_string('{reason}', {rounded(_rate(r), 4)})"))
+    why = ", ".join(f"CASE WHEN {test} THEN {said} END" for test, said in reasons)
     return one.selectExpr(
         "raw_rows", "valid_rows", f"{rounded(coverage, 6)} AS coverage",
         f"array_compact(array({why})) AS why",
     ).selectExpr(
-        f"CASE WHEN size(why) > 0 THEN '{contract.hold_label}' "
-        f"ELSE '{contract.publish_label}' END AS status",
+        f"CASE WHEN size(why) > 0 THEN {text(contract.hold_label)} "
+        f"ELSE {text(contract.publish_label)} END AS status",
         "raw_rows", "valid_rows", "coverage", "CAST(size(why) AS BIGINT) AS n_reasons",
         "concat_ws('; ', why) AS reasons")

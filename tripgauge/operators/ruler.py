@@ -70,4 +70,5 @@ def fairness(scored: DataFrame, baseline: str, contract: Contract) -> DataFrame:
     rate = share("on_time")
     return scored.where(F.col("month") == baseline).selectExpr(
         f"'{baseline}' AS month", "count(1) AS trips", f"{rate} AS trip_time_reliability",
-        f"abs({rate} - {number(contract.ruler_percentile)}) <= 0.01D AS fair")
+        f"abs({rate} - {number(contract.ruler_percentile)}) <= "
+        f"{number(contract.fairness_tolerance)} AS fair")

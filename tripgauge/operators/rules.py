@@ -35,6 +35,7 @@ class Rule:
     predicate: Predicate | None = None
     fixed_status: str | None = None
     evidence: str | None = None
+    description: str = ""
 
     def __post_init__(self):
         # both become column names and SQL text
@@ -96,7 +97,10 @@ def money_parts(optional: frozenset[str] | set[str] = LATE_SURCHARGES) -> str:
 
 def _rule(id_: str, name: str, category: str, severity: str, owner: str, action: str,
           predicate: Predicate) -> Rule:
-    return Rule(id_, name, category, severity, owner, action, predicate)
+    """``action`` is what is done and, after a colon, what the rule is about."""
+    done, _, about = action.partition(": ")
+    return Rule(id_, name, category, severity, owner, done, predicate,
+                evidence=f"failures of {id_} per period", description=about)
 
 
 # fixed values: rule ids, names, categories and severities
@@ -157,18 +161,23 @@ RULES: tuple[Rule, ...] = (
 # fixed values: ids, names and categories
 FIXED_ENTRIES: tuple[Rule, ...] = (
     Rule("U1", "ratecode_99_undefined", "semantic", REPORT, "client",
-         "ask the owner for a definition", None, "UNKNOWN", "seen as failures of R10"),
+         "ask the owner for a definition", None, "UNKNOWN", "seen as failures of R10",
+         "a rate code that the code list does not explain"),
     Rule("U2", "passenger_zero_or_high", "semantic", REPORT, "client",
-         "kept, flagged by R07", None, "UNKNOWN", "seen as failures of R07"),
+         "kept, flagged by R07", None, "UNKNOWN", "seen as failures of R07",
+         "no passenger, or more than a cab holds"),
     Rule("U3", "zero_distance_positive_fare", "semantic", REPORT, "client",
-         "set aside by R06, cause open", None, "UNKNOWN", "subset of the failures of R06"),
+         "set aside by R06, cause open", None, "UNKNOWN", "subset of the failures of R06",
+         "money without a distance"),
     Rule("U4", "vendor_id_6_undocumented", "semantic", REPORT, "client",
-         "accepted by R12 for now", None, "UNKNOWN", "vendor 6 is in the known set"),
+         "accepted by R12 for now", None, "UNKNOWN", "vendor 6 is in the known set",
+         "a vendor that the code list lacks"),
     Rule("U5", "missing_trip_metadata_cohort", "semantic", REPORT, "client",
          "kept, flagged by R10, R11 and R13", None, "UNKNOWN",
-         "see the missing-metadata cohort profile"),
+         "see the missing-metadata cohort profile", "rows without any trip metadata"),
     Rule("L1", "meter_accuracy_disclaimer", "organizational", REPORT, "source owner",
-         "recorded: validation cannot repair it", None, "UNKNOWN", "published by the source"),
+         "recorded: validation cannot repair it", None, "UNKNOWN", "published by the source",
+         "the source does not vouch for its meters"),
 )
 
 

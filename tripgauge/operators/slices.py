@@ -71,8 +71,14 @@ def zone_map_feed(zones: DataFrame) -> DataFrame:
     return zones.where("rankable").select("month", "pickup_zone_id", "trip_time_reliability")
 
 
-def exemplar_trips(facts: DataFrame, month: str, typical_min: float = 13.0) -> DataFrame:
-    """The fastest, a typical and the slowest trip of a period: three running extremes, no sort.
+def latest(df: DataFrame) -> DataFrame:
+    """Rows of the last period that there is. Periods sort as text."""
+    last = df.select(F.max("month").alias("last_month"))
+    return df.join(last, F.col("month") == F.col("last_month"), "left_semi")
+
+
+def exemplar_trips(facts: DataFrame, typical_min: float = 13.0) -> DataFrame:
+    """The fastest, a typical and the slowest trip: three running extremes, no sort.
 
     Ties are decided by the remaining fields, and a trip that earns two titles keeps the first.
     """
@@ -84,7 +90,7 @@ def exemplar_trips(facts: DataFrame, month: str, typical_min: float = 13.0) -> D
         "typical": f"abs(duration_min - {number(typical_min)})",
         "slowest": "-duration_min",
     }
-    picks = facts.where(F.col("month") == month).selectExpr(*[f"min_by({trip}, struct({by}, {ties})) AS {title}"
+    picks = facts.selectExpr(*[f"min_by({trip}, struct({by}, {ties})) AS {title}"
                                for title, by in titles.items()])
     rows = ", ".join(f"named_struct('ord', {i}, 'pick', '{title}', 'trip', {title})"
                      for i, title in enumerate(titles))

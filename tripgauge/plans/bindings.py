@@ -19,7 +19,6 @@ from tripgauge.contract import Contract
 from tripgauge.functions.casts import exprs, period_label
 from tripgauge.operators import facts as facts_op
 from tripgauge.operators import integrity, quality, ruler, rules
-from tripgauge.sources.tables import read_table
 
 EVENTS_CONTRACT = Contract(
     period_unit="week",
@@ -80,7 +79,7 @@ class Events:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return self.as_trips(read_table(self.spark, f"{self.dir}/events.parquet", "event_id"))
+        return self.as_trips(self.table("events"))
 
     @cached_property
     def staged(self) -> DataFrame:
@@ -133,7 +132,7 @@ class Fulfilment:
     def lines(self) -> DataFrame:
         """Order lines with their order and both nations; keys decide, sizes are Spark's call."""
         return (
-            read_table(self.spark, f"{self.dir}/lineitem.parquet", "l_orderkey")
+            self.table("lineitem")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("customer").select("c_custkey", "c_nationkey"),
                   F.col("o_custkey") == F.col("c_custkey"))
@@ -201,7 +200,10 @@ class Fulfilment:
 
     @cached_property
     def manifest(self) -> DataFrame:
-        return self.raw.groupBy("month").agg(*exprs("count(1) AS row_count"))
+        """Rows, and bytes of the time cells as they were landed."""
+        landed = "octet_length(tpep_pickup_datetime) + octet_length(tpep_dropoff_datetime)"
+        return self.raw.groupBy("month").agg(*exprs(
+            "count(1) AS row_count", f"sum({landed}) AS bytes"))
 
     @cached_property
     def provenance(self) -> DataFrame:

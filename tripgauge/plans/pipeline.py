@@ -11,12 +11,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripgauge.contract import Contract, require_publish
+from tripgauge.contract import Contract, ContractAbort, require_publish
 from tripgauge.operators import facts as facts_op
 from tripgauge.operators import metrics, quality, ruler, rules, slices
 from tripgauge.operators.integrity import require_files
+from tripgauge.sources import reports
 from tripgauge.sources.fingerprint import build_manifest
-from tripgauge.sources.tables import read_months, write_months, write_report_csv
+from tripgauge.sources.tables import read_months, replace_months, write_report_csv
 
 
 @dataclass(frozen=True)
@@ -33,42 +34,65 @@ def _written(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def require_month_schemas(spark: SparkSession, raw_base: str, months: Sequence[str]) -> dict:
+    """Every month's own columns, from its own files: a table read whole would hide a gap."""
+    reports = {m: quality.require_schema(spark.read.parquet(f"{raw_base}/month={m}")) for m in months}
+    return {"status": "PASS", "months": reports}
+
+
 def validate(spark: SparkSession, raw: DataFrame, provenance: DataFrame, out: str,
-             contract: Contract) -> dict:
-    """Staged and quarantine tables and the report tables; aborts on schema or lost rows."""
-    schema = quality.require_schema(raw)
+             contract: Contract, raw_base: str | None = None) -> dict:
+    """Staged, quarantine and fact tables and the report tables.
+
+    Aborts on a month without a contract column, on contradicting provenance and on lost rows.
+    Every layer's months of this run are replaced, also by nothing.
+    """
+    quality.require_schema(raw)
     manifest = require_files(_written(
-        spark, build_manifest(raw, provenance), f"{out}/manifest"))
-    months = [r.month for r in manifest.select("month").collect()]
+        spark, build_manifest(raw, reports.one_per_month(provenance)), f"{out}/manifest"))
+    months = [r.month for r in manifest.select("month").collect()]  # bounded by the calendar
+    if raw_base is not None:
+        require_month_schemas(spark, raw_base, months)
 
-    write_months(rules.stage(raw, contract), f"{out}/staged")
-    staged = read_months(spark, f"{out}/staged", months)
-    write_months(rules.quarantined(staged), f"{out}/quarantine")
+    staged = replace_months(rules.stage(raw, contract), f"{out}/staged", months)
+    quarantine = replace_months(rules.quarantined(staged), f"{out}/quarantine", months)
+    facts = replace_months(facts_op.fact_trips(staged, contract), f"{out}/facts", months)
 
     # one row per month: every report below starts from this table
     counts = _written(spark, quality.period_counts(staged), f"{out}/counts")
     conservation = quality.row_conservation(counts, manifest)
     quality.require_conservation(conservation)
-    reports = {
-        "rule_results": quality.rule_results(counts, contract),
+    outputs = _written(spark, quality.conservation_of_outputs(staged, quarantine, facts),
+                       f"{out}/report/conservation_of_outputs")
+    quality.require_conservation(outputs)
+    results = quality.rule_results(counts, contract)
+    tables = {
+        "rule_results": results,
+        "schema": quality.schema_table(raw),
+        "totals": quality.contract_totals(counts),
+        "status_tally": quality.status_tally(results),
         "row_conservation": conservation,
         "integrity_checks": quality.integrity_checks(counts, manifest, contract),
-        "gate": quality.publish_gate(counts, manifest, manifest, contract,
-                                     schema_ok=schema["status"] == "PASS"),
+        "gate": quality.publish_gate(counts, manifest, manifest, contract),
     }
-    for name, df in reports.items():
+    for name, df in tables.items():
         _written(spark, df, f"{out}/report/{name}")
-    return {"staged": staged, "counts": counts}
+    return {"staged": staged, "counts": counts, "facts": facts}
 
 
 def compute_metrics(spark: SparkSession, counts: DataFrame, facts: DataFrame, lookup: DataFrame,
-                    out: str, baseline: str, contract: Contract) -> None:
+                    out: str, baseline: str, contract: Contract,
+                    baseline_facts: DataFrame | None = None) -> None:
+    """The scope applies to what is scored; the ruler comes from the whole baseline period."""
+    learnt = facts if baseline_facts is None else baseline_facts
+    cells = _written(spark, ruler.build_ruler(learnt, baseline, contract), f"{out}/ruler")
+    if cells.isEmpty():
+        raise ContractAbort(f"no valid trips in the baseline period {baseline}")
     facts = facts_op.scoped_to(facts, counts)
-    cells = _written(spark, ruler.build_ruler(facts, baseline, contract), f"{out}/ruler")
     scored = ruler.score(facts, cells)
     wide = _written(spark, metrics.metrics_wide(counts, facts, cells, contract),
                     f"{out}/metrics/monthly_wide")
-    reports = {
+    exports = {
         "expected_duration_baseline": (cells, ["distance_band", "time_bucket"]),
         "metrics_monthly_wide": (wide, ["month"]),
         "metrics_monthly": (metrics.metrics_long(wide), ["month", "metric_id"]),
@@ -77,18 +101,19 @@ def compute_metrics(spark: SparkSession, counts: DataFrame, facts: DataFrame, lo
                                 ["month", "pickup_zone_id"]),
         "metrics_segments": (slices.segments(scored, contract), ["month", "segment"]),
     }
-    for name, (df, keys) in reports.items():
+    for name, (df, keys) in exports.items():
         write_report_csv(df, f"{out}/csv/{name}", *keys)
 
 
 def run(spark: SparkSession, raw_base: str, provenance: DataFrame, lookup: DataFrame, out: str,
         baseline: str, contract: Contract = Contract(), months: Sequence[str] | None = None,
         publish_required: bool = False) -> RunResult:
-    raw = read_months(spark, raw_base, months)
-    done = validate(spark, raw, provenance, out, contract)
-    write_months(facts_op.fact_trips(done["staged"], contract), f"{out}/facts")
-    facts = read_months(spark, f"{out}/facts")
-    compute_metrics(spark, done["counts"], facts, lookup, out, baseline, contract)
+    done = validate(spark, read_months(spark, raw_base, months), provenance, out, contract, raw_base)
+    baseline_facts = None
+    if months is not None and baseline not in months:
+        whole = rules.stage(read_months(spark, raw_base, [baseline]), contract)
+        baseline_facts = facts_op.fact_trips(whole, contract)
+    compute_metrics(spark, done["counts"], done["facts"], lookup, out, baseline, contract, baseline_facts)
     gate = spark.read.parquet(f"{out}/report/gate").first()
     if publish_required:
         require_publish(gate.status, contract)

@@ -25,12 +25,12 @@ from tripgauge.plans.bindings import Events, Fulfilment
 from tripgauge.session import scratch_dir
 from tripgauge.sources.fingerprint import content_fingerprint
 from tripgauge.sources.pages import retype
+from tripgauge.sources.tables import read_months, write_months
 from tripgauge.streaming.landing import stage_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 OK_COLUMNS = [r.ok_column for r in rules.RULES]
-LAST_WHOLE_WEEK = "2024-01-22"
 ROW_ID = ["month", "order_key", "line_number"]
 
 
@@ -71,17 +71,16 @@ def _json_props(b: Events) -> DataFrame:
 
 
 def _facts_scoped(b: Fulfilment) -> DataFrame:
-    """Facts of the months that the contract covers well enough."""
-    covered = quality.period_coverage(b.counts).where("coverage >= 0.35D")
-    return facts_op.scoped_to(b.facts, covered).groupBy("month").agg(
+    """Facts of the validated months."""
+    return facts_op.scoped_to(b.facts, b.counts).groupBy("month").agg(
         *exprs("count(1) AS fact_rows"))
 
 
 def _manifest_totals(b: Fulfilment) -> DataFrame:
     entries = b.manifest.join(b.provenance, "month", "left").selectExpr(
-        "month", "row_count", "0L AS bytes",
+        "month", "row_count", "bytes",
         f"{rules.passes('api_count = row_count')} AS count_reconciled")
-    return integrity.manifest_totals(entries).drop("bytes")
+    return integrity.manifest_totals(entries)
 
 
 def _month_windows(b: Fulfilment) -> DataFrame:
@@ -98,10 +97,17 @@ def _months_to_process(b: Fulfilment) -> DataFrame:
 
 
 def _fingerprint(b: Fulfilment) -> DataFrame:
-    out = content_fingerprint(b.table("lineitem"))
-    for name in ("orders", "events"):
-        out = out.unionByName(content_fingerprint(b.table(name)))
-    return out
+    """Content of three tables. Amounts are read as exact decimals, which any engine writes alike."""
+    out = None
+    for name in ("lineitem", "orders", "events"):
+        df = b.table(name)
+        exact = df.selectExpr(*[
+            f"CAST({c} AS DECIMAL(28,8)) AS {c}" if kind == "double" else
+            f"date_format({c}, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS {c}" if kind.startswith("timestamp") else c
+            for c, kind in df.dtypes], "_metadata")
+        one = content_fingerprint(exact, df.columns)
+        out = one if out is None else out.unionByName(one)
+    return out.drop("bytes")
 
 
 def _incremental_counts(b: Events) -> DataFrame:
@@ -117,6 +123,17 @@ def _incremental_counts(b: Events) -> DataFrame:
 
 
 # --- contract ----------------------------------------------------------------------------
+def _conservation_of_outputs(b: Fulfilment) -> DataFrame:
+    """Staged, quarantine and fact tables as written and read back, counted each on its own."""
+    base = scratch_dir(b.spark, "outputs")
+    write_months(b.staged, f"{base}/staged")
+    staged = read_months(b.spark, f"{base}/staged")
+    write_months(rules.quarantined(staged), f"{base}/quarantine")
+    write_months(facts_op.fact_trips(staged, b.contract), f"{base}/facts")
+    return quality.conservation_of_outputs(
+        staged, read_months(b.spark, f"{base}/quarantine"), read_months(b.spark, f"{base}/facts"))
+
+
 def _duplicate_audit(b: Fulfilment) -> DataFrame:
     return integrity.duplicate_audit(b.table("lineitem"), ("l_orderkey", "l_linenumber"), by=())
 
@@ -170,9 +187,8 @@ def _segment_label(b: Events) -> DataFrame:
 
 # --- metrics -----------------------------------------------------------------------------
 def _unscored(b: Events) -> DataFrame:
-    """Scored with a ruler that knows the morning cells only: the other trips are reported."""
-    known = b.ruler.where("time_bucket IN ('overnight_00-06', 'am_peak_06-10')")
-    return ruler.unscored(b.facts, known)
+    """Trips of cells that the baseline period has no trip in."""
+    return ruler.unscored(b.facts, b.ruler)
 
 
 def _score_rows(b: Events) -> DataFrame:
@@ -190,8 +206,8 @@ def _wide(b: Events) -> DataFrame:
     return metrics.metrics_wide(b.counts, b.facts, b.ruler, b.contract)
 
 
-def _zones(b: Events, month: str | None = None) -> DataFrame:
-    scored = b.scored if month is None else b.scored.where(F.col("month") == month)
+def _zones(b: Events, last_only: bool = False) -> DataFrame:
+    scored = slices.latest(b.scored) if last_only else b.scored
     return slices.zone_detail(scored, b.zone_lookup(), b.contract)
 
 
@@ -222,6 +238,7 @@ def build() -> dict[str, Query]:
         "month_windows": fu(_month_windows),
         "months_to_process": fu(_months_to_process),
         "incremental_counts": ev(_incremental_counts),
+        "conservation_of_outputs": fu(_conservation_of_outputs),
         "describe_schema": fu(lambda b: profiles.describe_columns(b.table("lineitem"))),
     }
     # rules
@@ -291,9 +308,9 @@ def build() -> dict[str, Query]:
         "segments": ev(lambda b: slices.segments(b.scored, b.contract)),
         "worst_hours": ev(lambda b: slices.worst_hours(_hours(b))),
         "worst_zones": ev(lambda b: slices.worst_zones(_zones(b))),
-        "zone_map_feed": ev(lambda b: slices.zone_map_feed(_zones(b, LAST_WHOLE_WEEK))),
+        "zone_map_feed": ev(lambda b: slices.zone_map_feed(_zones(b, last_only=True))),
         "exemplar_trips": ev(lambda b: _texts(
-            slices.exemplar_trips(b.facts, LAST_WHOLE_WEEK), "pickup_ts", "dropoff_ts")),
+            slices.exemplar_trips(slices.latest(b.facts)), "pickup_ts", "dropoff_ts")),
         "mix_adjusted_reliability": ev(_mix),
         "mix_largest_gap": ev(lambda b: slices.largest_gap(_mix(b))),
     })

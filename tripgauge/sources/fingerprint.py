@@ -6,16 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def content_fingerprint(df: DataFrame) -> DataFrame:
+def rendered_row(names: list[str]) -> str:
+    """A row as text: every cell as its length and its value, a missing cell as ``-``.
+
+    Lengths make the text unambiguous: no two different rows render alike.
+    """
+    cell = "coalesce(concat(length(CAST(`{0}` AS STRING)), ':', CAST(`{0}` AS STRING)), '-')"
+    return f"concat_ws(',', {', '.join(cell.format(n) for n in names)})"
+
+
+def _row_number(names: list[str]) -> str:
+    """The first 15 hexadecimal digits of the row's md5, as a number whose sums stay exact."""
+    return f"CAST(conv(substring(md5({rendered_row(names)}), 1, 15), 16, 10) AS DECIMAL(38, 0))"
+
+
+def content_fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Per file: bytes, rows, columns and a hash of its rows that does not depend on their order.
 
     Works on file splits, so the size of a file does not matter.
     """
-    names = df.columns
-    row_hash = F.xxhash64(*names).cast("decimal(38,0)")
+    names = columns or df.columns
     return (
-        df.select(F.col("_metadata.file_name").alias("name"),
-                  F.col("_metadata.file_size").alias("bytes"), row_hash.alias("h"))
+        df.select(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_size").alias("bytes"),
+                  F.expr(_row_number(names)).alias("h"))
         .groupBy("name", "bytes")
         .agg(F.count(F.lit(1)).alias("row_count"), F.sum("h").cast("string").alias("content_hash"))
         .withColumns({"header": F.lit(",".join(names)),
@@ -33,19 +46,22 @@ def byte_fingerprint(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def build_manifest(raw: DataFrame, provenance: DataFrame) -> DataFrame:
-    """One row per month: files, bytes and rows of the raw table beside what retrieval recorded.
+    """One row per month: files, bytes, rows, columns and content of the raw table beside what
+    retrieval recorded.
 
-    ``raw`` is a table read from files and partitioned by ``month``; only file metadata is
-    read for it.
+    ``raw`` is a table read from files and partitioned by ``month``; it is read once.
     """
-    files = raw.groupBy(
-        "month", F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_size").alias("size"),
-    ).agg(F.count(F.lit(1)).alias("n"))
+    names = [c for c in raw.columns if c != "month"]
+    files = raw.select(
+        "month", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
+        F.expr(_row_number(names)).alias("h")).groupBy("month", "file", "size").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("h").alias("h"))
     months = files.groupBy("month").agg(
         F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"),
-        F.sum("n").alias("row_count"))
-    return months.join(
+        F.sum("n").alias("row_count"), F.sum("h").cast("string").alias("content_hash"))
+    return months.withColumns({
+        "header": F.lit(",".join(names)), "header_column_count": F.lit(len(names)).cast("bigint"),
+    }).join(
         provenance.select("month", "api_count", "rows_stored", "count_reconciled", "pages",
                           "composite_key_duplicates"),
         "month", "left",

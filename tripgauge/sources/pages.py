@@ -2,54 +2,53 @@
 
 from __future__ import annotations
 
-import csv
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tripgauge.contract import LEGACY_COLUMNS, TRIP_COLUMNS
 from tripgauge.functions.casts import read_as
 
 # the folder a page lies in names the month it was requested for: .../2023-01/page_0001.csv.gz
-_MONTH_FOLDER = r"(\d{4}-\d{2})/[^/]+$"
+_MONTH_FOLDER_SQL = "([0-9]{4}-[0-9]{2})/[^/]+$"
 
 
-def page_layouts(spark: SparkSession, paths: str | list[str]) -> dict[str, list[str]]:
-    """Header line -> the pages that carry it. Only headers and file names reach the driver.
+# columns that pages may carry, and the most cells that a page row may have
+PAGE_COLUMNS: tuple[str, ...] = (*TRIP_COLUMNS, *LEGACY_COLUMNS)
+MOST_CELLS = 64
+_CELLS = ", ".join(f"c{i} string" for i in range(MOST_CELLS))
 
-    The first block of a file holds its header, and a task reads a block in order.
-    """
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"), "value",
-    )
-    heads = lines.where("start = 0").groupBy("file").agg(F.first("value").alias("header"))
-    layouts: dict[str, list[str]] = {}
-    for row in heads.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")
-                                           ).collect():
-        layouts[row.header] = list(row.files)
-    return layouts
-
-
-def read_pages(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """All pages as text, bound by column name even where pages order their columns differently.
-
-    One multi-file CSV read binds by position, so there is one read per distinct header; the
-    reads are united by name and a column a page lacks is NULL. ``month`` comes from the
-    page's folder.
+
+# one CSV line as a struct of cells, and that struct as an array of text
+_PARSED = f"""from_csv(_line, '{_CELLS}', map('quote', '"', 'escape', '"'))"""
+_AS_ARRAY = f"array({', '.join(f'_cells.c{i}' for i in range(MOST_CELLS))})"
+
+
+def rows_of_pages(pages: DataFrame, columns: Sequence[str] = PAGE_COLUMNS) -> DataFrame:
+    """Rows of whole pages (path, value) as text, bound by the name in their page's header.
+
+    A page is one value, so its header is at hand where its lines are: nothing is listed, joined
+    or collected, and the text is read once. A column that a page lacks is NULL; ``month`` comes
+    from the page's folder.
     """
-    out = None
-    for header, files in sorted(page_layouts(spark, paths).items()):
-        names = [n.strip().lower() for n in next(csv.reader([header]))]
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        pages = spark.read.csv(files, header=True, schema=schema).withColumn(
-            "month", F.regexp_extract(F.col("_metadata.file_path"), _MONTH_FOLDER, 1))
-        out = pages if out is None else out.unionByName(pages, allowMissingColumns=True)
-    if out is None:
-        raise FileNotFoundError(f"no pages in {paths}")
-    return out
+    lines = pages.selectExpr(
+        f"regexp_extract(path, '{_MONTH_FOLDER_SQL}', 1) AS month",
+        "split(regexp_replace(value, '^\ufeff', ''), '\r?\n') AS _lines")
+    headed = lines.selectExpr("month", "_lines", "_lines[0] AS _line").selectExpr(
+        "month", "_lines", f"{_PARSED} AS _cells").selectExpr(
+        "month", "_lines", f"transform({_AS_ARRAY}, c -> lower(trim(c))) AS _names").selectExpr(
+        "month", "_lines", *[f"CAST(array_position(_names, '{c.lower()}') AS INT) AS _at{i}" for i, c in enumerate(columns)])
+    at = [f"_at{i}" for i in range(len(columns))]
+    rows = headed.selectExpr("month", *at, "explode(slice(_lines, 2, greatest(size(_lines) - 1, 0))) AS _line").where("_line <> ''")
+    cells = rows.selectExpr("month", *at, f"{_PARSED} AS _cells").selectExpr("month", *at, f"{_AS_ARRAY} AS _row")
+    return cells.selectExpr(*[f"CASE WHEN {a} > 0 THEN _row[{a} - 1] END AS `{c}`" for a, c in zip(at, columns)], "month")
+
+
+def read_pages(spark: SparkSession, paths: str | list[str], columns: Sequence[str] = PAGE_COLUMNS) -> DataFrame:
+    """All pages as text, bound by column name even where pages order their columns differently."""
+    pages = spark.read.text(paths, wholetext=True)
+    return rows_of_pages(pages.select(F.col("_metadata.file_path").alias("path"), "value"), columns)
 
 
 def retype(df: DataFrame, types: Mapping[str, str] = {**TRIP_COLUMNS, **LEGACY_COLUMNS}

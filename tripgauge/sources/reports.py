@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripgauge.contract import ContractAbort
+
 _RESULT = (
     "struct<month: string, dataset: string, `where`: string, "
     "count_query: struct<count: bigint, status: string, seconds: double>, rows: bigint, "
@@ -15,6 +17,15 @@ _RESULT = (
 _REPORT = f"trips map<string, struct<results: array<{_RESULT}>>>"
 
 
+def one_per_month(provenance: DataFrame) -> DataFrame:
+    """One row per month. A month told twice in the same words counts once; a contradiction aborts."""
+    told = provenance.distinct()
+    twice = [r.month for r in told.groupBy("month").count().where("count > 1").select("month").limit(10).collect()]
+    if twice:
+        raise ContractAbort(f"provenance contradicts itself for {twice}")
+    return told
+
+
 def read_retrieval_report(spark: SparkSession, path: str) -> DataFrame:
     """month, dataset, api_count, rows_stored, count_reconciled, pages, duplicates.
 

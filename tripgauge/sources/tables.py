@@ -10,18 +10,6 @@ from pyspark.sql import functions as F
 from tripgauge.contract import COMPOSITE_KEY
 
 
-def read_table(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """A parquet table, spread over the cores by ``key`` when the scan would not use them.
-
-    A row group is never split, so a small file is read by one task and everything up to the
-    next shuffle stays there. Tables with a split per core or more are left as they are.
-    Spreading by a key needs no sort, which dealing rows out in turn does.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_months(spark: SparkSession, base: str, months: Sequence[str] | None = None) -> DataFrame:
     """A table partitioned by ``month``; only the asked months' folders are opened."""
     df = spark.read.parquet(base).withColumn("month", F.col("month").cast("string"))
@@ -36,6 +24,29 @@ def write_months(df: DataFrame, base: str) -> None:
     )
 
 
+def drop_months(spark: SparkSession, base: str, months: Sequence[str]) -> None:
+    """Remove the folders of these months, if there are any."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    for month in months:
+        folder = hadoop.Path(f"{base}/month={month}")
+        folder.getFileSystem(conf).delete(folder, True)
+
+
+def replace_months(df: DataFrame, base: str, months: Sequence[str]) -> DataFrame:
+    """Write ``df`` as these months of the table and read them back.
+
+    A month without rows in ``df`` is left without rows: nothing of an earlier run stays. If the
+    job dies in between, months are missing, never stale.
+    """
+    spark = df.sparkSession
+    drop_months(spark, base, months)
+    write_months(df.where(F.col("month").isin(*months)), base)
+    names = [f.name for f in df.schema.fields if f.name != "month"]
+    schema = df.select(*names, F.col("month").cast("string")).schema
+    return spark.read.schema(schema).parquet(base).where(F.col("month").isin(*months))
+
+
 def write_sorted_months(df: DataFrame, base: str, key: Sequence[str] = COMPOSITE_KEY) -> None:
     """Month files in key order. Range partitions keep a large month in several sorted files."""
     have = {c.lower() for c in df.columns}

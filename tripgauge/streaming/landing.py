@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from tripgauge.contract import Contract
 from tripgauge.operators.rules import stage
-from tripgauge.sources.pages import read_pages, retype
+from tripgauge.sources.pages import retype, rows_of_pages
 
 
 def _replace_batch(df: DataFrame, batch_id: int, out: str) -> None:
+    """Rows of a month meet in few files: partitions are rebalanced by size, a large month over several."""
     (
-        df.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
+        df.hint("rebalance", "month").withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
         .partitionBy("batch", "month").parquet(out)
     )
@@ -41,21 +42,18 @@ def stage_new_files(spark: SparkSession, source: str, schema: str, to_raw: Calla
 def land_new_pages(spark: SparkSession, source: str, out: str, checkpoint: str) -> None:
     """Re-type CSV pages not seen before into the raw month table, then stop.
 
-    The stream lists files only (their content is not read for it); each batch reads its
-    pages by name, whatever their column order.
+    The stream delivers whole pages, so each is read once, by the function of the batch reader.
     """
-    listing = (
-        spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
-        .schema("path string, modificationTime timestamp, length bigint, content binary")
-        .load(source).select("path")
+    pages = (
+        spark.readStream.format("text").option("wholetext", "true")
+        .option("recursiveFileLookup", "true").load(source)
+        .select(F.col("_metadata.file_path").alias("path"), "value")
     )
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        paths = [r.path for r in batch.select("path").collect()]  # file names, not data
-        if paths:
-            _replace_batch(retype(read_pages(batch.sparkSession, paths)), batch_id, out)
+        _replace_batch(retype(rows_of_pages(batch)), batch_id, out)
 
     (
-        listing.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
+        pages.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start().awaitTermination()
     )
