@@ -8,8 +8,9 @@ Reading. A reader that looks for the magic would also take one inside a payload
 tasks split the files at every magic and give, for each, where its record would end. Inside a split
 pointer jumping (each step doubles the distance) turns that into where the chain leaves the split;
 between splits the same is done with joins, so a file of any length takes a logarithmic number of
-rounds. What the chain from a file's start does not reach lies inside a payload and is put back
-there. Offsets come from the lengths read, so splits may begin anywhere.
+rounds. What the chain from a file's start does not reach lies inside a payload; a record whose
+payload holds magics is read once more, by its place in the file. Offsets come from the lengths
+read, so splits may begin anywhere.
 
 Defined results: a null payload is empty; a null id or address leaves its header out and reads back
 as null; line breaks in an address are percent-encoded; rows repeated with one id are each their
@@ -34,9 +35,13 @@ from tripgauge.session import scratch_dir
 MAGIC = "WARC/1.0\r\n"
 RECORD_END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
-CONTENT = "record_type string, page_id long, refers_to long, url string, payload_bytes long, payload_digest string, payload_at long"
-CANDIDATE = f"file string, block long, offset long, length long, successor long, leaves long, {CONTENT}, raw binary"
-RECORD = f"file string, offset long, {CONTENT}, raw binary"
+CONTENT = "record_type string, page_id long, refers_to long, url string, payload_bytes long, payload_digest string, payload binary"
+CANDIDATE = f"file string, block long, offset long, length long, successor long, leaves long, {CONTENT}"
+RECORD = f"file string, offset long, {CONTENT}"
+
+
+def _names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
 
 
 def write_archives(pages: DataFrame, path: str, revisit_bytes: int = 1000, date: str = "2024-01-01T00:00:00Z") -> None:
@@ -78,23 +83,22 @@ def _number(value: bytes | None) -> int | None:
     return None if value is None else int(value)
 
 
-def _content(record: bytes) -> tuple:
+def _content(record: bytes, with_payload: bool) -> tuple:
     """The fields of CONTENT for a record without its magic and final blank line."""
     head, _, block = record.partition(b"\r\n\r\n")
     http, _, payload = block.partition(b"\r\n\r\n")
     kind = (_header(head, "type") or b"").decode("utf-8", "replace")
     if kind == "revisit":  # the payload is elsewhere; the record's own headers tell size and digest
-        size, digest = _number(_header(http, "length")), (_header(head, "digest") or b"").decode() or None
+        size, digest, payload = _number(_header(http, "length")), (_header(head, "digest") or b"").decode() or None, None
     else:
         size, digest = len(payload), hashlib.sha1(payload).hexdigest()
     url = _header(head, "url")
     return (kind, _number(_header(head, "id")), _number(_header(head, "refers")), None if url is None else url.decode("utf-8", "replace"),
-            size, digest, len(record) - len(payload))
+            size, digest, payload if with_payload else None)
 
 
 def _typed(frame: pd.DataFrame) -> pd.DataFrame:
-    whole = ("page_id", "refers_to", "payload_bytes", "payload_at")
-    return frame.astype({c: "Int64" for c in whole})
+    return frame.astype({c: "Int64" for c in ("page_id", "refers_to", "payload_bytes")})
 
 
 def _leaves(offset: np.ndarray, successor: np.ndarray, end: int) -> np.ndarray:
@@ -110,34 +114,37 @@ def _leaves(offset: np.ndarray, successor: np.ndarray, end: int) -> np.ndarray:
     return np.where(last >= end, last, -1)
 
 
-def _candidates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row per magic. The rows of a split come in order and together; offsets count from the split's first row."""
-    rows, at, where = [], 0, None
-
-    def finish() -> Iterator[pd.DataFrame]:
-        if rows:
-            frame = pd.DataFrame(rows, columns=[c.split()[0] for c in CANDIDATE.split(", ")])
-            frame["leaves"] = _leaves(frame["offset"].to_numpy(np.int64), frame["successor"].to_numpy(np.int64), at)
-            yield _typed(frame)
-
-    for frame in frames:
-        for file, block, value in zip(frame["file"], frame["block"], frame["value"]):
-            if (file, block) != where:
-                yield from finish()
-                rows, at, where = [], 0, (file, block)
-                if block == 0:  # what stands before a file's first magic belongs to no record
-                    at = len(value)
-                    if at:
-                        rows.append((file, block, -1, at, -1, -1, *[None] * 7, value))
-                    continue
-            head = value.find(b"\r\n\r\n")
-            length = _number(_header(value[:head], "length")) if head >= 0 else None
-            size = len(MAGIC) + len(value)
-            ends = -1 if length is None else len(MAGIC) + head + 4 + length + 4
-            rows.append((file, block, at, size, at + ends if ends >= 0 else -1, -1,
-                         *(_content(value[:-4]) if ends == size else [None] * 7), value))
-            at += size
-    yield from finish()
+def _candidates(with_payload: bool):
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A row per magic. The rows of a split come in order and together; offsets count from the split's first row."""
+        rows, at, where = [], 0, None
+
+        def finish() -> Iterator[pd.DataFrame]:
+            if rows:
+                frame = pd.DataFrame(rows, columns=_names(CANDIDATE))
+                frame["leaves"] = _leaves(frame["offset"].to_numpy(np.int64), frame["successor"].to_numpy(np.int64), at)
+                yield _typed(frame)
+
+        for frame in frames:
+            for file, block, value in zip(frame["file"], frame["block"], frame["value"]):
+                if (file, block) != where:
+                    yield from finish()
+                    rows, at, where = [], 0, (file, block)
+                    if block == 0:  # what stands before a file's first magic belongs to no record
+                        at = len(value)
+                        if at:
+                            rows.append((file, block, -1, at, -1, -1, *[None] * 7))
+                        continue
+                head = value.find(b"\r\n\r\n")
+                length = _number(_header(value[:head], "length")) if head >= 0 else None
+                size = len(MAGIC) + len(value)
+                ends = -1 if length is None else len(MAGIC) + head + 4 + length + 4
+                rows.append((file, block, at, size, at + ends if ends >= 0 else -1, -1,
+                             *(_content(value[:-4], with_payload) if ends == size else [None] * 7)))
+                at += size
+        yield from finish()
+
+    return read
 
 
 def _walk(key, frame):
@@ -154,24 +161,33 @@ def _walk(key, frame):
     return frame.loc[met, ["file", "block", "offset"]]
 
 
-def _join_pieces(key, frame):
-    """One record from the pieces that the magics in its payload cut it into."""
-    frame = frame.sort_values("at")
-    size = int(frame["upto"].iloc[0] - key[1]) - len(MAGIC)
-    value = MAGIC.encode().join(frame["raw"])[: size]
-    out = pd.DataFrame([(key[0], key[1], *_content(value[:-4]), value)], columns=[c.split()[0] for c in RECORD.split(", ")])
-    return _typed(out)
+def _read_again(with_payload: bool):
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Whole records by file, place and end."""
+        from pyarrow import fs
+
+        for frame in frames:
+            rows = []
+            for file, offset, upto in zip(frame["file"], frame["offset"], frame["upto"]):
+                store, path = fs.FileSystem.from_uri(file)
+                with store.open_input_file(path) as stream:
+                    stream.seek(offset + len(MAGIC))
+                    record = stream.read(upto - offset - len(MAGIC) - 4)
+                rows.append((file, offset, *_content(record, with_payload)))
+            yield _typed(pd.DataFrame(rows, columns=_names(RECORD)))
+
+    return read
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The records below path, with the columns of RECORD.
+def read_archives(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
+    """The records below path, with the columns of RECORD; payload is null unless asked for, and for revisits.
 
-    raw is the record after its magic; its payload starts at byte payload_at (see `payload`).
+    Records whose payload holds the magic are read by place, through a file system that pyarrow opens.
     """
     text = spark.read.option("lineSep", MAGIC).text(path)
     parts = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                         F.col("value").cast("binary").alias("value"))
-    local = settled(parts.mapInPandas(_candidates, CANDIDATE), "warc-candidates")
+    local = settled(parts.mapInPandas(_candidates(with_payload), CANDIDATE), "warc-candidates")
     in_file = Window.partitionBy("file")
     spans = local.groupBy("file", "block").agg(F.sum("length").alias("span"))
     bases = settled(spans.select("file", "block", (F.sum("span").over(in_file.orderBy("block")) - F.col("span")).alias("base"),
@@ -194,25 +210,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     chain = settled(placed.select("file", "block", "offset", "successor").join(entries.select("file", "block", "entry"), ["file", "block"])
                     .groupBy("file", "block").applyInPandas(_walk, "file string, block long, offset long"), "warc-chain")
     met = placed.join(chain, ["file", "block", "offset"])
-    plain = met.where("record_type IS NOT NULL").select("file", start.alias("offset"), *[c.split()[0] for c in RECORD.split(", ")[2:]])
-
-    # records whose payload holds the magic: their pieces, each between two magics, joined in order
-    begun = met.where("record_type IS NULL AND successor >= 0").select(
-        "file", "block", "offset", start.alias("at"), (F.col("base") + F.col("successor")).alias("upto"))
-    inner = placed.join(chain, ["file", "block", "offset"], "left_anti").select(
-        "file", "block", "offset", start.alias("at"), F.lit(None).cast("long").alias("upto"))
-    owner = F.last(F.when(F.col("upto").isNotNull(), F.col("at")), ignorenulls=True).over(in_file.orderBy("at"))
-    pieces = settled(begun.union(inner).withColumn("owner", owner).where("owner IS NOT NULL"), "warc-pieces")
-    if pieces.isEmpty():  # spares reading the payloads again
-        return plain
-    joined = pieces.join(local.select("file", "block", "offset", "raw"), ["file", "block", "offset"])
-    return plain.union(joined.select("file", "owner", "at", "upto", "raw").groupBy("file", "owner").applyInPandas(_join_pieces, RECORD))
-
-
-def payload(records: DataFrame) -> DataFrame:
-    """records with their payload as binary: null for revisits, whose payload their response holds."""
-    whole = F.substring("raw", F.col("payload_at") + 1, F.octet_length("raw") - 4 - F.col("payload_at"))
-    return records.withColumn("payload", F.when(F.col("record_type") != "revisit", whole))
+    plain = met.where("record_type IS NOT NULL").select("file", start.alias("offset"), *_names(CONTENT))
+    cut = met.where("record_type IS NULL AND successor >= 0").select("file", start.alias("offset"), (F.col("base") + F.col("successor")).alias("upto"))
+    return plain.union(cut.mapInPandas(_read_again(with_payload), RECORD))
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
