@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from tripgauge.functions.casts import exprs, interpolated, ratio
 from tripgauge.functions.scales import number
 
-# bins per power of two: a one-hour trip in microseconds shares its bin with about 40,000
-# other possible durations, a trip of a day with about a million
-BINS_PER_OCTAVE = 65_536
+# bins per power of two: few enough that the bins of a group are a small table (minutes of a day
+# span 11 octaves), many enough that a bin holds a small part of a group's values
+BINS_PER_OCTAVE = 512
 _ZERO = 1 << 28  # more than every possible bin of one sign: 2100 octaves
 _NAN = 1 << 40
 _LARGEST = "1.7976931348623157E308D"
@@ -94,8 +94,8 @@ def distribution(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[
         .join(hist.select(*keys, "_bin", "_v", "_n").alias("h"), F.expr(match))
         .selectExpr(*[f"t.`{k}` AS `{k}`" for k in keys], "t._bin AS _bin", rows, *flags,
                     "_before", "_q", "_pos", "_v", "_n")
-        # a few bins per group are left: one partitioning serves the ranking and the result
-        .repartition(*keys)
+        # the bins of a large group go to different tasks
+        .repartition(*keys, "_bin")
     )
     # equal values may stand in several rows (one per condition outcome): each row takes its
     # own stretch of ranks, so the frame counts rows and not peers
