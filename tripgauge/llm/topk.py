@@ -3,13 +3,15 @@
 Index. Vectors get one more coordinate that makes all of them equally long, so that a larger inner
 product with a query is a smaller distance to it. Pivots come from a bounded sample; a vector's key
 is its nearest pivot and its distance to it, and each pivot's distances are cut into rings, so an
-annulus (pivot, ring) is a set of vectors whose distance to the pivot lies within known ends. Every
-vector is indexed. A full annulus is cut into chunks by hash; none is dropped.
+annulus (pivot, ring) is a set of vectors whose distance to the pivot lies within known ends. There
+are as many pivots as give annuli of about `annulus_rows` vectors, up to `max_pivots`; every vector
+is indexed, and a larger annulus is cut into chunks by hash.
 
 Search. By the triangle inequality a query cannot be nearer to an annulus than its own distance to
 the pivot lies outside the ends; that bounds the inner product from above. First each query visits
 the annuli with the best bounds until they hold `first_rows` vectors; its k-th score there is a
-floor. Then it visits those others whose bound reaches the floor, and no more.
+floor. Then it visits those others whose bound reaches the floor, and no more. A task holds one
+chunk and one block of the queries that visit it.
 
 The driver holds the sample, the pivots and a few numbers per annulus (pivots x rings of them,
 whatever the size of the table).
@@ -22,6 +24,7 @@ own; fewer than k others give fewer rows; an empty table or no query gives no ro
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -78,11 +81,12 @@ def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.
     return out
 
 
-def _same_length(rows: DataFrame, asked: DataFrame, k: int, pivots: int, rings: int, sample_rows: int, chunk_rows: int,
-                 first_rows: int, seed: int) -> DataFrame:
+def _same_length(rows: DataFrame, asked: DataFrame, k: int, max_pivots: int, annulus_rows: int, rings: int, sample_rows: int, chunk_rows: int,
+                 query_rows: int, first_rows: int, seed: int) -> DataFrame:
     """The search over vectors `v` (array of long) of one length; `asked` holds the queries among them."""
     norm = F.aggregate("v", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
-    longest = rows.agg(F.max(norm)).first()[0] or 0.0
+    total, longest = rows.agg(F.count(F.lit(1)), F.max(norm)).first()
+    pivots, parts = min(max_pivots, ceil(total / (rings * annulus_rows))), max(1, ceil(asked.count() / query_rows))
     sample = stacked([r.v for r in drawn(rows, ["vec_id"], sample_rows, seed).collect()])
     centres = _pivots(_lengthened(sample, longest), pivots, 5, seed)
     near = _distances(_lengthened(sample, longest), centres)
@@ -141,8 +145,11 @@ def _same_length(rows: DataFrame, asked: DataFrame, k: int, pivots: int, rings:
                 q, a = np.nonzero(visit)
                 of = np.repeat(np.arange(len(q)), chunks[a])
                 chunk = np.arange(len(of)) - np.repeat(np.cumsum(chunks[a]) - chunks[a], chunks[a])
-                yield pd.DataFrame({"annulus": annuli[a[of]].astype("int32"), "chunk": chunk.astype("int32"),
-                                    "query_id": frame["vec_id"].to_numpy()[q[of]], "q": frame["v"].to_numpy()[q[of]]})
+                ids, vectors, block = frame["vec_id"].to_numpy(), frame["v"].to_numpy(), frame["block"].to_numpy()
+                for at in range(0, len(of), 4096):  # keeps what a task holds small
+                    some = of[at : at + 4096]
+                    yield pd.DataFrame({"annulus": annuli[a[some]].astype("int32"), "chunk": chunk[at : at + 4096].astype("int32"),
+                                        "block": block[q[some]], "query_id": ids[q[some]], "q": vectors[q[some]]})
         return go
 
     def meet(keys, queries, vectors):
@@ -154,11 +161,14 @@ def _same_length(rows: DataFrame, asked: DataFrame, k: int, pivots: int, rings:
     spark = rows.sparkSession
     counted = spark.createDataFrame([(int(a), int(c)) for a, c in zip(annuli, chunks)], "annulus int, chunks int")
     chunk = F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.col("chunks")).cast("int")
-    held = index.join(counted, "annulus").select("annulus", chunk.alias("chunk"), "vec_id", "v")
+    every_block = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("block")
+    held = index.join(counted, "annulus").select("annulus", chunk.alias("chunk"), every_block, "vec_id", "v")
+    block = F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(parts)).cast("int")
 
     def search(queries: DataFrame, later: bool) -> DataFrame:
-        sent = queries.mapInPandas(visits(later), "annulus int, chunk int, query_id long, q array<long>")
-        return sent.groupBy("annulus", "chunk").cogroup(held.groupBy("annulus", "chunk")).applyInPandas(meet, FOUND)
+        sent = queries.withColumn("block", block).mapInPandas(visits(later), "annulus int, chunk int, block int, query_id long, q array<long>")
+        key = ["annulus", "chunk", "block"]
+        return sent.groupBy(key).cogroup(held.groupBy(key)).applyInPandas(meet, FOUND)
 
     early = settled(search(asked, False), "pivot-early")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
@@ -167,8 +177,8 @@ def _same_length(rows: DataFrame, asked: DataFrame, k: int, pivots: int, rings:
     return early.union(late).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def exact_topk(vectors: DataFrame, is_query: Column, scale: int = 256, k: int = 5, pivots: int = 64, rings: int = 16,
-               sample_rows: int = 8192, chunk_rows: int = 2048, first_rows: int = 2048, seed: int = 5) -> DataFrame:
+def exact_topk(vectors: DataFrame, is_query: Column, scale: int = 256, k: int = 5, max_pivots: int = 256, annulus_rows: int = 512, rings: int = 8,
+               sample_rows: int = 8192, chunk_rows: int = 2048, query_rows: int = 4096, first_rows: int = 2048, seed: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): for every row where is_query holds its k best other rows.
 
     Needs vec_id and embedding; the score is the inner product of floor(scale * x).
@@ -180,7 +190,8 @@ def exact_topk(vectors: DataFrame, is_query: Column, scale: int = 256, k: int =
     out = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     for (length,) in rows.select(F.size("v")).distinct().collect():  # as a rule one
         same = rows.where(F.size("v") == length)
-        out = out.union(_same_length(same, same.where("is_query").select("vec_id", "v"), k, pivots, rings, sample_rows, chunk_rows, first_rows, seed))
+        out = out.union(_same_length(same, same.where("is_query").select("vec_id", "v"), k, max_pivots, annulus_rows, rings, sample_rows, chunk_rows, query_rows,
+                                     first_rows, seed))
     return out
 
 
