@@ -106,9 +106,12 @@ class Events:
         """Rows per period counted on the source itself, before any rule."""
         return self.raw.groupBy("month").agg(*exprs("count(1) AS row_count"))
 
-    @cached_property
+    @property
     def provenance(self) -> DataFrame:
-        return integrity.duplicate_audit(self.raw).selectExpr(
+        return self.provenance_of(self.raw)
+
+    def provenance_of(self, raw: DataFrame) -> DataFrame:
+        return integrity.duplicate_audit(raw).selectExpr(
             "month", "rows AS api_count", "duplicates AS composite_key_duplicates")
 
     def zone_lookup(self) -> DataFrame:
@@ -205,15 +208,21 @@ class Fulfilment:
         return self.raw.groupBy("month").agg(*exprs(
             "count(1) AS row_count", f"sum({landed}) AS bytes"))
 
-    @cached_property
+    @property
     def provenance(self) -> DataFrame:
+        return self.provenance_of(self.raw)
+
+    def provenance_of(self, raw: DataFrame) -> DataFrame:
         """What a source would have promised: rows per true order month, next to the duplicates
         found among the rows that claim the month."""
-        promised = self.lines.groupBy(
+        dated = self.table("lineitem").select("l_orderkey").join(
+            self.table("orders").select("o_orderkey", "o_orderdate"),
+            F.col("l_orderkey") == F.col("o_orderkey"))
+        promised = dated.groupBy(
             F.expr(f"{period_label('o_orderdate', 'month')} AS month")
         ).agg(*exprs("count(1) AS api_count"))
         audit = integrity.duplicate_audit(
-            self.raw, ("tpep_pickup_datetime", "tpep_dropoff_datetime", "pulocationid",
+            raw, ("tpep_pickup_datetime", "tpep_dropoff_datetime", "pulocationid",
                        "dolocationid"))
         return audit.selectExpr("month", "duplicates AS composite_key_duplicates").join(
             promised, "month", "left")

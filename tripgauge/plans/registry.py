@@ -134,6 +134,16 @@ def _conservation_of_outputs(b: Fulfilment) -> DataFrame:
         staged, read_months(b.spark, f"{base}/quarantine"), read_months(b.spark, f"{base}/facts"))
 
 
+def _publish_gate(b: Fulfilment) -> DataFrame:
+    """The joined rows are landed once; rules, duplicates and the manifest read what was landed."""
+    path = scratch_dir(b.spark, "landed")
+    b.raw.write.parquet(path)
+    raw = b.spark.read.schema(b.raw.schema).parquet(path)
+    counts = quality.period_counts(rules.stage(raw, b.contract))
+    manifest = raw.groupBy("month").agg(*exprs("count(1) AS row_count"))
+    return quality.publish_gate(counts, manifest, b.provenance_of(raw), b.contract)
+
+
 def _duplicate_audit(b: Fulfilment) -> DataFrame:
     return integrity.duplicate_audit(b.table("lineitem"), ("l_orderkey", "l_linenumber"), by=())
 
@@ -265,8 +275,7 @@ def build() -> dict[str, Query]:
         "count_reconciliation": fu(_count_reconciliation),
         "reconciliation_totals": fu(lambda b: integrity.reconciliation_totals(
             _count_reconciliation(b))),
-        "publish_gate": fu(lambda b: quality.publish_gate(
-            b.counts, b.manifest, b.provenance, b.contract)),
+        "publish_gate": fu(_publish_gate),
         "publish_gate_events": ev(lambda b: quality.publish_gate(
             b.counts, b.manifest, b.provenance, b.contract)),
         # facts and scalars
