@@ -126,6 +126,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, cell_rows: int = 10
     of_node = nodes.join(links, "node", "left").join(groups, "node", "left").select(
         F.col("label").alias("node_label"), F.col("v").alias("node_v"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("root", "node").alias("component_id"))
+    of_node = settled(of_node, "cosine-classes")  # both sides of the join come from files, so a hot vector can be split
     joined = rows.join(of_node, (rows.label == of_node.node_label) & (rows.v == of_node.node_v), "left")
     component = F.coalesce("component_id", "vec_id")
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),

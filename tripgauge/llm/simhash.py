@@ -189,6 +189,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, **sear
     classes = prints.join(grouped, prints.print == grouped.node, "left").select(
         F.col("print").alias("class_print"), F.coalesce("root", "print").alias("root"),
         F.coalesce("least_id", "first_id").alias("component_id"))
+    classes = settled(classes, "simhash-classes")  # both sides of the join come from files, so a hot print can be split
     return marked.join(classes, marked.print == classes.class_print).drop("class_print")
 
 
