@@ -36,7 +36,7 @@ from tripgauge.llm.common import kept_by_worker
 
 SPACE = "▁"
 UNIT = 1_000_000
-NEVER = 1 << 62
+MARK, NEVER = 1 << 31, (1 << 31) - 1
 
 
 class Vocabulary(dict):
@@ -45,7 +45,8 @@ class Vocabulary(dict):
     As a dict it keeps the answers for the chunks met last.
     """
 
-    def __init__(self, path: str, n: int = 4, room: int = 400_000):
+    def __init__(self, path: str, n: int = 4, room: int = 600_000):
+        import ahocorasick
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -67,7 +68,10 @@ class Vocabulary(dict):
                 self.id_of[plain] = i
                 self.score[plain] = -round(UNIT * float(np.log(10 - model.get_score(i))))
         self.byte_score = min(self.score.values(), default=0) - 5 * UNIT
-        self.longest = max(map(len, self.score), default=1)
+        self.pieces = ahocorasick.Automaton()
+        for piece, score in self.score.items():
+            self.pieces.add_word(piece, (len(piece), score))
+        self.pieces.make_automaton()
         # Where no piece holds two neighbouring characters, every path has a cut. The three patterns
         # take that as far as the vocabulary allows: cuts after letters, cuts before spaces, none.
         pairs = {pair for piece in self.score for pair in zip(piece, piece[1:])}
@@ -80,27 +84,28 @@ class Vocabulary(dict):
             self.chunks = re.compile(rf" *[{letters}{others}]+| +|[^ {letters}{others}]").findall
         else:
             self.chunks = re.compile(rf" *[{others}]*[{letters}]+| *[{others}]+| +|[^ {letters}{others}]").findall
+        self.score_of = np.array([0] * len(self.text), dtype=np.int64)
+        self.score_of[self.byte_ids] = self.byte_score
+        self.score_of[list(self.id_of.values())] = list(self.score.values())
         self.id_bytes = [i.to_bytes(4, "little") for i in range(len(self.text))]
         self.n, self.room = n, room
 
     def search(self, chunk: str, n: int) -> list[tuple[int, tuple]]:
         """The n best paths through one chunk, best first: score, and the ends of the pieces as nested pairs."""
-        scores, longest, size = self.score.get, self.longest, len(chunk)
-        best, into = [0], [()]
+        size = len(chunk)
+        into: list[list[tuple[int, int]]] = [[] for _ in range(size + 1)]
+        for last, (length, score) in self.pieces.iter(chunk):  # every piece at every place, in one pass
+            into[last + 1].append((last + 1 - length, score))
+        best = [0]
         for end in range(1, size + 1):
-            edges, top = [], -NEVER
-            for start in range(end - longest if end > longest else 0, end):
-                score = scores(chunk[start:end])
-                if score is not None:
-                    edges.append((start, score))
-                    if (reach := best[start] + score) > top:
-                        top = reach
-            if scores(chunk[end - 1]) is None:  # no piece: one edge of bytes
-                score = self.byte_score * len(chunk[end - 1].encode())
-                edges.append((end - 1, score))
-                top = max(top, best[end - 1] + score)
+            edges, top = into[end], None
+            if chunk[end - 1] not in self.score:  # no piece: one edge of bytes
+                edges.append((end - 1, self.byte_score * len(chunk[end - 1].encode())))
+            for start, score in edges:
+                reach = best[start] + score
+                if top is None or reach > top:
+                    top = reach
             best.append(top)
-            into.append(edges)
         # An open path's total is reached by some whole path, so none but the best of the paths still
         # wanted need stay open. Of equal totals the one opened last goes on first.
         found, open_paths, turn, wanted = [], [(best[-1], 0, size, 0, ())], 0, n
@@ -132,11 +137,14 @@ class Vocabulary(dict):
             start = end
         return b"".join(out)
 
-    def __missing__(self, chunk: str) -> tuple[int, bytes, int]:
-        """Best score, best ids and loss of the second best path; the others are searched where they are needed."""
+    def __missing__(self, chunk: str) -> bytes:
+        """Loss of the second best path, marked by the top bit, and the best ids; other paths are searched where needed.
+
+        One piece of bytes per chunk: a text's chunks are joined and taken apart by numpy.
+        """
         paths = self.search(chunk, min(2, self.n))
-        best = paths[0][0]
-        found = best, self._ids(chunk, paths[0][1]), best - paths[1][0] if len(paths) > 1 else NEVER
+        loss = min(paths[0][0] - paths[1][0], NEVER) if len(paths) > 1 else NEVER
+        found = (MARK | loss).to_bytes(4, "little") + self._ids(chunk, paths[0][1])
         if len(chunk) <= 48:
             if len(self) >= self.room:
                 self.clear()
@@ -148,59 +156,79 @@ class Vocabulary(dict):
 
         ids are little-endian unsigned 32-bit numbers.
         """
+        return [(score, ids) for score, ids, _ in self.paths(text)]
+
+    def paths(self, text: str | None) -> list[tuple[int, bytes, list[tuple[str, bytes]]]]:
+        """As encode, with the chunks (text, ids) in which a path differs from the best one."""
         if not text:
-            return [(0, b"")]
+            return [(0, b"", [])]
         chunks = self.chunks(" " + text)
-        entries = [self[c] for c in chunks]
-        total, ids = sum([e[0] for e in entries]), [e[1] for e in entries]
-        out, n = [(total, b"".join(ids))], self.n
-        if n > 1:
+        joined = np.frombuffer(b"".join([self[c] for c in chunks]), dtype="<u4")
+        marked = joined >= MARK
+        ids, begins = joined[~marked], np.flatnonzero(marked)
+        begins = begins - np.arange(len(begins))  # where each chunk's ids begin
+        total = int(self.score_of[ids].sum())
+        out = [(total, ids.tobytes(), [])]
+        if self.n > 1:
             # n - 1 changes at most, and only at the n - 1 places where a first change costs least
-            losses = np.fromiter([e[2] for e in entries], np.int64, len(entries))
-            limit = np.partition(losses, n - 2)[n - 2] if len(losses) >= n else NEVER
+            losses, wanted = joined[marked] & (MARK - 1), self.n - 1
+            limit = np.partition(losses, wanted - 1)[wanted - 1] if len(losses) > wanted else NEVER
             near = np.flatnonzero((losses <= limit) & (losses < NEVER))
-            places = near[np.argsort(losses[near], kind="stable")][: n - 1].tolist()
-            ways = [[(entries[at][0] - score, self._ids(chunks[at], cuts)) for score, cuts in self.search(chunks[at], n)] for at in places]
+            places = sorted(near[np.argsort(losses[near], kind="stable")][:wanted].tolist())
+            ways = []
+            for at in places:
+                found = self.search(chunks[at], self.n)
+                ways.append([(found[0][0] - score, self._ids(chunks[at], cuts)) for score, cuts in found])
+            # the best ids between the places, which every path shares
+            cuts = [0] + [x for at in places for x in (begins[at], begins[at + 1] if at + 1 < len(begins) else len(ids))] + [len(ids)]
+            shared = [ids[a:b].tobytes() for a, b in zip(cuts[::2], cuts[1::2])]
             options = sorted((sum(loss for loss, _ in picks), k, picks) for k, picks in enumerate(itertools.product(*ways)))
-            for loss, _, picks in options[1:n]:
-                for at, (_, changed) in zip(places, picks):
-                    ids[at] = changed
-                out.append((total - loss, b"".join(ids)))
+            for loss, _, picks in options[1 : self.n]:
+                parts = [x for between, (_, own) in zip(shared, picks) for x in (between, own)]
+                out.append((total - loss, b"".join([*parts, shared[-1]]), [(chunks[at], own) for at, (_, own) in zip(places, picks)]))
         return out
 
     def decode(self, ids: bytes) -> str:
         """The text of ids in the form that encode gives."""
-        return b"".join(map(self.text.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())).decode()[1:]
+        return self.join(ids)[1:]
+
+    def join(self, ids: bytes) -> str:
+        """The pieces of ids, one after the other."""
+        return b"".join(map(self.text.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())).decode()
 
 
 PATHS = "n_paths int, n_tokens long, score double, scores array<double>, crc32s array<long>, round_trip boolean"
 
 
 def _digest(vocabulary: Vocabulary, text: str | None) -> tuple:
-    paths = vocabulary.encode(text)
-    scores, marks = [score / UNIT for score, _ in paths], [zlib.crc32(ids) for _, ids in paths]
-    same = all(vocabulary.decode(ids) == (text or "") for _, ids in paths)
+    paths = vocabulary.paths(text)
+    scores, marks = [score / UNIT for score, _, _ in paths], [zlib.crc32(ids) for _, ids, _ in paths]
+    # the best path is decoded whole, the others where they differ from it
+    same = vocabulary.decode(paths[0][1]) == (text or "") and all(
+        vocabulary.join(ids) == chunk for _, _, changed in paths for chunk, ids in changed)
     return (len(paths), len(paths[0][1]) // 4, scores[0], scores, marks, same), paths[0][1]
 
 
-def encode(docs: DataFrame, model_path: str, n: int = 4, with_ids: bool = True) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, n: int = 4, with_ids: bool = True, room: int = 600_000) -> DataFrame:
     """Per row of docs, its columns but the text, and the columns of PATHS; with_ids adds the best path as `ids`.
 
     scores and crc32s (of the ids as little-endian unsigned 32-bit numbers) are of the n best paths;
-    round_trip says that each of them decodes to the text.
+    round_trip says that each of them decodes to the text. A worker keeps the answers for up to
+    `room` chunks, about 200 bytes each.
     """
     added = [part.split()[0] for part in PATHS.split(", ")] + ["ids"] * with_ids
     kept = [f for f in docs.schema.fields if f.name != "text" and f.name not in added]
 
     @F.pandas_udf(", ".join([PATHS, *["ids array<int>"] * with_ids]))
     def segmented(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        vocabulary = kept_by_worker(f"pieces {model_path} {n}", lambda: Vocabulary(model_path, n))
+        vocabulary = kept_by_worker(f"pieces {model_path} {n} {room}", lambda: Vocabulary(model_path, n, room))
         for texts in batches:
-            rows = [_digest(vocabulary, text) for text in texts]
-            frame = pd.DataFrame([row for row, _ in rows], columns=added[:6])
-            if with_ids:
-                frame["ids"] = [np.frombuffer(ids, dtype="<u4").astype(np.int32) for _, ids in rows]
-            yield frame
+            for at in range(0, len(texts), 1000):  # keeps what a task holds small
+                rows = [_digest(vocabulary, text) for text in texts.iloc[at : at + 1000]]
+                frame = pd.DataFrame([row for row, _ in rows], columns=added[:6])
+                if with_ids:
+                    frame["ids"] = [np.frombuffer(ids, dtype="<i4") for _, ids in rows]
+                yield frame
 
     found = docs.withColumn("_paths", segmented("text"))
     return found.select(*[f.name for f in kept], *[F.col("_paths")[c].alias(c) for c in added])
