@@ -34,6 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripgauge.llm.common import kept_by_worker
 from tripgauge.session import scratch_dir
 
 HEAD, CHECK, DATA, ENTRY = "<Q", "<I", "<qBB", "<QQ"
@@ -64,22 +65,32 @@ def read_frame(stream) -> bytes:
 class WordIds(dict):
     """Token ids of a word as little-endian bytes; words not met before go through the tokenizer.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its
-    words. At most `room` words are kept.
+    The tokenizer folds case, drops white space and never joins across it, nor a full stop or comma
+    to the ASCII letter or digit before it, so a text's ids are those of its words. At most `room`
+    words are kept.
     """
 
-    def __init__(self, tokenizer, kind: str, room: int = 500_000):
-        self.tokenizer, self.kind, self.room = tokenizer, kind, room
+    def __init__(self, tokenizer, kind: str, room: int = 800_000):
+        self.tokenizer, self.kind, self.room, self.merges = tokenizer, kind, room, tokenizer.model.tokenize
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.room:
             self.clear()
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        if word[-1:] in (b".", b",") and word[-2:-1].isalnum():
+            found = self[word] = self[word[:-1]] + self[word[-1:]]
+            return found
+        if word.isalpha() and word.islower():  # one pre-token as it stands: spares the steps before the merges
+            ids = [token.id for token in self.merges(word.decode())]
+        else:
+            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
         found = self[word] = np.array(ids, dtype=self.kind).tobytes()
         return found
 
     def of(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, (text or "").encode().split()))
+        data = (text or "").encode()
+        if b"<|" not in data:  # special tokens are told apart by case
+            data = data.lower()
+        return b"".join(map(self.__getitem__, data.split()))
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2) -> DataFrame:
@@ -96,14 +107,17 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
         store, base = fs.FileSystem.from_uri(path)
         part = TaskContext.get().partitionId()
         name = f"{base}/ids/part-{part:06d}-{uuid.uuid4().hex[:12]}"
+        def word_ids() -> WordIds:
+            tokenizer = Tokenizer.from_file(tokenizer_path)
+            return WordIds(tokenizer, "<u2" if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
+
         out = index = words = None
         docs_done = ids_done = place = 0
         for frame in frames:
             if out is None:
                 store.create_dir(f"{base}/ids", recursive=True)
-                tokenizer = Tokenizer.from_file(tokenizer_path)
-                width = 2 if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-                words = WordIds(tokenizer, f"<u{width}")
+                words = kept_by_worker(f"words {tokenizer_path} {end_id}", word_ids)
+                width = int(words.kind[-1])
                 end = np.array([end_id], dtype=words.kind).tobytes()
                 out, index = store.open_output_stream(f"{name}.rec"), store.open_output_stream(f"{name}.idx")
             for doc, text in zip(frame["doc_id"].astype("Int64"), frame["text"]):
