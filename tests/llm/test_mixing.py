@@ -78,3 +78,41 @@ def test_awkward_rows(spark):
     assert mixing.mix(table, plan).columns[:7] == table.columns
     none = mixing.plan_mix(empty(spark))
     assert none.sources == [] and mixing.assign(empty(spark), none).count() == 0
+
+
+def _sources_with_one_huge_document(spark):
+    """Six sources of 401 documents, one of them nearly half of its source."""
+    sizes, rows = np.random.default_rng(5).integers(40, 460, 400).tolist(), []
+    for source in "abcdef":
+        rows += [(len(rows) + i, n, source) for i, n in enumerate([*sizes, sum(sizes) * 9 // 10])]
+    return spark.createDataFrame(rows, "doc_id long, n int, source string").selectExpr("doc_id", "repeat('w ', n) AS text", "source")
+
+
+def test_a_huge_document_stops_nothing(spark):
+    table = _sources_with_one_huge_document(spark)
+    plan = mixing.plan_mix(table, weights=(1,), block_words=2000)
+    hashed = table.withColumn("w", word_count(F.col("text"))).withColumn("h", mixing._hash(F.col("doc_id"), plan.seed))
+    taken = {r.doc_id: r for r in mixing.assign(hashed, plan).collect()}
+    for p in plan.sources:
+        rows = sorted((r for r in taken.values() if r.source == p.source), key=lambda r: r.h)
+        left, once_more = p.target - p.passes * p.size, set()
+        for r in rows:  # the order gone through one by one
+            if r.w <= left:
+                left -= r.w
+                once_more.add(r.doc_id)
+        got = {r.doc_id for r in rows if r.mix_copies > p.passes}
+        assert once_more <= got and len(got - once_more) <= 1
+        assert abs(sum(r.w * r.mix_copies for r in rows) - p.target) <= 0.001 * p.target
+        assert all(len(r.mix_shards) == r.mix_copies and max(r.mix_shards) < plan.shards for r in rows)
+    assert plan.dealt.sum(axis=0).tolist() == [p.quota for p in plan.sources]
+
+
+def test_rows_that_share_an_id_count_whole(spark):
+    table = _sources_with_one_huge_document(spark).where("source < 'c'")
+    twice = table.union(table.where("length(text) < 500"))
+    plan = mixing.plan_mix(twice, weights=(1,), block_words=2000)
+    rows = mixing.assign(twice.withColumn("w", word_count(F.col("text"))), plan).collect()
+    for p in plan.sources:
+        own = [r for r in rows if r.source == p.source]
+        assert abs(sum(r.w * r.mix_copies for r in own) - p.target) <= 0.002 * p.target
+        assert len({(r.doc_id, r.mix_copies) for r in own}) == len({r.doc_id for r in own})

@@ -2,9 +2,15 @@
 
 Every source's documents lie in one fixed random order, the order of a keyed hash, cut into blocks
 of about `block_words` words. A source whose target is r times its size gives each of its blocks
-floor(r) times; the rest comes from a prefix of the order that ends at the last document that still
-fits, plus the one later document that fills the gap best. So a source's taken words differ from
-its target by less than one document.
+floor(r) times; for the rest the order is gone through once and every document taken that still
+fits, then the one document that fills the last gap best. A document larger than what is left is
+passed over and ends nothing, so a source misses its target by at most half of the smallest document
+that is not taken once more.
+
+Going through the order takes rounds. A round takes the documents after the last stop that are no
+larger than the gap, up to the first that no longer fits; that one is the next stop. Sums by hash
+range find the range of the stop, sums inside this range the stop. A round's result is a stretch of
+the hash space and a largest size, so a document's own hash and size tell whether it is taken.
 
 The block quotas are then dealt to output shards by a splitting tree: a node that stands for
 several shards divides its vector of quotas between its halves by a multivariate hypergeometric
@@ -12,8 +18,9 @@ draw, so every shard gets a random mix with exact totals and no two shards share
 blocks a shard gets follows from a keyed permutation of the block numbers; inside a shard the rows
 are ordered by another hash.
 
-Decisions are per source (one row each on the driver: sources are the components of the mix) and
-apply to a document through its hash alone, so texts are never shuffled to decide.
+Decisions are per source (a row for each of its rounds on the driver: sources are the components of
+the mix) and apply to a document through its hash and size, so texts are never shuffled to decide.
+Only where rows share a hash, their common size is looked up.
 
 Defined results: a null text has size 0; sizes of 0 are taken 0 words; a null source is a source of
 its own, last in order; rows that share a doc_id share their hash and are taken together; null
@@ -22,7 +29,7 @@ doc_ids count as one id; an empty table gives an empty mix. Other columns pass t
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from fractions import Fraction
 
 import numpy as np
@@ -33,6 +40,7 @@ from pyspark.sql import functions as F
 from tripgauge.llm.common import settled, word_count
 
 HASH_SPAN = float(2**63)
+HASH_LAST = 2**63 - 1
 
 
 def target_words(sizes: dict[str | None, int], weights=(3, 1, 2), share=Fraction(3, 2), most=2) -> dict:
@@ -95,16 +103,17 @@ class SourcePlan:
     size: int
     target: float
     passes: int  # how often every document is taken
-    buckets: int  # hash ranges that the search for the cut looked at
-    cut_bucket: int = -1  # documents in earlier buckets are taken once more,
-    cut_hash: int = -1  # in this one those up to this hash,
+    buckets: int  # hash ranges that the search for a stop looks at
+    cut_hash: int = -1  # documents up to this hash are taken once more,
+    stretches: tuple = ()  # those with first < hash <= last and a size of at most limit,
     extra_hash: int | None = None  # and the document with this hash
     blocks: int = 1
-    rest_blocks: int = 0  # blocks that the cut touches
+    rest_blocks: int = 0  # blocks that the documents up to cut_hash touch
+    late_blocks: int = 0  # blocks for the documents of the stretches
 
     @property
     def quota(self) -> int:
-        return self.passes * self.blocks + self.rest_blocks + (self.extra_hash is not None)
+        return self.passes * self.blocks + self.rest_blocks + self.late_blocks + (self.extra_hash is not None)
 
 
 @dataclass(frozen=True)
@@ -113,12 +122,14 @@ class MixPlan:
     shards: int
     seed: int
     dealt: np.ndarray = field(repr=False)  # shards x sources
+    repeated: DataFrame | None = field(default=None, repr=False)  # common size of rows that share a hash
 
     def frame(self, spark) -> DataFrame:
-        rows = [(p.source, i, p.size, float(p.target), p.passes, p.buckets, p.cut_bucket, p.cut_hash,
-                 p.extra_hash, p.blocks) for i, p in enumerate(self.sources)]
-        return spark.createDataFrame(rows, "_source string, _index int, _source_size long, _target double, _passes int,"
-                                           " _buckets long, _cut_bucket long, _cut_hash long, _extra long, _blocks long")
+        rows = [(p.source, i, p.size, float(p.target), p.passes, p.cut_hash, list(p.stretches), p.extra_hash, p.blocks,
+                 p.rest_blocks, p.late_blocks) for i, p in enumerate(self.sources)]
+        return spark.createDataFrame(rows, "_source string, _index int, _source_size long, _target double, _passes int, _cut_hash long,"
+                                           " _stretches array<struct<first: long, last: long, limit: double>>, _extra long, _blocks long,"
+                                           " _rest_blocks long, _late_blocks long")
 
 
 def _hash(doc_id: Column, seed: int) -> Column:
@@ -130,59 +141,104 @@ def _part(hashed: Column, parts: Column) -> Column:
     return F.least(F.floor(hashed.cast("double") / HASH_SPAN * parts), parts - 1).cast("long")
 
 
+def _in_stretch(hashed: Column, size: Column) -> Column:
+    return F.exists("_stretches", lambda s: (hashed > s["first"]) & (hashed <= s["last"]) & (size <= s["limit"]))
+
+
+def _round(units: DataFrame, state: dict) -> dict:
+    """One round for the sources of state (source -> buckets, last stop, gap, largest size).
+
+    Gives source -> (words taken, stop), the stop being the hash of the first unit that no longer
+    fits, None when all fit; sources without a unit that fits are left out. With sqrt(n) ranges
+    neither step ever holds more than about sqrt(n) rows of a source.
+    """
+    spark = units.sparkSession
+    wanted = spark.createDataFrame([(s, *values) for s, values in state.items()], "s string, buckets long, after long, gap double, limit double")
+    ranged = units.join(F.broadcast(wanted), units.source.eqNullSafe(wanted.s)).where("size > 0 AND hash > after AND size <= limit")
+    ranged = ranged.withColumn("bucket", _part(F.col("hash"), F.col("buckets")))
+    sums = ranged.groupBy("source", "bucket", "gap").agg(F.sum("size").alias("size")).withColumn(
+        "upto", F.sum("size").over(Window.partitionBy("source").orderBy("bucket")))
+    ends = F.min(F.when(F.expr("upto > gap"), F.struct("bucket", (F.col("upto") - F.col("size")).alias("before"))))
+    found = {r.source: r for r in sums.groupBy("source").agg(F.max("upto").alias("total"), ends.alias("end")).collect()}
+    out = {s: (r.total, None) for s, r in found.items() if r.end is None}
+    stopped = [(s, r.end.bucket, r.end.before) for s, r in found.items() if r.end is not None]
+    if stopped:
+        ends = spark.createDataFrame(stopped, "s2 string, end_bucket long, before long")
+        near = ranged.join(F.broadcast(ends), ranged.source.eqNullSafe(ends.s2) & (ranged.bucket == ends.end_bucket))
+        upto = near.withColumn("upto", F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("hash")))
+        for r in upto.groupBy("source", "before").agg(F.max(F.when(F.expr("upto <= gap"), F.col("upto"))).alias("taken"),
+                                                      F.min(F.when(F.expr("upto > gap"), F.col("hash"))).alias("stop")).collect():
+            out[r.source] = (r.before if r.taken is None else r.taken, r.stop)
+    return out
+
+
 def plan_mix(docs: DataFrame, seed: int = 17, block_words: int = 16_384, shard_words: int = 2**28, min_shards: int = 8,
              weights=(3, 1, 2), share=Fraction(3, 2), most: int = 2) -> MixPlan:
     """Sizes, targets, cuts and shards. Needs doc_id, text and source; reads the text once."""
     spark = docs.sparkSession
-    sized = settled(docs.select(F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
-                                _hash(F.col("doc_id"), seed).alias("hash")), "mix-sizes")
-    totals = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
+    sized = docs.select(F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
+                        _hash(F.col("doc_id"), seed).alias("hash"))
+    units = settled(sized.groupBy("source", "hash").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")), "mix-sizes")
+    totals = units.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"), F.max("n").alias("most")).collect()
     sizes = {r.source: r["size"] for r in totals}
     targets = target_words(sizes, weights, share, most)
     counted = {r.source: r.n for r in totals}
     plans: dict[str | None, SourcePlan] = {}
-    rests: dict[str | None, Fraction] = {}
+    state: dict[str | None, tuple] = {}
     for s, target in targets.items():
         passes = int(target // sizes[s]) if sizes[s] else 0
-        rests[s] = target - passes * sizes[s]
+        rest = float(target - passes * sizes[s])
         plans[s] = SourcePlan(s, sizes[s], float(target), passes, max(1, int(np.ceil(np.sqrt(counted[s])))),
                               blocks=max(1, -(-sizes[s] // block_words)))
-
-    # The cut: sums by hash range, then single documents of the one range in which the rest ends.
-    # With sqrt(n) ranges neither step ever holds more than about sqrt(n) rows of a source.
-    wanted = spark.createDataFrame([(s, p.buckets, float(rests[s])) for s, p in plans.items() if rests[s] > 0],
-                                   "s string, buckets long, rest double")
-    ranged = sized.join(wanted, sized.source.eqNullSafe(wanted.s)).withColumn("bucket", _part(F.col("hash"), F.col("buckets")))
-    by_range = Window.partitionBy("source").orderBy("bucket")
-    sums = ranged.groupBy("source", "bucket", "rest").agg(F.sum("size").alias("size"))
-    ends = sums.withColumn("upto", F.sum("size").over(by_range)).where("upto > rest AND upto - size <= rest").select(
-        F.col("source").alias("s2"), F.col("bucket").alias("cut_bucket"), (F.col("upto") - F.col("size")).alias("before"))
-    near = ranged.join(ends, ranged.source.eqNullSafe(ends.s2) & (ranged.bucket == ends.cut_bucket))
-    upto = F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("hash"))
-    cuts = near.withColumn("upto", upto).groupBy("source", "cut_bucket", "rest").agg(
-        F.max(F.when(F.col("upto") <= F.col("rest"), F.col("hash"))).alias("cut_hash"),
-        F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto")).otherwise(F.col("before"))).alias("covered"))
-    cuts = settled(cuts.select(F.col("source").alias("s3"), "cut_bucket", F.coalesce("cut_hash", F.lit(-1)).alias("cut_hash"),
-                               (F.col("rest") - F.col("covered")).alias("gap")), "mix-cuts")
-    later = ranged.join(cuts, ranged.source.eqNullSafe(cuts.s3)).where(
-        "size > 0 AND (bucket > cut_bucket OR bucket = cut_bucket AND hash > cut_hash) AND abs(size - gap) < gap")
-    fillers = {r.source: r.best.hash for r in later.groupBy("source").agg(
-        F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "hash")).alias("best")).collect()}
-    for r in cuts.collect():
-        p = plans[r.s3]
-        taken = p.blocks * (r.cut_bucket + 1) // p.buckets + 1
-        plans[r.s3] = SourcePlan(p.source, p.size, p.target, p.passes, p.buckets, r.cut_bucket, r.cut_hash,
-                                 fillers.get(r.s3), p.blocks, min(p.blocks, taken))
+        if rest > 0:
+            state[s] = (plans[s].buckets, -1, rest, float("inf"))  # the first round stops at any document
+
+    gaps: dict[str | None, float] = {}
+    late: dict[str | None, int] = {}
+    while state:
+        found = _round(units, state)
+        for s, (buckets, after, gap, limit) in list(state.items()):
+            gaps[s] = gap
+            if s not in found:
+                del state[s]
+                continue
+            taken, stop = found[s]
+            gaps[s], last = gap - taken, HASH_LAST if stop is None else stop - 1
+            if limit == float("inf"):
+                plans[s] = replace(plans[s], cut_hash=last)
+            else:
+                plans[s] = replace(plans[s], stretches=(*plans[s].stretches, (after, last, limit)))
+                late[s] = late.get(s, 0) + taken
+            if stop is None or gaps[s] < 1:
+                del state[s]
+            else:
+                state[s] = (buckets, stop, gaps[s], gaps[s])
+
+    fillers = {}
+    if gaps:
+        left = spark.createDataFrame([(s, gap, plans[s].cut_hash, list(plans[s].stretches)) for s, gap in gaps.items()],
+                                     "s string, gap double, cut_hash long, _stretches array<struct<first: long, last: long, limit: double>>")
+        untaken = units.join(F.broadcast(left), units.source.eqNullSafe(left.s)).where(
+            "size > 0 AND hash > cut_hash AND abs(size - gap) < gap").where(~_in_stretch(F.col("hash"), F.col("size")))
+        fillers = {r.source: r.best.hash for r in untaken.groupBy("source").agg(
+            F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "hash")).alias("best")).collect()}
+    for s in gaps:
+        p = plans[s]
+        touched = min(p.blocks, int(p.cut_hash / HASH_SPAN * p.blocks) + 1) if p.cut_hash >= 0 else 0
+        plans[s] = replace(p, extra_hash=fillers.get(s), rest_blocks=touched, late_blocks=-(-late.get(s, 0) // block_words))
     chosen = list(plans.values())
     shards = max(min_shards, -(-int(sum(targets.values())) // shard_words))
-    return MixPlan(chosen, shards, seed, splitting_tree([p.quota for p in chosen], shards, seed))
+    repeated = None
+    if any(p.stretches for p in chosen) and max((r.most for r in totals), default=1) > 1:
+        repeated = units.where("n > 1").select(F.col("source").alias("_unit_source"), F.col("hash").alias("_unit_hash"), F.col("size").alias("_unit_size"))
+    return MixPlan(chosen, shards, seed, splitting_tree([p.quota for p in chosen], shards, seed), repeated)
 
 
 def _shard_lookup(plan: MixPlan):
-    """A function of (source index, block, whole passes, taken once more, is the filler) giving shards."""
+    """A function of (source index, block, whole passes, block when taken once more or -1, is the filler) giving shards."""
     quotas = np.array([p.quota for p in plan.sources], dtype=np.int64)
     blocks = np.array([p.blocks for p in plan.sources], dtype=np.int64)
-    rest = np.array([p.rest_blocks for p in plan.sources], dtype=np.int64)
+    rest = np.array([p.rest_blocks + p.late_blocks for p in plan.sources], dtype=np.int64)
     start = np.concatenate([[0], np.cumsum(quotas)[:-1]]).astype(np.int64)
     ends = (start[None, :] + np.cumsum(plan.dealt, axis=0)).T.reshape(-1)  # per source, end of each shard's run
     shards, draw = plan.shards, np.random.default_rng([plan.seed, 1])
@@ -201,9 +257,9 @@ def _shard_lookup(plan: MixPlan):
         out = []
         for i, b, whole, again, last in zip(index, block, passes, more, filler):
             at = []
-            for step in range(whole + bool(again)):
+            for step, of in enumerate([b] * whole + [again] * (again >= 0)):
                 a, shift, n = keys[i, step]
-                at.append(step * int(blocks[i]) + (a * b + shift) % n)
+                at.append(step * int(blocks[i]) + (a * of + shift) % n)
             if last:
                 at.append(int(quotas[i]) - 1)
             lo, hi = i * shards, (i + 1) * shards
@@ -213,25 +269,37 @@ def _shard_lookup(plan: MixPlan):
     return shards_of
 
 
+def _assigned(docs: DataFrame, plan: MixPlan, hashed: Column, size) -> DataFrame:
+    """assign for rows whose hash is given and whose size is a function of the row's struct."""
+    parts = plan.frame(docs.sparkSession)  # one row per source
+    rows = docs.select(F.struct("*").alias("_doc"), F.col("source").cast("string").alias("_own"), hashed.alias("_hash"))
+    df = rows.join(parts, F.col("_own").eqNullSafe(F.col("_source")))
+    size = size(F.col("_doc"))
+    if plan.repeated is not None:
+        df = df.join(plan.repeated, F.col("_own").eqNullSafe(F.col("_unit_source")) & (F.col("_hash") == F.col("_unit_hash")), "left")
+        size = F.coalesce("_unit_size", size)
+    early = F.col("_hash") <= F.col("_cut_hash")
+    # the size is looked at only behind the first stop
+    late = F.when(early | (F.size("_stretches") == 0), F.lit(False)).otherwise(_in_stretch(F.col("_hash"), size))
+    df = df.withColumn("_late", late)
+    again = F.when(early, F.least(_part(F.col("_hash"), F.col("_blocks")), F.col("_rest_blocks") - 1)).when(
+        F.col("_late"), F.col("_rest_blocks") + F.coalesce(F.try_mod("_hash", "_late_blocks"), F.lit(0))).otherwise(F.lit(-1))
+    filler = F.coalesce(F.col("_hash") == F.col("_extra"), F.lit(False)) & ~early & ~F.col("_late")
+    df = df.withColumns({"_again": again, "_filler": filler, "_block": _part(F.col("_hash"), F.col("_blocks"))})
+    shards = _shard_lookup(plan)("_index", "_block", "_passes", "_again", "_filler")
+    added = {"mix_source_size": F.col("_source_size"), "mix_target": F.col("_target"),
+             "mix_copies": F.col("_passes") + (F.col("_again") >= 0).cast("int") + F.col("_filler").cast("int"), "mix_shards": shards}
+    kept = [F.col("_doc")[c].alias(c) for c in docs.columns if c not in added]
+    return df.select(*kept, *(value.alias(name) for name, value in added.items()))
+
+
 def assign(docs: DataFrame, plan: MixPlan) -> DataFrame:
     """docs with, per row, how often the mix takes it and into which shards.
 
     Adds mix_source_size, mix_target, mix_copies and mix_shards (one shard per copy); columns that
     have these names are replaced.
     """
-    parts = plan.frame(docs.sparkSession)  # one row per source
-    hashed = docs.select(F.struct("*").alias("_doc"), F.col("source").cast("string").alias("_own"),
-                         _hash(F.col("doc_id"), plan.seed).alias("_hash"))
-    df = hashed.join(parts, F.col("_own").eqNullSafe(F.col("_source")))
-    bucket = _part(F.col("_hash"), F.col("_buckets"))
-    more = (bucket < F.col("_cut_bucket")) | ((bucket == F.col("_cut_bucket")) & (F.col("_hash") <= F.col("_cut_hash")))
-    filler = F.coalesce(F.col("_hash") == F.col("_extra"), F.lit(False)) & ~more
-    df = df.withColumns({"_more": more, "_filler": filler, "_block": _part(F.col("_hash"), F.col("_blocks"))})
-    shards = _shard_lookup(plan)("_index", "_block", "_passes", "_more", "_filler")
-    added = {"mix_source_size": F.col("_source_size"), "mix_target": F.col("_target"),
-             "mix_copies": F.col("_passes") + F.col("_more").cast("int") + F.col("_filler").cast("int"), "mix_shards": shards}
-    kept = [F.col("_doc")[c].alias(c) for c in docs.columns if c not in added]
-    return df.select(*kept, *(value.alias(name) for name, value in added.items()))
+    return _assigned(docs, plan, _hash(F.col("doc_id"), plan.seed), lambda doc: word_count(doc["text"]))
 
 
 def mix(docs: DataFrame, plan: MixPlan) -> DataFrame:
@@ -254,7 +322,7 @@ def op1_mixing(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     plan = plan_mix(docs)
     narrow = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    return assign(narrow, plan).select(
+    return _assigned(narrow, plan, _hash(F.col("doc_id"), plan.seed), lambda doc: doc["size"]).select(
         "doc_id", "size", F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
         (F.col("size") * F.col("mix_copies")).alias("taken"), F.col("mix_copies").alias("copies"),
         F.col("mix_shards").alias("shards"))
