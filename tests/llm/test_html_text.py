@@ -75,3 +75,38 @@ def test_whole_table(spark):
                                 "page_id long, url string, html string, text string")
     assert sorted((r.page_id or 0, r.text) for r in extract(odd).collect()) == [(0, "x"), (1, ""), (1, "")]
     assert extract(odd.limit(0)).count() == 0
+
+
+BODY = ("<p>First paragraph, with enough of a sentence to stand on its own.</p><p>Second one, with commas, and some more words to be sure.</p>",
+        ["First paragraph, with enough of a sentence to stand on its own.", "Second one, with commas, and some more words to be sure."])
+SIDE = '<div class="sidebar-left"><p>Some sidebar text that is rather long, has commas, and ends with a full stop.</p></div>'
+
+
+@pytest.mark.parametrize("names", ["content has-sidebar", "main-content with-sidebar", "content-with-sidebar", "post comments-open", "content sidebar-left",
+                                   "post-12 post category-advertising tag-social hentry"])
+def test_names_of_what_a_part_has(names):
+    assert h.main_text(PAGE % f'<div class="{names}"><h1>Title</h1>{BODY[0]}{SIDE}</div>') == "\n\n".join(["Title", *BODY[1]])
+    assert h.main_text(PAGE % f'<article class="{names}"><h1>Title</h1>{BODY[0]}{SIDE}</article>') == "\n\n".join(["Title", *BODY[1]])
+
+
+@pytest.mark.parametrize("names", ["sidebar", "sidebar content-sidebar", "comment-content", "comment-content widget", "site-header"])
+def test_names_of_boilerplate_stay(names):
+    assert h.main_text(PAGE % f'<article><h1>Title</h1>{BODY[0]}</article><div class="{names}">{BODY[0]}</div>') == "\n\n".join(["Title", *BODY[1]])
+
+
+@pytest.mark.parametrize("opened", ["<article>", '<div class="post">', '<main id="main">'])
+def test_headers_and_links_inside_an_article(opened):
+    closed = f"</{opened[1:].split()[0].strip('>')}>"
+    want = "\n\n".join(["A title", *BODY[1]])
+    for head in ('<header class="entry-header"><h1>A title</h1></header>', "<header><h1>A title</h1></header>", "<h1><a href=/x>A title</a></h1>",
+                 '<header class="post-header"><h2 class="entry-title"><a href="/x">A title</a></h2></header>'):
+        assert h.main_text(PAGE % f"{opened}{head}{BODY[0]}{closed}") == want
+    links = "".join(f"<li><a href=/{i}>Source number {i}</a></li>" for i in range(6)) + "".join(f"<p><a href=/{i}>See part {i}</a></p>" for i in range(4))
+    want = [*BODY[1], *(f"Source number {i}" for i in range(6)), *(f"See part {i}" for i in range(4))]
+    assert h.main_text(PAGE % f"{opened}{BODY[0]}<ul>{links}</ul>{closed}") == "\n\n".join(want)
+
+
+def test_formulas_are_text():
+    formula = ('<math><semantics><mrow><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow>'
+               '<annotation encoding="application/x-tex">x=\\frac12</annotation></semantics></math>')
+    assert h.main_text(f"<article><p>So {formula} holds here.</p></article>") == "So x = 1 2 holds here."

@@ -28,12 +28,14 @@ from pyspark.sql import functions as F
 
 # Element names of the HTML standard, and names that sites give to parts of a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style template noscript iframe object svg math textarea title select canvas audio video".split())
+SKIPPED = frozenset("script style template noscript iframe object svg textarea title select canvas audio video annotation annotation-xml".split())
+FORMULA = frozenset("mi mn mo ms mtext".split())  # parts of a formula, kept apart by blanks
 BLOCK = frozenset("address article aside blockquote body button center dd details dialog dir div dl dt fieldset figcaption figure footer form"
                   " h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody"
                   " tfoot thead tr ul caption".split())
 LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote tr td th figcaption".split())
 HEADINGS = frozenset("h1 h2 h3".split())
+PROSE = HEADINGS | frozenset("h4 h5 h6 p li dt dd blockquote".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 APART = frozenset("nav footer aside form menu dialog button fieldset".split())
 BOILERPLATE_NAMES = frozenset(
@@ -43,10 +45,14 @@ BOILERPLATE_NAMES = frozenset(
     " related reply replies respond responses search share sharing shoutbox sidebar signin signup skip social sponsor sponsored subscribe"
     " subscription tags taboola toolbar topbar tooltip trending widget widgets alert complementary contentinfo".split())
 CONTENT_NAMES = frozenset("article articlebody body content entry hentry main page post story text".split())
+#: Content names that are given to articles and not to whole sites.
+ARTICLE_NAMES = frozenset("article articlebody entry hentry post story".split())
+#: has-sidebar, content-with-sidebar, comments-open: what a part has or allows, not what it is.
+HAVING, ALLOWED = frozenset("has with no without".split()), frozenset("enabled disabled open closed free".split())
 
 #: Weights of the classifier: positive is content.
 WEIGHTS = {"bias": -1.0, "article": 4.0, "apart": -8.0, "header": -8.0, "boilerplate_name": -8.0, "content_name": 2.0, "hidden": -8.0,
-           "links": -5.0, "length": 0.75, "sentence": 0.5,
+           "links": -5.0, "article_links": -0.5, "length": 0.75, "sentence": 0.5,
            "heading": 0.5}
 #: Smoothness: next to each other in one container, next to each other otherwise, next in one container with others between.
 NEAR, TURN, BESIDE = 1.0, 0.3, 0.5
@@ -55,6 +61,7 @@ TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)(
 NAMED = re.compile(r"""(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 SPLIT = re.compile(r"[^a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+SPACES = re.compile(r"[ \t\n\f\r]+")
 HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
@@ -65,17 +72,45 @@ class Element:
         self.tag, self.score, self.in_link, self.in_article = tag, score, in_link, in_article
 
 
+def _parts(name: str) -> set[str]:
+    """The parts of one class, id or role that say what the element is."""
+    parts = [x for x in SPLIT.split(CAMEL.sub(" ", name).lower()) if x]
+    if len(parts) > 1 and parts[-1] in ALLOWED:
+        return set()
+    return set(parts[: next((i for i, x in enumerate(parts) if x in HAVING), len(parts))])
+
+
+def _judged(names: list[str], tag: str, inside: bool) -> tuple[str | None, bool]:
+    """The weight that an element's names give it, and whether they say that it is an article.
+
+    Every name is judged by itself. One that is partly a boilerplate name yields to one beside it, or
+    to an element, that is wholly of content names; a header of an article is no boilerplate.
+    """
+    whole, boilerplate, some, article = tag in ("article", "main"), [], False, False
+    for name in names:
+        parts = _parts(name)
+        if inside or parts & ARTICLE_NAMES:
+            parts.discard("header")
+        if parts & BOILERPLATE_NAMES:
+            boilerplate.append(parts)
+        elif parts & CONTENT_NAMES:
+            some = True
+            if parts <= CONTENT_NAMES:
+                whole, article = True, article or bool(parts & ARTICLE_NAMES)
+    if any(not whole or parts <= BOILERPLATE_NAMES for parts in boilerplate):
+        return "boilerplate_name", False
+    return "content_name" if some else None, article
+
+
 def _opened(tag: str, attributes: str, parent: Element) -> Element:
     """The element with its score: what it and the elements around it say about the text inside."""
-    score, inside = parent.score, parent.in_article
+    score, inside, spared = parent.score, parent.in_article, False
     if tag in ("article", "main"):
         score, inside = WEIGHTS["article"], True  # whatever was left open before it
     elif tag in APART:
         score += WEIGHTS["apart"]
-    elif tag == "header" and not inside:
-        score += WEIGHTS["header"]
     if attributes and "=" in attributes or "hidden" in attributes:
-        names: set[str] = set()
+        names: list[str] = []
         for key, value in NAMED.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
             if key == "style":
@@ -85,12 +120,14 @@ def _opened(tag: str, attributes: str, parent: Element) -> Element:
             elif key == "role" and value.lower() in ("main", "article"):
                 score, inside = max(score, 0) + WEIGHTS["article"], True
             elif key in ("class", "id", "role"):
-                names.update(SPLIT.split(CAMEL.sub(" ", value).lower()))
+                names.extend(SPACES.split(value))
         if tag not in ("body", "html"):
-            if names & BOILERPLATE_NAMES:
-                score += WEIGHTS["boilerplate_name"]
-            elif names & CONTENT_NAMES:
-                score += WEIGHTS["content_name"]
+            weight, article = _judged(names, tag, inside)
+            score += WEIGHTS.get(weight, 0.0)
+            inside = inside or article
+            spared = any(_parts(name) & ARTICLE_NAMES for name in names)
+    if tag == "header" and not inside and not spared:
+        score += WEIGHTS["header"]
     return Element(tag, score, parent.in_link or tag == "a", inside)
 
 
@@ -106,7 +143,9 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
             text = " ".join("".join(parts).split())
             if text:
                 container = next((e for e in reversed(stack) if e.tag not in LEAF and (e.tag in BLOCK or e is root)), root)
-                score = WEIGHTS["bias"] + stack[-1].score + WEIGHTS["links"] * min(1.0, linked / len(text))
+                leaf = next((e for e in reversed(stack) if e.tag in BLOCK), root)
+                links = WEIGHTS["article_links" if leaf.in_article and leaf.tag in PROSE else "links"]
+                score = WEIGHTS["bias"] + stack[-1].score + links * min(1.0, linked / len(text))
                 words = text.count(" ") + 1
                 score += WEIGHTS["length"] * ((words // 8 + 1).bit_length() - 1)
                 score += WEIGHTS["sentence"] * (text[-1] in ".!?…。！？:;\"”»")
@@ -144,7 +183,7 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
         if found[1]:
             if tag in BLOCK:
                 flush()
-            if tag in ("td", "th"):
+            if tag in ("td", "th") or tag in FORMULA:
                 parts.append(" ")
             close((tag,), frozenset())
             continue
@@ -158,7 +197,7 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
             flush()
             if tag != "option":
                 close(("p",), frozenset(("article", "div", "section", "body", "button", "table", "td")))
-        elif tag in ("br", "td", "th"):
+        elif tag in ("br", "td", "th") or tag in FORMULA:
             parts.append(" ")
         if tag in CLOSES:
             close(CLOSES[tag], frozenset(("ul", "ol", "dl", "table", "select", "menu")))
