@@ -92,3 +92,14 @@ def test_quality_awkward_rows(spark):
     assert quality.score(empty(spark), none).count() == 0
     assert len(quality.features(LONG)) == len(quality.features(None)) == len(quality.FEATURES)
     assert np.isfinite(quality.features("\u0000 \x1f ¿")).all()
+
+
+def test_texts_of_control_characters(spark):
+    odd = ["\x00\x01", "\x7f", "\x02 \x03\n\x04"]
+    assert all(np.isfinite(quality.features(t)).all() for t in odd)
+    rows = [(i, "A plain text about nothing much, with a few words in it, and number %d." % i if i % 3 else odd[i // 3 % 3]) for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(60) if i % 3 == 1], "doc_id long, quality int")
+    model = quality.train(table, labels)  # the odd texts are among the unlabelled ones
+    assert np.isfinite(model.centre).all() and 0 <= model.prior <= 1
+    assert all(0 <= r.quality_score <= 1 for r in quality.score(table, model).collect())

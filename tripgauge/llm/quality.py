@@ -53,7 +53,7 @@ def features(text: str | None) -> list[float]:
     if not n:
         return [0.0] * len(FEATURES)
     upper, lower, digits, marks, rare, other = _ASCII @ np.bincount(np.frombuffer(text.encode(), np.uint8), minlength=256)
-    size = upper + lower + digits + marks + rare + other
+    size = max(1.0, upper + lower + digits + marks + rare + other)  # control characters make words, but are none of these
     counts = Counter(words)
     # properties of a word are looked at once per distinct word
     shouted = titled = bare = odd = bang = stops = short = long = letters = 0
