@@ -42,3 +42,12 @@ def test_stages_take_awkward_and_empty_tables(spark, stage):
     assert stage[1](spark, empty(spark), SF).count() == 0
     rows = stage[1](spark, docs(spark), SF).collect()
     assert rows and (stage[0] != "language" or all(r.text and r.text.strip() for r in rows))
+
+
+def test_mix_stage_lays_rows_out_by_shard(spark):
+    from tripgauge.llm import mixing
+
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    want = sorted((r.mix_shard, r.mix_key, r.doc_id) for r in mixing.mix(table, mixing.plan_mix(table)).collect())
+    got = corpus_pipeline.mixed(spark, table, SF)
+    assert got.columns == table.columns and [r.doc_id for r in got.collect()] == [d for *_, d in want]
