@@ -91,7 +91,7 @@ def _sources_with_one_huge_document(spark):
 def test_a_huge_document_stops_nothing(spark):
     table = _sources_with_one_huge_document(spark)
     plan = mixing.plan_mix(table, weights=(1,), block_words=2000)
-    hashed = table.withColumn("w", word_count(F.col("text"))).withColumn("h", mixing._hash(F.col("doc_id"), plan.seed))
+    hashed = table.withColumn("w", word_count(F.col("text"))).withColumn("h", mixing._hash(plan.seed))
     taken = {r.doc_id: r for r in mixing.assign(hashed, plan).collect()}
     for p in plan.sources:
         rows = sorted((r for r in taken.values() if r.source == p.source), key=lambda r: r.h)
@@ -116,3 +116,15 @@ def test_rows_that_share_an_id_count_whole(spark):
         own = [r for r in rows if r.source == p.source]
         assert abs(sum(r.w * r.mix_copies for r in own) - p.target) <= 0.002 * p.target
         assert len({(r.doc_id, r.mix_copies) for r in own}) == len({r.doc_id for r in own})
+
+
+def test_rows_with_a_null_id_are_parted(spark):
+    n = np.random.default_rng(6).integers(40, 460, 900).tolist()
+    rows = [(None if i % 3 == 0 else i, f"number{i} " + "w " * k, "ab"[i % 2]) for i, k in enumerate(n)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.plan_mix(table, weights=(1,), block_words=2000)
+    got = mixing.assign(table.withColumn("w", word_count(F.col("text"))), plan).collect()
+    for p in plan.sources:
+        own = [r for r in got if r.source == p.source]
+        assert abs(sum(r.w * r.mix_copies for r in own) - p.target) <= 0.002 * p.target
+        assert 0.3 < np.mean([r.mix_copies > p.passes for r in own if r.doc_id is None]) < 0.7

@@ -23,8 +23,8 @@ the mix) and apply to a document through its hash and size, so texts are never s
 Only where rows share a hash, their common size is looked up.
 
 Defined results: a null text has size 0; sizes of 0 are taken 0 words; a null source is a source of
-its own, last in order; rows that share a doc_id share their hash and are taken together; null
-doc_ids count as one id; an empty table gives an empty mix. Other columns pass through.
+its own, last in order; the hash is of doc_id and text, so rows that share an id are parted
+and only rows that share both are taken together; a null doc_id is an id; an empty table gives an empty mix. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -132,8 +132,8 @@ class MixPlan:
                                            " _rest_blocks long, _late_blocks long")
 
 
-def _hash(doc_id: Column, seed: int) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(doc_id, F.lit(seed)), 1)
+def _hash(seed: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(seed)), 1)
 
 
 def _part(hashed: Column, parts: Column) -> Column:
@@ -177,7 +177,7 @@ def plan_mix(docs: DataFrame, seed: int = 17, block_words: int = 16_384, shard_w
     """Sizes, targets, cuts and shards. Needs doc_id, text and source; reads the text once."""
     spark = docs.sparkSession
     sized = docs.select(F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
-                        _hash(F.col("doc_id"), seed).alias("hash"))
+                        _hash(seed).alias("hash"))
     units = settled(sized.groupBy("source", "hash").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")), "mix-sizes")
     totals = units.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"), F.max("n").alias("most")).collect()
     sizes = {r.source: r["size"] for r in totals}
@@ -299,7 +299,7 @@ def assign(docs: DataFrame, plan: MixPlan) -> DataFrame:
     Adds mix_source_size, mix_target, mix_copies and mix_shards (one shard per copy); columns that
     have these names are replaced.
     """
-    return _assigned(docs, plan, _hash(F.col("doc_id"), plan.seed), lambda doc: word_count(doc["text"]))
+    return _assigned(docs, plan, _hash(plan.seed), lambda doc: word_count(doc["text"]))
 
 
 def mix(docs: DataFrame, plan: MixPlan) -> DataFrame:
@@ -307,7 +307,7 @@ def mix(docs: DataFrame, plan: MixPlan) -> DataFrame:
     rows = assign(docs, plan)
     own = [c for c in docs.columns if c in rows.columns and not c.startswith("mix_")]
     return rows.select(*own, F.posexplode("mix_shards").alias("mix_copy", "mix_shard")).withColumn(
-        "mix_key", F.xxhash64("doc_id", "mix_copy", F.lit(plan.seed + 1)))
+        "mix_key", F.xxhash64("doc_id", "text", "mix_copy", F.lit(plan.seed + 1)))
 
 
 def write_mix(docs: DataFrame, plan: MixPlan, path: str) -> None:
@@ -321,8 +321,8 @@ def op1_mixing(spark, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     plan = plan_mix(docs)
-    narrow = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    return _assigned(narrow, plan, _hash(F.col("doc_id"), plan.seed), lambda doc: doc["size"]).select(
+    narrow = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), _hash(plan.seed).alias("hash"))
+    return _assigned(narrow, plan, F.col("hash"), lambda doc: doc["size"]).select(
         "doc_id", "size", F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
         (F.col("size") * F.col("mix_copies")).alias("taken"), F.col("mix_copies").alias("copies"),
         F.col("mix_shards").alias("shards"))
