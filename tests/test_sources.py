@@ -3,8 +3,10 @@ import hashlib
 import json
 
 from fixtures import MONTHS, PER_MONTH, sample_months
+from pyspark.sql import functions as F
+
 from tripgauge.operators.integrity import duplicate_audit
-from tripgauge.sources import fingerprint, pages, reports, tables
+from tripgauge.sources import files, fingerprint, pages, reports, tables
 from tripgauge.streaming.landing import land_new_pages
 
 
@@ -55,6 +57,33 @@ def test_pages_with_other_column_orders_bind_by_name(spark, tmp_path):
                    ("2021-07", 1, -1.0)]
 
 
+def test_quoted_cells_hold_breaks_commas_and_quotes(spark, tmp_path):
+    wide = [f"extra_{i}" for i in range(70)]
+    _page(tmp_path / "2021-08", 1, [*wide, "store_and_fwd_flag", "vendorid", "trip_distance"],
+          ",".join(map(str, range(70))) + ',"a\nb, ""c""\r\n",1,2.5', "x" + "," * 70 + '"""",2,"3"', "," * 70 + '"",6,')
+    got = pages.read_pages(spark, str(tmp_path / "2021-08"), ["vendorid", "store_and_fwd_flag", "trip_distance", "extra_0", "extra_69", "gone"])
+    assert sorted((tuple(r)[:-1] for r in got.collect()), key=str) == sorted([
+        ("1", 'a\nb, "c"\r\n', "2.5", "0", "69", None), ("2", '"', "3", "x", None, None), ("6", None, None, None, None, None)], key=str)
+    whole = pages.read_pages(spark, str(tmp_path / "2021-08"), None)
+    assert len(whole.columns) == 74 and whole.where("extra_42 = '42'").count() == 1
+
+
+def test_crafted_pages(spark):
+    def rows(text, columns=("a", "b")):
+        page = spark.createDataFrame([("/x/2021-08/page_1.csv", text)], "path string, value string")
+        return [tuple(r) for r in pages.rows_of_pages(page, columns).collect()]
+
+    m = "2021-08"
+    assert rows('a,b\r\n1,2\r\n\r\n"3\r\n","4"\r\n') == [("1", "2", m), ("3\r\n", "4", m)]
+    assert rows('\ufeff"b","A"\n"x,y","\x01\x1e\x1e1"') == [("\x01\x1e\x1e1", "x,y", m)]
+    assert rows('a,b\n5" pipe,1\n6,2') == [('5" pipe', "1", m), ("6", "2", m)]  # a stray quote swallows nothing
+    assert rows('a,b\n"open,1\n6,2') == [('"open', "1", m), ("6", "2", m)]
+    assert rows('a,b\n1\n1,2,3') == [("1", None, m), ("1", "2", m)]
+    assert rows("a,b") == rows("") == []
+    many = '""' * 20_000
+    assert rows(f'a,b\n"{many}\n",1') == [('"' * 20_000 + "\n", "1", m)]
+
+
 def test_landing_takes_each_page_once(spark, tmp_path):
     source, out = tmp_path / "landing", str(tmp_path / "raw")
     checkpoint = str(tmp_path / "checkpoint")
@@ -133,6 +162,60 @@ def test_months_are_replaced_by_nothing_too(spark, tmp_path):
     assert tables.replace_months(df.where("false"), str(tmp_path / "none"), MONTHS).count() == 0
 
 
+def test_a_killed_replacement_leaves_the_months_readable(spark, tmp_path):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    base, df = str(tmp_path / "t"), sample_months(spark)
+    tables.replace_months(df, base, MONTHS)
+    doomed = df.withColumn("trip_distance", F.when(F.col("pulocationid") % 7 == 3, F.raise_error("killed")).otherwise(F.lit(1.0)))
+    with pytest.raises(PySparkException):
+        tables.replace_months(doomed, base, MONTHS)
+    # a job that dies after the rows and before the pointers has written whole files of a version that nobody reads
+    df.limit(3).withColumn("version", F.lit("dead")).write.mode("append").partitionBy("month", "version").parquet(base)
+    assert tables.read_months(spark, base).count() == 2 * PER_MONTH
+    after = tables.replace_months(df.where(f"month = '{MONTHS[1]}'").limit(5), base, [MONTHS[1]])
+    assert after.count() == 5 and tables.read_months(spark, base).count() == PER_MONTH + 5
+    assert tables.read_months(spark, base, [MONTHS[1]]).count() == 5
+    tables.replace_months(df, base, MONTHS)
+    assert not list(tmp_path.glob("t/month=*/version=dead")) and tables.read_months(spark, base).count() == 2 * PER_MONTH
+    assert "version" not in tables.read_months(spark, base).columns
+    assert {r.month: r.rows for r in tables.pointers(spark, base).collect()} == dict.fromkeys(MONTHS, PER_MONTH)
+
+
+def test_files_describe_themselves(spark, tmp_path):
+    base = tmp_path / "t"
+    tables.write_sorted_months(sample_months(spark).repartition(3), str(base))
+    found = {r.path.rsplit(":", 1)[-1].lstrip("/"): r for r in files.describe_files(spark, str(base), hashed=True, key="tpep_pickup_datetime").collect()}
+    for path in base.rglob("*.parquet"):
+        row = found[str(path).lstrip("/")]
+        assert row.sha256 == hashlib.sha256(path.read_bytes()).hexdigest() and row.bytes == path.stat().st_size
+        assert f"month={row.month}" in row.path and len(row.header) == 19
+    assert sum(r.row_count for r in found.values()) == 2 * PER_MONTH
+    ranges = files.key_ranges(files.describe_files(spark, str(base), key="tpep_pickup_datetime"), "timestamp_ntz")
+    assert files.overlaps(ranges).count() == 0
+    first = min(r.low for r in ranges.collect())
+    assert 0 < files.files_in_range(ranges, f"timestamp_ntz'{first}'", f"timestamp_ntz'{first}'").count() < len(found) or len(found) == 1
+    assert files.overlaps(ranges.union(ranges)).count() > 0
+
+
+def test_every_file_must_have_the_contract_columns(spark, tmp_path):
+    import pytest
+
+    from tripgauge.contract import ContractAbort
+
+    base = str(tmp_path / "t")
+    tables.write_months(sample_months(spark).coalesce(1), base)
+    short = sample_months(spark, MONTHS[1:]).drop("congestion_surcharge").withColumn("new_one", F.lit(1))
+    short.coalesce(1).write.mode("append").partitionBy("month").parquet(base)
+    schemas = files.schema_by_file(files.describe_files(spark, base))
+    assert sorted((r.month, r.status, r.missing_columns, r.unexpected_columns) for r in schemas.collect()) == [
+        (MONTHS[0], "PASS", [], []), (MONTHS[1], "FAIL", ["congestion_surcharge"], ["new_one"]), (MONTHS[1], "PASS", [], [])]
+    for _ in range(5):
+        with pytest.raises(ContractAbort, match=f"month={MONTHS[1]}.*congestion_surcharge"):
+            files.require_file_schemas(schemas)
+
+
 def test_missing_report_is_empty(spark, tmp_path):
     df = reports.read_retrieval_report(spark, str(tmp_path / "absent.json"))
     assert df.count() == 0 and "api_count" in df.columns
@@ -201,7 +284,8 @@ def test_manifest_joins_provenance(spark, tmp_path):
     tables.write_months(sample_months(spark), base)
     _report(path)
     manifest = fingerprint.build_manifest(
-        tables.read_months(spark, base), reports.read_retrieval_report(spark, str(path)))
+        files.describe_files(spark, base, hashed=True), reports.read_retrieval_report(spark, str(path)))
     rows = {r.month: r for r in manifest.collect()}
+    assert rows[MONTHS[0]].header_column_count == 19 and len(rows[MONTHS[0]].sha256) == 64
     assert rows[MONTHS[0]].row_count == PER_MONTH and rows[MONTHS[0]].count_reconciled is True
     assert rows[MONTHS[0]].bytes > 0 and rows[MONTHS[1]].api_count is None

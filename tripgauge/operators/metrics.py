@@ -69,10 +69,15 @@ def monthly_facts(facts: DataFrame, ruler: DataFrame, contract: Contract) -> Dat
 
 def metrics_wide(counts: DataFrame, facts: DataFrame, ruler: DataFrame, contract: Contract
                  ) -> DataFrame:
+    return wide_of(counts, monthly_facts(facts, ruler, contract))
+
+
+def wide_of(counts: DataFrame, monthly: DataFrame) -> DataFrame:
+    """Rates from the contract's counts beside the metrics of the facts, a row per period of both."""
     rates = period_coverage(counts).selectExpr(
         "month", "coverage AS valid_trip_rate", f"{_INVALID} AS invalid_trip_rate",
         "total_rows AS raw_rows", "valid_rows", "quarantined_rows")
-    return rates.join(monthly_facts(facts, ruler, contract), "month")
+    return rates.join(monthly, "month")
 
 
 def metrics_long(wide: DataFrame) -> DataFrame:

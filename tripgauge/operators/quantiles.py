@@ -42,11 +42,12 @@ def value_histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame
 
 
 def distribution(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float],
-                 shares: Mapping[str, str] | None = None, rows: str = "trips") -> DataFrame:
+                 shares: Mapping[str, str] | None = None, rows: str = "trips", weight: str = "1L") -> DataFrame:
     """Per group: row count, interpolated quantiles of ``value`` and shares of conditions.
 
     ``probs`` maps an output name to a probability, ``shares`` an output name to a condition;
-    rows where a condition is NULL are left out of its share. The input is read and shuffled
+    rows where a condition is NULL are left out of its share. A row counts ``weight`` times, so that
+    an input may be a histogram itself. The input is read and shuffled
     once: counts, shares and quantiles all come from the same value histogram.
     """
     shares = dict(shares or {})
@@ -54,9 +55,9 @@ def distribution(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[
     # conditions take part in the grouping: a group of equal rows stays one row, and both
     # uses below read the same shuffle
     hist = (
-        df.selectExpr(*keys, f"CAST({value} AS DOUBLE) AS _v",
+        df.selectExpr(*keys, f"CAST({value} AS DOUBLE) AS _v", f"{weight} AS _times",
                       *[f"({cond}) AS {f}" for f, cond in zip(flags, shares.values())])
-        .groupBy(*keys, "_v", *flags).agg(*exprs("count(1) AS _n"))
+        .groupBy(*keys, "_v", *flags).agg(*exprs("sum(_times) AS _n"))
         .selectExpr("*", f"CASE WHEN _v IS NOT NULL THEN {value_bin('_v')} END AS _bin")
     )
 

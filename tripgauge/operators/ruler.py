@@ -16,14 +16,16 @@ from tripgauge.operators.rules import passes
 CELL = ["distance_band", "time_bucket"]
 
 
-def build_ruler(facts: DataFrame, baseline: str, contract: Contract) -> DataFrame:
+def build_ruler(facts: DataFrame, baseline: str, contract: Contract, weight: str = "1L") -> DataFrame:
     """Expected minutes per distance band and time of day, learnt on the baseline period.
 
+    A row stands for ``weight`` trips, so the facts may be a histogram of durations.
+
     Scoring compares with the published value, which has two decimals.
     """
     cells = distribution(
         facts.where(F.col("month") == baseline), CELL, "duration_min",
-        {"expected_duration_min": contract.ruler_percentile}, rows="baseline_trips")
+        {"expected_duration_min": contract.ruler_percentile}, rows="baseline_trips", weight=weight)
     return cells.selectExpr(
         *CELL, f"{rounded('expected_duration_min', 2)} AS expected_duration_min",
         "baseline_trips")

@@ -10,7 +10,7 @@ from tripgauge.functions.casts import exprs, rounded
 from tripgauge.functions.scales import id_list, number, segment
 from tripgauge.operators.metrics import P50_P90, rounded_quantiles
 from tripgauge.operators.quantiles import distribution
-from tripgauge.operators.ruler import slow
+from tripgauge.operators.ruler import score, slow
 
 
 def _slice(scored: DataFrame, keys: list[str], contract: Contract, slow_name: str) -> DataFrame:
@@ -24,12 +24,14 @@ def hourly_detail(scored: DataFrame, contract: Contract) -> DataFrame:
 
 
 def zone_detail(scored: DataFrame, lookup: DataFrame, contract: Contract) -> DataFrame:
-    """Per period and pickup zone, named from ``lookup(pickup_zone_id, pickup_zone, borough)``.
-
-    Names are joined after the aggregation, when a period has one row per zone.
-    """
+    """Per period and pickup zone, named from ``lookup(pickup_zone_id, pickup_zone, borough)``."""
     zones = _slice(scored.where("pickup_zone_id >= 1"), ["month", "pickup_zone_id"], contract,
                    "slow_trip_share")
+    return _named_zones(zones, lookup, contract)
+
+
+def _named_zones(zones: DataFrame, lookup: DataFrame, contract: Contract) -> DataFrame:
+    """Names are joined after the aggregation, when a period has one row per zone."""
     return zones.join(lookup, "pickup_zone_id", "left").selectExpr(
         "month", "pickup_zone_id", "pickup_zone", "borough",
         f"pickup_zone_id IN ({id_list(contract.airport_zone_ids)}) AS airport_zone",
@@ -39,11 +41,51 @@ def zone_detail(scored: DataFrame, lookup: DataFrame, contract: Contract) -> Dat
 
 def segments(scored: DataFrame, contract: Contract) -> DataFrame:
     labelled = scored.selectExpr("*", f"{segment('pickup_zone_id', contract)} AS segment")
-    return _slice(labelled, ["month", "segment"], contract, "slow_trip_share").selectExpr(
+    return _with_share(_slice(labelled, ["month", "segment"], contract, "slow_trip_share"))
+
+
+def _with_share(segments_of: DataFrame) -> DataFrame:
+    return segments_of.selectExpr(
         "*", "CAST(trips AS DOUBLE) / CAST(sum(trips) OVER (PARTITION BY month) AS DOUBLE) "
              "AS share_of_trips")
 
 
+def all_slices(facts: DataFrame, ruler: DataFrame, contract: Contract) -> DataFrame:
+    """(slice, month, key, trips, quantiles, slow_trip_share, trip_time_reliability) of periods,
+    hours, zones and segments together.
+
+    Each trip stands once per slice it belongs to, as in grouping sets, and equal trips of a slice
+    meet before the shuffle, so all tables come from one exchange of the facts. Trips without a cell
+    of the ruler count for their period only.
+    """
+    known = "expected_duration_min IS NOT NULL"
+    places = ", ".join([
+        "named_struct('slice', 'month', 'key', CAST(NULL AS STRING))",
+        f"CASE WHEN {known} THEN named_struct('slice', 'hour', 'key', CAST(hour AS STRING)) END",
+        f"CASE WHEN {known} AND pickup_zone_id >= 1 THEN named_struct('slice', 'zone', 'key', CAST(pickup_zone_id AS STRING)) END",
+        f"CASE WHEN {known} THEN named_struct('slice', 'segment', 'key', {segment('pickup_zone_id', contract)}) END"])
+    rows = score(facts, ruler, "left").selectExpr(
+        "month", "duration_min", "speed_mph", "on_time", f"explode(array_compact(array({places}))) AS place").selectExpr(
+        "place.slice AS slice", "month", "place.key AS key", "duration_min", "speed_mph", "on_time")
+    return _slice(rows, ["slice", "month", "key"], contract, "slow_trip_share")
+
+
+def slice_tables(slices_of: DataFrame, lookup: DataFrame, contract: Contract) -> dict[str, DataFrame]:
+    """The monthly, hourly, zone and segment tables out of ``all_slices``."""
+    def part(name: str, key: str, *more: str) -> DataFrame:
+        return slices_of.where(F.col("slice") == name).selectExpr("month", key, *more)
+
+    measures = [*P50_P90, "slow_trip_share", "trip_time_reliability"]
+    monthly = slices_of.where("slice = 'month' AND trip_time_reliability IS NOT NULL").select("month", *measures)
+    zones = part("zone", "CAST(key AS BIGINT) AS pickup_zone_id", "trips", *measures)
+    return {
+        "monthly": monthly,
+        "hourly": part("hour", "CAST(key AS BIGINT) AS hour", "trips", *P50_P90, "slow_trip_share AS slow_share", "trip_time_reliability"),
+        "zones": _named_zones(zones, lookup, contract),
+        "segments": _with_share(part("segment", "key AS segment", "trips", *measures)),
+    }
+
+
 def _top_of_last_period(table: DataFrame, k: int, *order: Column) -> DataFrame:
     """The first k rows of the last period of a result table.
 

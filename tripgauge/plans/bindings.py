@@ -133,10 +133,15 @@ class Fulfilment:
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Order lines with their order and both nations; keys decide, sizes are Spark's call."""
+        """Order lines with their order and both nations.
+
+        Lines and orders both grow with the data, so they always meet by a shuffle on the order key,
+        which also spreads the rules over all tasks, however few files the lines lie in. Customers
+        and suppliers are Spark's call.
+        """
         return (
             self.table("lineitem")
-            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(self.table("orders").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("customer").select("c_custkey", "c_nationkey"),
                   F.col("o_custkey") == F.col("c_custkey"))
             .join(self.table("supplier").select("s_suppkey", "s_nationkey"),

@@ -16,6 +16,7 @@ from tripgauge.operators import facts as facts_op
 from tripgauge.operators import metrics, quality, ruler, rules, slices
 from tripgauge.operators.integrity import require_files
 from tripgauge.sources import reports
+from tripgauge.sources.files import describe_files, require_file_schemas, schema_by_file
 from tripgauge.sources.fingerprint import build_manifest
 from tripgauge.sources.tables import read_months, replace_months, write_report_csv
 
@@ -34,25 +35,24 @@ def _written(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def require_month_schemas(spark: SparkSession, raw_base: str, months: Sequence[str]) -> dict:
-    """Every month's own columns, from its own files: a table read whole would hide a gap."""
-    reports = {m: quality.require_schema(spark.read.parquet(f"{raw_base}/month={m}")) for m in months}
-    return {"status": "PASS", "months": reports}
-
-
-def validate(spark: SparkSession, raw: DataFrame, provenance: DataFrame, out: str,
-             contract: Contract, raw_base: str | None = None) -> dict:
+def validate(spark: SparkSession, raw: DataFrame, provenance: DataFrame, out: str, contract: Contract,
+             months: Sequence[str] | None = None) -> dict:
     """Staged, quarantine and fact tables and the report tables.
 
-    Aborts on a month without a contract column, on contradicting provenance and on lost rows.
-    Every layer's months of this run are replaced, also by nothing.
+    ``raw`` is a month table read from files, of these ``months`` if they are given. Aborts on a file without a contract column, on
+    contradicting provenance and on lost rows. Every layer's months of this run are replaced, also by
+    nothing, and each month of a layer changes at once.
     """
     quality.require_schema(raw)
+    found = raw.inputFiles()
+    if not found:
+        raise ContractAbort("no input files: retrieve the pages first")
+    files = _written(spark, describe_files(spark, found, hashed=True, months=months), f"{out}/manifest_files")
+    schemas = schema_by_file(files)
+    require_file_schemas(schemas)
     manifest = require_files(_written(
-        spark, build_manifest(raw, reports.one_per_month(provenance)), f"{out}/manifest"))
+        spark, build_manifest(files, reports.one_per_month(provenance)), f"{out}/manifest"))
     months = [r.month for r in manifest.select("month").collect()]  # bounded by the calendar
-    if raw_base is not None:
-        require_month_schemas(spark, raw_base, months)
 
     staged = replace_months(rules.stage(raw, contract), f"{out}/staged", months)
     quarantine = replace_months(rules.quarantined(staged), f"{out}/quarantine", months)
@@ -69,6 +69,7 @@ def validate(spark: SparkSession, raw: DataFrame, provenance: DataFrame, out: st
     tables = {
         "rule_results": results,
         "schema": quality.schema_table(raw),
+        "schema_by_file": schemas,
         "totals": quality.contract_totals(counts),
         "status_tally": quality.status_tally(results),
         "row_conservation": conservation,
@@ -83,23 +84,25 @@ def validate(spark: SparkSession, raw: DataFrame, provenance: DataFrame, out: st
 def compute_metrics(spark: SparkSession, counts: DataFrame, facts: DataFrame, lookup: DataFrame,
                     out: str, baseline: str, contract: Contract,
                     baseline_facts: DataFrame | None = None) -> None:
-    """The scope applies to what is scored; the ruler comes from the whole baseline period."""
+    """The scope applies to what is scored; the ruler comes from the whole baseline period.
+
+    The facts are read twice: once for the ruler, of the baseline alone, and once for all tables.
+    """
     learnt = facts if baseline_facts is None else baseline_facts
     cells = _written(spark, ruler.build_ruler(learnt, baseline, contract), f"{out}/ruler")
     if cells.isEmpty():
         raise ContractAbort(f"no valid trips in the baseline period {baseline}")
     facts = facts_op.scoped_to(facts, counts)
-    scored = ruler.score(facts, cells)
-    wide = _written(spark, metrics.metrics_wide(counts, facts, cells, contract),
-                    f"{out}/metrics/monthly_wide")
+    one_pass = _written(spark, slices.all_slices(facts, cells, contract), f"{out}/metrics/slices")
+    found = slices.slice_tables(one_pass, lookup, contract)
+    wide = _written(spark, metrics.wide_of(counts, found["monthly"]), f"{out}/metrics/monthly_wide")
     exports = {
         "expected_duration_baseline": (cells, ["distance_band", "time_bucket"]),
         "metrics_monthly_wide": (wide, ["month"]),
         "metrics_monthly": (metrics.metrics_long(wide), ["month", "metric_id"]),
-        "metrics_hourly_detail": (slices.hourly_detail(scored, contract), ["month", "hour"]),
-        "metrics_zone_detail": (slices.zone_detail(scored, lookup, contract),
-                                ["month", "pickup_zone_id"]),
-        "metrics_segments": (slices.segments(scored, contract), ["month", "segment"]),
+        "metrics_hourly_detail": (found["hourly"], ["month", "hour"]),
+        "metrics_zone_detail": (found["zones"], ["month", "pickup_zone_id"]),
+        "metrics_segments": (found["segments"], ["month", "segment"]),
     }
     for name, (df, keys) in exports.items():
         write_report_csv(df, f"{out}/csv/{name}", *keys)
@@ -108,7 +111,7 @@ def compute_metrics(spark: SparkSession, counts: DataFrame, facts: DataFrame, lo
 def run(spark: SparkSession, raw_base: str, provenance: DataFrame, lookup: DataFrame, out: str,
         baseline: str, contract: Contract = Contract(), months: Sequence[str] | None = None,
         publish_required: bool = False) -> RunResult:
-    done = validate(spark, read_months(spark, raw_base, months), provenance, out, contract, raw_base)
+    done = validate(spark, read_months(spark, raw_base, months), provenance, out, contract, months)
     baseline_facts = None
     if months is not None and baseline not in months:
         whole = rules.stage(read_months(spark, raw_base, [baseline]), contract)

@@ -21,6 +21,7 @@ from tripgauge.operators import (
     rules,
     slices,
 )
+from tripgauge.plans import landed
 from tripgauge.plans.bindings import Events, Fulfilment
 from tripgauge.session import scratch_dir
 from tripgauge.sources.fingerprint import content_fingerprint
@@ -249,6 +250,19 @@ def build() -> dict[str, Query]:
         "months_to_process": fu(_months_to_process),
         "incremental_counts": ev(_incremental_counts),
         "conservation_of_outputs": fu(_conservation_of_outputs),
+        "paged_csv_scan": fu(landed.paged_csv_scan),
+        "zone_lookup_scan": ev(landed.zone_lookup_scan),
+        "zone_pages_scan": fu(landed.zone_pages_scan),
+        "retrieval_report_scan": fu(landed.retrieval_report_scan),
+        "integrity_from_report": fu(landed.integrity_from_report),
+        "reports_as_data": fu(landed.reports_as_data),
+        "report_csvs": ev(landed.report_csvs),
+        "sorted_months_pruned": fu(landed.sorted_months_pruned),
+        "schema_by_file": fu(landed.schema_by_file),
+        "manifest_files": fu(landed.manifest_files),
+        "month_replacement": fu(landed.month_replacement),
+        "incremental_gate": ev(landed.incremental_gate),
+        "incremental_ruler": ev(landed.incremental_ruler),
         "describe_schema": fu(lambda b: profiles.describe_columns(b.table("lineitem"))),
     }
     # rules
@@ -315,6 +329,7 @@ def build() -> dict[str, Query]:
         "hourly_detail": ev(_hours),
         "zone_detail": ev(_zones),
         "segments": ev(lambda b: slices.segments(b.scored, b.contract)),
+        "slices_in_one_pass": ev(landed.slices_in_one_pass),
         "worst_hours": ev(lambda b: slices.worst_hours(_hours(b))),
         "worst_zones": ev(lambda b: slices.worst_zones(_zones(b))),
         "zone_map_feed": ev(lambda b: slices.zone_map_feed(_zones(b, last_only=True))),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripgauge.sources.files import describe_files
+
 
 def rendered_row(names: list[str]) -> str:
     """A row as text: every cell as its length and its value, a missing cell as ``-``.
@@ -37,32 +39,21 @@ def content_fingerprint(df: DataFrame, columns: list[str] | None = None) -> Data
 
 
 def byte_fingerprint(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Per file: bytes and the sha256 of its bytes. For files that fit one row (under 2 GB)."""
-    files = spark.read.format("binaryFile").load(paths)
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("name"),
-        F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"),
-    )
+    """Per Parquet file: bytes and the sha256 of its bytes, whatever its size."""
+    return describe_files(spark, paths, hashed=True).select("name", "bytes", "sha256")
 
 
-def build_manifest(raw: DataFrame, provenance: DataFrame) -> DataFrame:
-    """One row per month: files, bytes, rows, columns and content of the raw table beside what
-    retrieval recorded.
+def build_manifest(files: DataFrame, provenance: DataFrame) -> DataFrame:
+    """One row per month: files, bytes, rows, columns and digests beside what retrieval recorded.
 
-    ``raw`` is a table read from files and partitioned by ``month``; it is read once.
+    ``files`` describes the files of the month table (see ``describe_files``), a row each; rows are
+    those that the footers count. A month's header is that of its first file by name.
     """
-    names = [c for c in raw.columns if c != "month"]
-    files = raw.select(
-        "month", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
-        F.expr(_row_number(names)).alias("h")).groupBy("month", "file", "size").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("h").alias("h"))
     months = files.groupBy("month").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"),
-        F.sum("n").alias("row_count"), F.sum("h").cast("string").alias("content_hash"))
-    return months.withColumns({
-        "header": F.lit(",".join(names)), "header_column_count": F.lit(len(names)).cast("bigint"),
-    }).join(
-        provenance.select("month", "api_count", "rows_stored", "count_reconciled", "pages",
-                          "composite_key_duplicates"),
-        "month", "left",
-    )
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("row_count").alias("row_count"),
+        F.sum("row_groups").alias("row_groups"), F.min_by("header", "path").alias("header"),
+        # of fixed size however many files a month has
+        F.sha2(F.concat_ws(",", F.sort_array(F.collect_list("sha256"))).cast("binary"), 256).alias("sha256"))
+    return months.withColumn("header_column_count", F.size("header").cast("bigint")).join(
+        provenance.select("month", "api_count", "rows_stored", "count_reconciled", "pages", "composite_key_duplicates"),
+        "month", "left")

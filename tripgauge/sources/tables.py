@@ -1,19 +1,64 @@
-"""Month tables: partition-pruned reads, partitioned writes and small sorted exports."""
+"""Month tables: pruned reads, versioned replacement of months and small sorted exports."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripgauge.contract import COMPOSITE_KEY
+from tripgauge.sources.files import opened
+
+
+# partition columns that tell how rows came in; they are no columns of the table
+LANDED, VERSION = "landed_batch", "version"
+_POINTERS = "month string, version string, rows bigint, seq bigint"
+
+
+def pointers(spark: SparkSession, base: str) -> DataFrame:
+    """(month, version, rows, seq): the version each month of a versioned table is at, and its rows.
+
+    Every replacement adds one file to the pointers, its last step; the newest entry of a month counts.
+    """
+    try:
+        told = spark.read.schema(_POINTERS).json(f"{base}/_pointers")
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        told = spark.createDataFrame([], _POINTERS)
+    newest = told.groupBy("month").agg(F.max_by(F.struct("version", "rows", "seq"), "seq").alias("p"))
+    return newest.selectExpr("month", "p.version", "p.rows", "p.seq")
 
 
 def read_months(spark: SparkSession, base: str, months: Sequence[str] | None = None) -> DataFrame:
-    """A table partitioned by ``month``; only the asked months' folders are opened."""
-    df = spark.read.parquet(base).withColumn("month", F.col("month").cast("string"))
-    return df if months is None else df.where(F.col("month").isin(*months))
+    """A table partitioned by ``month``; only the asked months' folders are opened.
+
+    Of a versioned table the versions that the pointers name are read, and nothing else below it.
+    """
+    now = {r.month: r for r in pointers(spark, base).collect()}  # bounded by the calendar
+    wanted = None if months is None else set(months)
+    if now:
+        paths = [f"{base}/month={m}/{VERSION}={r.version}" for m, r in sorted(now.items()) if r.rows and (wanted is None or m in wanted)]
+        # the folder says what the columns are where no wanted month has a row
+        df = spark.read.option("basePath", base).parquet(*paths) if paths else spark.read.parquet(base).where("false")
+    else:
+        df = spark.read.parquet(base)
+    df = df.withColumn("month", F.col("month").cast("string")).drop(LANDED, VERSION)
+    return df if wanted is None else df.where(F.col("month").isin(*wanted))
+
+
+def read_files(spark: SparkSession, base: str, found: DataFrame) -> DataFrame:
+    """The rows of these files (path) of a month table; nothing else of it is opened."""
+    paths = [r.path for r in found.select("path").collect()]  # a row per file
+    whole = spark.read.parquet(base)
+    if not paths:
+        return whole.where("false")
+    df = spark.read.schema(whole.schema).option("basePath", base).parquet(*paths)
+    return df.withColumn("month", F.col("month").cast("string")).drop(LANDED, VERSION)
 
 
 def write_months(df: DataFrame, base: str) -> None:
@@ -24,27 +69,42 @@ def write_months(df: DataFrame, base: str) -> None:
     )
 
 
-def drop_months(spark: SparkSession, base: str, months: Sequence[str]) -> None:
-    """Remove the folders of these months, if there are any."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    conf = spark._jsc.hadoopConfiguration()
+def clear_versions(spark: SparkSession, base: str, months: Sequence[str]) -> None:
+    """Remove every version of these months that no pointer names: failed ones and those of runs before."""
+    now = {r.month: r.version for r in pointers(spark, base).collect()}
     for month in months:
-        folder = hadoop.Path(f"{base}/month={month}")
-        folder.getFileSystem(conf).delete(folder, True)
+        store, place = opened(f"{base}/month={month}")
+        for found in store.get_file_info(fs.FileSelector(place, allow_not_found=True)):
+            if found.type == fs.FileType.Directory and found.base_name.startswith(f"{VERSION}=") and found.base_name != f"{VERSION}={now.get(month)}":
+                store.delete_dir(found.path)
 
 
 def replace_months(df: DataFrame, base: str, months: Sequence[str]) -> DataFrame:
-    """Write ``df`` as these months of the table and read them back.
+    """Write ``df`` as these months of a versioned table and read them back.
 
-    A month without rows in ``df`` is left without rows: nothing of an earlier run stays. If the
-    job dies in between, months are missing, never stale.
+    The rows go into folders of a new version, which nobody reads before the pointers name it. They
+    are written last, in one file, so every month changes at once or not at all: a job that dies
+    leaves the months as they were. A month without rows in ``df`` is left without rows. The version
+    before stays until the next replacement, for readers that planned with it. One writer at a time.
     """
     spark = df.sparkSession
-    drop_months(spark, base, months)
-    write_months(df.where(F.col("month").isin(*months)), base)
+    clear_versions(spark, base, months)
+    version = uuid.uuid4().hex
+    rows = df.where(F.col("month").isin(*months)).withColumn(VERSION, F.lit(version))
+    rows.write.mode("append").option("compression", "zstd").partitionBy("month", VERSION).parquet(base)
     names = [f.name for f in df.schema.fields if f.name != "month"]
     schema = df.select(*names, F.col("month").cast("string")).schema
-    return spark.read.schema(schema).parquet(base).where(F.col("month").isin(*months))
+    fresh = spark.read.schema(schema).parquet(base)
+    # counted on what was written, from the files' own row counts
+    written = spark.read.schema(f"month string, {VERSION} string").parquet(base).where(F.col(VERSION) == version).groupBy("month").count()
+    last = spark.createDataFrame([(m,) for m in months], "month string").join(written, "month", "left")
+    seq = pointers(spark, base).agg(F.coalesce(F.max("seq"), F.lit(0)) + 1).first()[0]
+    entries = last.select("month", F.lit(version).alias("version"), F.coalesce("count", F.lit(0)).alias("rows"), F.lit(seq).alias("seq"))
+    entries.coalesce(1).write.mode("append").json(f"{base}/_pointers")
+    held = [f"{base}/month={r.month}/{VERSION}={version}" for r in pointers(spark, base).where(F.col("month").isin(*months)).collect() if r.rows]
+    if not held:
+        return fresh.where("false").drop(VERSION)
+    return spark.read.schema(schema).option("basePath", base).parquet(*held).drop(VERSION)
 
 
 def write_sorted_months(df: DataFrame, base: str, key: Sequence[str] = COMPOSITE_KEY) -> None:
