@@ -110,3 +110,44 @@ def test_formulas_are_text():
     formula = ('<math><semantics><mrow><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow>'
                '<annotation encoding="application/x-tex">x=\\frac12</annotation></semantics></math>')
     assert h.main_text(f"<article><p>So {formula} holds here.</p></article>") == "So x = 1 2 holds here."
+
+
+@pytest.mark.parametrize("paragraph,want", [
+    ('<p class="a"">He said "hi" to them all, and went on.</p>', 'He said "hi" to them all, and went on.'),
+    ("<p title='it's'>And it's whole, this one, too.</p>", "And it's whole, this one, too."),
+    ('<p data-x="a > b" class=y>A value may hold the sign.</p>', "A value may hold the sign."),
+    ('<p "x>One two three.</p>', "One two three."),
+])
+def test_stray_quotes_swallow_nothing(paragraph, want):
+    assert h.main_text(f"<article>{BODY[0]}{paragraph}{BODY[0]}</article>") == "\n\n".join([*BODY[1], want, *BODY[1]])
+
+
+@pytest.mark.parametrize("opened", ['section id="search"', 'div id="tags"', 'p id="login"', 'div class="form-of-government"', 'div class="search-results-explained"',
+                                    'section id="cookies"', 'div id="social-media"'])
+def test_subjects_inside_an_article_are_no_boilerplate(opened):
+    page = f"<article><h1>Title</h1>{BODY[0]}<{opened}>Some more of it, as long as a line.</{opened.split()[0]}>{BODY[0]}</article>"
+    assert h.main_text(PAGE % page) == "\n\n".join(["Title", *BODY[1], "Some more of it, as long as a line.", *BODY[1]])
+
+
+@pytest.mark.parametrize("names", ['class="share-buttons"', 'class="related-posts"', 'id="comments"', 'id="comment-list"', 'class="ad-slot"', 'class="social-links"',
+                                   'class="newsletter-box"', 'id="sidebar"', 'class="tags"', 'class="comment-list"'])
+def test_boilerplate_inside_an_article_goes(names):
+    page = f"<article><h1>Title</h1>{BODY[0]}<div {names}><p>Some text that is rather long, has commas, and ends with a full stop.</p></div></article>"
+    assert h.main_text(PAGE % page) == "\n\n".join(["Title", *BODY[1]])
+
+
+def test_short_articles_and_scripts():
+    assert h.main_text("<div><h1>Title</h1><p>Yes.</p><p>No</p><p>20 words.</p><p>Why</p></div>") == "Title\n\nYes.\n\nNo\n\n20 words.\n\nWhy"
+    assert h.main_text("<nav><a href=/>Home</a></nav><footer>All rights reserved.</footer>") == ""
+    assert h.main_text(f'<article>{BODY[0]}<script src="a.js"/>alert(1)</script><style/>p</style></article>') == "\n\n".join(BODY[1])
+    assert h.main_text(f"<article>{BODY[0]}<svg/><p>After the drawing, there is one more line.</p></article>").endswith("one more line.")
+
+
+@pytest.mark.parametrize("page", ["<b>" * 60_000 + "x</i>" * 60_000, "<p><button>" + "<b>" * 30_000 + "<ul>" * 30_000 + "x", "<b>" * 30_000 + "<p>x</p>" * 30_000,
+                                  '<p class="' * 30_000, "<article>" + "<i>y" * 60_000])
+def test_unclosed_markup_takes_linear_time(page):
+    import time
+
+    start = time.perf_counter()
+    h.main_text(page)
+    assert time.perf_counter() - start < 15

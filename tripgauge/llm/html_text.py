@@ -8,11 +8,13 @@ by smoothness edges, stronger the closer they are in the tree. The minimum cut i
 least total cost; the blocks on the content side, in page order, are the text.
 
 A block whose own cost outweighs all its edges is on its side in every minimum cut, so such blocks
-are settled first; the maximum flow runs over what is left.
+are settled first; the maximum flow runs over what is left. Where the cut leaves no block at all, it
+is made once more without the bias against content, so that a short article has a text.
 
 Defined results: a null or empty page has an empty text; markup that never ends runs to the end of
 the page; unknown elements are inline; rows and extra columns are kept one by one, a null id or
-address stays null; an empty table gives an empty result. Nothing is cut off: every character of a
+address stays null, only a column named text is replaced; a quote opens a value only after an equals
+sign; an empty table gives an empty result. Nothing is cut off: every character of a
 block called content is in the text, with white space folded.
 """
 
@@ -47,6 +49,15 @@ BOILERPLATE_NAMES = frozenset(
 CONTENT_NAMES = frozenset("article articlebody body content entry hentry main page post story text".split())
 #: Content names that are given to articles and not to whole sites.
 ARTICLE_NAMES = frozenset("article articlebody entry hentry post story".split())
+#: Names that a paragraph or section inside an article may have as an address, for what it is about.
+TOPICS = BOILERPLATE_NAMES - frozenset(
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments commentary disqus masthead nav navbar newsletter outbrain"
+    " pagination paywall popup promo recommended recommendations related replies respond responses sharing shoutbox sidebar sponsored subscribe taboola"
+    " toolbar topbar trending widget widgets".split())
+#: Words beside a boilerplate name that say where or in what form it stands, and nothing of its own.
+PLACING = frozenset(
+    "area articles article bar block body bottom box btn button buttons card center col column container content entry group head icon icons inline inner"
+    " item items left link links list main media module news outer page panel post posts right row section site slot story text title top unit wrap wrapper".split())
 #: has-sidebar, content-with-sidebar, comments-open: what a part has or allows, not what it is.
 HAVING, ALLOWED = frozenset("has with no without".split()), frozenset("enabled disabled open closed free".split())
 
@@ -57,7 +68,7 @@ WEIGHTS = {"bias": -1.0, "article": 4.0, "apart": -8.0, "header": -8.0, "boilerp
 #: Smoothness: next to each other in one container, next to each other otherwise, next in one container with others between.
 NEAR, TURN, BESIDE = 1.0, 0.3, 0.5
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)/?(?:>|\Z)", re.S)
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=[ \t\n\f\r]*(?:\"[^\"]*\"|'[^']*')|=)*+)(?:>|\Z)", re.S)
 NAMED = re.compile(r"""(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 SPLIT = re.compile(r"[^a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -66,10 +77,14 @@ HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 class Element:
-    __slots__ = ("tag", "score", "in_link", "in_article")
+    """An open element; `block` and `container` are the innermost block and the innermost one that holds others."""
 
-    def __init__(self, tag, score, in_link, in_article):
+    __slots__ = ("tag", "score", "in_link", "in_article", "block", "container")
+
+    def __init__(self, tag, score, in_link, in_article, parent=None):
         self.tag, self.score, self.in_link, self.in_article = tag, score, in_link, in_article
+        self.block = self if tag in BLOCK or parent is None else parent.block
+        self.container = self if parent is None or tag in BLOCK and tag not in LEAF else parent.container
 
 
 def _parts(name: str) -> set[str]:
@@ -84,14 +99,16 @@ def _judged(names: list[str], tag: str, inside: bool) -> tuple[str | None, bool]
     """The weight that an element's names give it, and whether they say that it is an article.
 
     Every name is judged by itself. One that is partly a boilerplate name yields to one beside it, or
-    to an element, that is wholly of content names; a header of an article is no boilerplate.
+    to an element, that is wholly of content names; a header of an article is no boilerplate. Inside an
+    article a name counts only if all of it is boilerplate or says where it stands: form-of-government
+    is a subject.
     """
     whole, boilerplate, some, article = tag in ("article", "main"), [], False, False
     for name in names:
         parts = _parts(name)
         if inside or parts & ARTICLE_NAMES:
             parts.discard("header")
-        if parts & BOILERPLATE_NAMES:
+        if parts & BOILERPLATE_NAMES and (not inside or parts <= BOILERPLATE_NAMES | PLACING):
             boilerplate.append(parts)
         elif parts & CONTENT_NAMES:
             some = True
@@ -119,6 +136,8 @@ def _opened(tag: str, attributes: str, parent: Element) -> Element:
                 score += WEIGHTS["hidden"]
             elif key == "role" and value.lower() in ("main", "article"):
                 score, inside = max(score, 0) + WEIGHTS["article"], True
+            elif key == "id" and inside and _parts(value) & BOILERPLATE_NAMES <= TOPICS:
+                continue  # an anchor: what the part is about
             elif key in ("class", "id", "role"):
                 names.extend(SPACES.split(value))
         if tag not in ("body", "html"):
@@ -128,7 +147,7 @@ def _opened(tag: str, attributes: str, parent: Element) -> Element:
             spared = any(_parts(name) & ARTICLE_NAMES for name in names)
     if tag == "header" and not inside and not spared:
         score += WEIGHTS["header"]
-    return Element(tag, score, parent.in_link or tag == "a", inside)
+    return Element(tag, score, parent.in_link or tag == "a", inside, parent)
 
 
 def blocks(page: str) -> list[tuple[str, float, int]]:
@@ -142,8 +161,7 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                container = next((e for e in reversed(stack) if e.tag not in LEAF and (e.tag in BLOCK or e is root)), root)
-                leaf = next((e for e in reversed(stack) if e.tag in BLOCK), root)
+                container, leaf = stack[-1].container, stack[-1].block
                 links = WEIGHTS["article_links" if leaf.in_article and leaf.tag in PROSE else "links"]
                 score = WEIGHTS["bias"] + stack[-1].score + links * min(1.0, linked / len(text))
                 words = text.count(" ") + 1
@@ -165,13 +183,15 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
             if stack[-1].in_link:
                 linked += len(text.strip())
 
+    places: dict[str, list[int]] = {}  # where in the stack the open elements of a name are
+
     def close(tags: tuple, until: frozenset) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                del stack[i:]
-                return
-            if stack[i].tag in until:
-                return
+        """Close the innermost of these elements, unless one of `until` lies inside it; no walk through the stack."""
+        at = max((places[t][-1] for t in tags if places.get(t)), default=0)
+        if at and at > max((places[t][-1] for t in until if places.get(t)), default=0):
+            for e in stack[at:]:
+                places[e.tag].pop()
+            del stack[at:]
 
     while (found := TAG.search(page, at)) is not None:
         add(page[at : found.start()])
@@ -188,8 +208,9 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
             close((tag,), frozenset())
             continue
         if tag in SKIPPED:
-            end = re.compile(rf"</{re.escape(tag)}[^>]*(?:>|\Z)", re.I).search(page, at)
-            if not page[found.start() : at].endswith("/>"):
+            # only elements of other languages than HTML end in their own tag
+            if tag not in ("svg", "annotation", "annotation-xml") or not page[found.start() : at].endswith("/>"):
+                end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = end.end() if end else len(page)
             parts.append(" ")
             continue
@@ -202,6 +223,7 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
         if tag in CLOSES:
             close(CLOSES[tag], frozenset(("ul", "ol", "dl", "table", "select", "menu")))
         if tag not in VOID:
+            places.setdefault(tag, []).append(len(stack))
             stack.append(_opened(tag, found[3], stack[-1]))
     add(page[at:])
     flush()
@@ -298,12 +320,15 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = blocks(page)
-    content = minimum_cut([score for _, score, _ in found], smoothness([c for *_, c in found]))
+    scores, edges = [score for _, score, _ in found], smoothness([c for *_, c in found])
+    content = minimum_cut(scores, edges)
+    if not any(content):  # a page of short lines without names: what nothing speaks against
+        content = minimum_cut([score - WEIGHTS["bias"] + 0.25 for score in scores], edges)
     return "\n\n".join(text for (text, *_), keep in zip(found, content) if keep)
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """pages (with a column html) with the column text added."""
+    """pages (with a column html) with the column text added; a column of that name is replaced."""
 
     @F.pandas_udf("string")
     def texts(column: pd.Series) -> pd.Series:
