@@ -76,3 +76,29 @@ def test_links_awkward_rows(spark):
     want = [*alone, (1, 2, 1, True), (2, 2, 1, False), (10, 2, 1, False), (None, 0, None, True), (50, 1, 50, True), (50, 1, 50, True)]
     assert got == sorted(want, key=repr)
     assert embedding_dedup.near_duplicates(table.limit(0)).count() == 0
+
+
+def test_repeated_rows_are_candidates_each(spark, tmp_path):
+    """Copies of a vector, of a query and of a row of the query's id, against SQL over the same rows."""
+    rows = [(i, [i / 64, 1.0], 1, "x") for i in range(1, 13)] + [(11, [11 / 64, 1.0], 1, "y")] * 3 + [(50, [1.0, 1.0], 2, "x")] + [(9, [9 / 64, 1.0], 2, "x")] * 9
+    table = spark.createDataFrame(rows, SCHEMA)
+    table.coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    import duckdb
+    from pyspark.sql import functions as F
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    for size in (dict(), dict(max_pivots=4, annulus_rows=2, rings=2, chunk_rows=3, first_rows=2)):
+        assert difference(topk.exact_topk(table, F.col("vec_id") % 50 == 0, **size), con, oracle.TOPK) is None
+
+
+def test_excluded_annuli_are_not_sent(spark):
+    """Clusters far apart: a query's candidates are a small part of the table."""
+    rnd = random.Random(8)
+    rows = [(i, [30.0 * (i % 20 == c) + rnd.random() for c in range(20)], 1, "x") for i in range(2000)]
+    from pyspark.sql import functions as F
+
+    got = topk.exact_topk(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, score string"), F.col("vec_id") % 50 == 0,
+                          max_pivots=20, annulus_rows=20, rings=4, chunk_rows=50, first_rows=60)
+    assert got.count() == 40 * 5
+    assert all(r.vec_id % 20 == r.query_id % 20 for r in got.collect())

@@ -18,7 +18,8 @@ whatever the size of the table).
 
 Defined results: vectors that are null or hold a null or non-finite component take no part, nor do
 rows without an id; vectors of different length are not compared; rows with the query's id are its
-own; fewer than k others give fewer rows; an empty table or no query gives no row.
+own, and equal rows of one query id ask once; repeated rows are candidates each, and a vector stored
+several times takes as many ranks; fewer than k others give fewer rows; an empty table or no query gives no row.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql.window import Window
 from tripgauge.llm.common import settled
 from tripgauge.llm.vectors import drawn, stacked, usable
 
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "query_id long, vec_id long, score long, copies int"
 
 
 def _pivots(sample: np.ndarray, pivots: int, rounds: int, seed: int) -> np.ndarray:
@@ -68,16 +69,16 @@ def _products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return whole(queries) @ whole(rows).T
 
 
-def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, block: int = 256) -> list[tuple]:
-    """(query, vector, score) of each query's k best among the rows, ties to the smaller id."""
+def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, copies: np.ndarray, k: int, block: int = 256) -> list[tuple]:
+    """(query, vector, score, copies) of each query's k best among the rows, ties to the smaller id."""
     out = []
     order = ids.argsort(kind="stable")
-    ids, rows = ids[order], rows[order]
+    ids, rows, copies = ids[order], rows[order], copies[order]
     for at in range(0, len(queries), block):
         scores = _products(queries[at : at + block], rows)
         for q, line in zip(query_ids[at : at + block].tolist(), scores):
             take = np.argsort(-line, kind="stable")[: k + int((ids == q).sum())]
-            out += [(q, int(ids[j]), int(line[j])) for j in take if ids[j] != q][:k]
+            out += [(q, int(ids[j]), int(line[j]), int(copies[j])) for j in take if ids[j] != q][:k]
     return out
 
 
@@ -106,9 +107,9 @@ def _same_length(rows: DataFrame, asked: DataFrame, k: int, max_pivots: int, ann
         for frame in frames:
             if len(frame):
                 annulus, away = place(stacked(frame["v"]))
-                yield pd.DataFrame({"vec_id": frame["vec_id"], "v": frame["v"], "annulus": annulus.astype("int32"), "away": away})
+                yield pd.DataFrame({"vec_id": frame["vec_id"], "v": frame["v"], "copies": frame["copies"], "annulus": annulus.astype("int32"), "away": away})
 
-    index = settled(rows.select("vec_id", "v").mapInPandas(key, "vec_id long, v array<long>, annulus int, away double"), "pivot-index")
+    index = settled(rows.select("vec_id", "v", "copies").mapInPandas(key, "vec_id long, v array<long>, copies int, annulus int, away double"), "pivot-index")
     told = index.groupBy("annulus").agg(F.count(F.lit(1)).alias("n"), F.min("away").alias("lo"), F.max("away").alias("hi")).collect()
     annuli = np.array([r.annulus for r in told], dtype=np.int64)
     n, lo, hi = (np.array([r[c] for r in told], dtype=np.float64) for c in ("n", "lo", "hi"))
@@ -154,27 +155,30 @@ def _same_length(rows: DataFrame, asked: DataFrame, k: int, max_pivots: int, ann
 
     def meet(keys, queries, vectors):
         if not len(queries) or not len(vectors):
-            return pd.DataFrame([], columns=["query_id", "vec_id", "score"])
-        found = _best(queries["query_id"].to_numpy(), stacked(queries["q"]), vectors["vec_id"].to_numpy(), stacked(vectors["v"]), k)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+            return pd.DataFrame([], columns=["query_id", "vec_id", "score", "copies"])
+        found = _best(queries["query_id"].to_numpy(), stacked(queries["q"]), vectors["vec_id"].to_numpy(), stacked(vectors["v"]), vectors["copies"].to_numpy(), k)
+        return pd.DataFrame(found, columns=["query_id", "vec_id", "score", "copies"])
 
     spark = rows.sparkSession
     counted = spark.createDataFrame([(int(a), int(c)) for a, c in zip(annuli, chunks)], "annulus int, chunks int")
     chunk = F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.col("chunks")).cast("int")
-    every_block = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("block")
-    held = index.join(counted, "annulus").select("annulus", chunk.alias("chunk"), every_block, "vec_id", "v")
+    held = index.join(counted, "annulus").select("annulus", chunk.alias("chunk"), "vec_id", "v", "copies")
     block = F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(parts)).cast("int")
 
     def search(queries: DataFrame, later: bool) -> DataFrame:
         sent = queries.withColumn("block", block).mapInPandas(visits(later), "annulus int, chunk int, block int, query_id long, q array<long>")
+        sent = settled(sent, "pivot-visits")
         key = ["annulus", "chunk", "block"]
-        return sent.groupBy(key).cogroup(held.groupBy(key)).applyInPandas(meet, FOUND)
+        # a vector goes to the blocks of queries that visit its chunk, and nowhere else
+        met = held.join(sent.select(key).distinct().toDF(*key), ["annulus", "chunk"])
+        return sent.groupBy(key).cogroup(met.groupBy(key)).applyInPandas(meet, FOUND)
 
     early = settled(search(asked, False), "pivot-early")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     floors = early.withColumn("rank", rank).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
     late = search(asked.join(floors, "vec_id", "left"), True)
-    return early.union(late).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    every = early.union(late).withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    return every.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def exact_topk(vectors: DataFrame, is_query: Column, scale: int = 256, k: int = 5, max_pivots: int = 256, annulus_rows: int = 512, rings: int = 8,
@@ -185,7 +189,9 @@ def exact_topk(vectors: DataFrame, is_query: Column, scale: int = 256, k: int =
     """
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long"))
     rows = vectors.where(usable("embedding") & F.col("vec_id").isNotNull()).select(
-        F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query")).distinct()
+        F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    # equal rows are searched once and counted: a result holds k of them at most
+    rows = rows.groupBy("vec_id", "v").agg(F.max("is_query").alias("is_query"), F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("copies"))
     rows = settled(rows, "topk-vectors")
     out = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     for (length,) in rows.select(F.size("v")).distinct().collect():  # as a rule one
