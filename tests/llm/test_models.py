@@ -103,3 +103,34 @@ def test_texts_of_control_characters(spark):
     model = quality.train(table, labels)  # the odd texts are among the unlabelled ones
     assert np.isfinite(model.centre).all() and 0 <= model.prior <= 1
     assert all(0 <= r.quality_score <= 1 for r in quality.score(table, model).collect())
+
+
+def test_only_letters_make_a_language(spark):
+    assert not any(map(langid.has_letter, ["", "²³ ½", "①", "12 ___ ́", "٣"])) and all(map(langid.has_letter, ["1a", "中", "ª", "é"]))
+
+
+def test_repeated_ids_do_not_widen_the_samples(spark):
+    hot = [(4, f"text number {i} in plain words, of one id", "en", "a", 1, 1.0, "x") for i in range(1500)]
+    hot += [(7, "the very same row a thousand times", "en", "a", 1, 1.0, "x")] * 1000
+    rest = [(i, f"some other text {i}", "en" if i % 2 else "de", "a", 1, 1.0, "x") for i in range(100, 400)]
+    table, seen = docs(spark, hot + rest), {}
+
+    def fit(data, lengths, labels, classes, **_):
+        seen["rows"] = len(data)
+        return None
+
+    original = langid.gru.fit
+    langid.gru.fit = fit
+    try:
+        langid.train(table, per_language=50, windows=1)
+    finally:
+        langid.gru.fit = original
+    assert 50 <= seen["rows"] <= 100
+    marks = spark.createDataFrame([(i, 1) for i in range(100, 200)] + [(4, 1)], "doc_id long, quality int")
+    kept = quality.class_prior
+    quality.class_prior = lambda p, u, draw: seen.update(p=len(p), u=len(u)) or kept(p, u, draw)
+    try:
+        quality.train(table, marks, sample=30)
+    finally:
+        quality.class_prior = kept
+    assert seen["p"] <= 30 and seen["u"] <= 30

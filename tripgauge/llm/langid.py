@@ -3,31 +3,34 @@
 The network (see `gru`) labels every byte of the text with a probability per language; a document's
 probabilities are the mean over all its bytes. Texts are read whole, in windows of `window` bytes.
 
-It learns from a bounded sample: about `per_language` documents of each language in the training
-folds, chosen by a hash of the id, and `windows` windows from places spread over each. Everything
-else reads all rows.
-
-Defined results: a null text or one without any letter is `und` with score 0; so is every text when
-there is nothing to learn from; null ids count as held out; rows are kept one by one; an empty table
-gives an empty result.
+It learns from a bounded sample: at most `per_language` documents of each language in the training
+folds, chosen by a hash of id and text, however often a row or an id is repeated, and `windows`
+windows from places spread over each. Everything else reads all rows.
+
+Defined results: a null text or one without any letter (str.isalpha) is `und` with score 0; so is
+every text when there is nothing to learn from; of languages with equal probability the one that
+sorts first is given; null ids count as held out; equal rows count once in training and are kept one
+by one in the result; texts of any length are read whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripgauge.llm import gru
 from tripgauge.llm.common import held_out
 
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
 
 
 @dataclass(frozen=True)
@@ -51,10 +54,15 @@ def train(docs: DataFrame, per_language: int = 600, windows: int = 6, window: in
     if not counts:
         return LanguageModel([], None, window)
     languages = sorted(counts)
-    # a document is in the sample when its hash lies below its language's share
-    share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, per_language / counts[lang]))])
-    chance = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 1).cast("double") / float(2**63)
-    picked = known.where(chance < share[F.col("lang").cast("string")]).select(F.col("doc_id").cast("string").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
+    # documents whose hash lies below twice their language's share, of these the first per_language
+    share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, 2 * per_language / counts[lang]))])
+    chance = F.shiftrightunsigned("hash", 1).cast("double") / float(2**63)
+    rows = known.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text",
+                        F.xxhash64("doc_id", "text", F.lit(seed)).alias("hash")).where(chance < share[F.col("lang")])
+    # equal rows count once, and meet before they are shuffled
+    rows = rows.groupBy("lang", "hash").agg(F.min(F.struct("doc_id", "text")).alias("row"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    picked = rows.withColumn("place", place).where(F.col("place") <= per_language).select("row.doc_id", "lang", "row.text")
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -114,7 +122,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     @F.pandas_udf("lang_pred string, lang_score double")
     def label(texts: pd.Series) -> pd.DataFrame:
         lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        rows = [i for i, t in enumerate(texts) if t is not None and model.weights is not None and LETTER.search(t)]
+        rows = [i for i, t in enumerate(texts) if t is not None and model.weights is not None and has_letter(t)]
         if rows:
             p = document_probabilities(model, [texts.iloc[i] for i in rows])
             for i, best, line in zip(rows, p.argmax(axis=1), p):

@@ -189,8 +189,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8192, seed: int = 9)
     def measured(texts: pd.Series) -> pd.Series:
         return texts.map(features, na_action=None)
 
-    # at most twice `sample` short rows, so every task may hold them
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "good", measured("text").alias("x")).collect()
+    # at most twice `sample` short rows, so every task may hold them; rows that share an id count once,
+    # with the smallest of their measures, so no more than that comes back
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "good", measured("text").alias("x"))
+    rows = rows.groupBy("doc_id", "good").agg(F.min("x").alias("x")).collect()
     rows.sort(key=lambda r: (r.doc_id, r.good, r.x))  # the same model at every run
     p = np.array([r.x for r in rows if r.good])
     u = np.array([r.x for r in rows if not r.good])
