@@ -195,7 +195,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, **sear
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, **search) -> DataFrame:
     """docs with one row of each group: the one with the smallest id (of equal ids, the smallest text hash)."""
-    found = near_duplicates(docs, shingle, max_bits, **search)
+    found = near_duplicates(docs.select("doc_id", "text"), shingle, max_bits, **search)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("best")
     kept = found.groupBy("root").agg(best).select(F.col("best.doc_id").alias("kept_id"), F.col("best.text_hash").alias("kept_hash"))
     packed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_hash"))
