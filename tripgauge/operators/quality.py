@@ -168,8 +168,13 @@ def conservation_of_outputs(staged: DataFrame, quarantine: DataFrame, facts: Dat
 
     Partial counts are combined before the shuffle; periods that any of the tables has are there.
     """
-    parts = [df.groupBy("month").agg(*exprs(f"count(1) AS {name}")).selectExpr(
-        "month", *[f"{name if name == n else '0L'} AS {n}" for n in ("staged_rows", "quarantine_rows", "fact_rows")])
+    return conservation_of_counts(*(df.groupBy("month").agg(*exprs("count(1) AS rows")) for df in (staged, quarantine, facts)))
+
+
+def conservation_of_counts(staged: DataFrame, quarantine: DataFrame, facts: DataFrame) -> DataFrame:
+    """The same from counts (month, rows) of the three tables; a period without rows anywhere is left out."""
+    parts = [df.where("rows > 0").selectExpr(
+        "month", *[f"{'rows' if name == n else '0L'} AS {n}" for n in ("staged_rows", "quarantine_rows", "fact_rows")])
         for df, name in ((staged, "staged_rows"), (quarantine, "quarantine_rows"), (facts, "fact_rows"))]
     return parts[0].union(parts[1]).union(parts[2]).groupBy("month").agg(*exprs(
         "sum(staged_rows) AS staged_rows", "sum(quarantine_rows) AS quarantine_rows",

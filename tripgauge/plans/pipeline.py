@@ -6,10 +6,13 @@ costs a task and not the lineage behind it. All months go through one job per la
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripgauge.contract import Contract, ContractAbort, require_publish
 from tripgauge.operators import facts as facts_op
@@ -18,7 +21,7 @@ from tripgauge.operators.integrity import require_files
 from tripgauge.sources import reports
 from tripgauge.sources.files import describe_files, require_file_schemas, schema_by_file
 from tripgauge.sources.fingerprint import build_manifest
-from tripgauge.sources.tables import read_months, replace_months, write_report_csv
+from tripgauge.sources.tables import pointers, read_months, replace_months, write_report_csv
 
 
 @dataclass(frozen=True)
@@ -35,6 +38,12 @@ def _written(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _together(jobs: Sequence[Callable[[], object]]) -> list:
+    """Jobs that do not need each other, submitted side by side: small ones wait for no other's last task."""
+    with ThreadPoolExecutor(max_workers=min(8, len(jobs))) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
+
+
 def validate(spark: SparkSession, raw: DataFrame, provenance: DataFrame, out: str, contract: Contract,
              months: Sequence[str] | None = None) -> dict:
     """Staged, quarantine and fact tables and the report tables.
@@ -55,15 +64,15 @@ def validate(spark: SparkSession, raw: DataFrame, provenance: DataFrame, out: st
     months = [r.month for r in manifest.select("month").collect()]  # bounded by the calendar
 
     staged = replace_months(rules.stage(raw, contract), f"{out}/staged", months)
-    quarantine = replace_months(rules.quarantined(staged), f"{out}/quarantine", months)
-    facts = replace_months(facts_op.fact_trips(staged, contract), f"{out}/facts", months)
-
-    # one row per month: every report below starts from this table
-    counts = _written(spark, quality.period_counts(staged), f"{out}/counts")
+    # of the counts there is one row per month: every report below starts from that table
+    _, facts, counts = _together([
+        lambda: replace_months(rules.quarantined(staged), f"{out}/quarantine", months),
+        lambda: replace_months(facts_op.fact_trips(staged, contract), f"{out}/facts", months),
+        lambda: _written(spark, quality.period_counts(staged), f"{out}/counts")])
     conservation = quality.row_conservation(counts, manifest)
     quality.require_conservation(conservation)
-    outputs = _written(spark, quality.conservation_of_outputs(staged, quarantine, facts),
-                       f"{out}/report/conservation_of_outputs")
+    layers = [pointers(spark, f"{out}/{layer}").where(F.col("month").isin(*months)) for layer in ("staged", "quarantine", "facts")]
+    outputs = _written(spark, quality.conservation_of_counts(*layers), f"{out}/report/conservation_of_outputs")
     quality.require_conservation(outputs)
     results = quality.rule_results(counts, contract)
     tables = {
@@ -76,8 +85,7 @@ def validate(spark: SparkSession, raw: DataFrame, provenance: DataFrame, out: st
         "integrity_checks": quality.integrity_checks(counts, manifest, contract),
         "gate": quality.publish_gate(counts, manifest, manifest, contract),
     }
-    for name, df in tables.items():
-        _written(spark, df, f"{out}/report/{name}")
+    _together([partial(_written, spark, df, f"{out}/report/{name}") for name, df in tables.items()])
     return {"staged": staged, "counts": counts, "facts": facts}
 
 
@@ -104,8 +112,7 @@ def compute_metrics(spark: SparkSession, counts: DataFrame, facts: DataFrame, lo
         "metrics_zone_detail": (found["zones"], ["month", "pickup_zone_id"]),
         "metrics_segments": (found["segments"], ["month", "segment"]),
     }
-    for name, (df, keys) in exports.items():
-        write_report_csv(df, f"{out}/csv/{name}", *keys)
+    _together([partial(write_report_csv, df, f"{out}/csv/{name}", *keys) for name, (df, keys) in exports.items()])
 
 
 def run(spark: SparkSession, raw_base: str, provenance: DataFrame, lookup: DataFrame, out: str,

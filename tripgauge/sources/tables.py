@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyarrow import fs
 from pyspark.errors import AnalysisException
@@ -69,13 +69,12 @@ def write_months(df: DataFrame, base: str) -> None:
     )
 
 
-def clear_versions(spark: SparkSession, base: str, months: Sequence[str]) -> None:
-    """Remove every version of these months that no pointer names: failed ones and those of runs before."""
-    now = {r.month: r.version for r in pointers(spark, base).collect()}
+def clear_versions(base: str, months: Sequence[str], named: Mapping[str, str]) -> None:
+    """Remove every version of these months but the one that is named: failed ones and those of runs before."""
     for month in months:
         store, place = opened(f"{base}/month={month}")
         for found in store.get_file_info(fs.FileSelector(place, allow_not_found=True)):
-            if found.type == fs.FileType.Directory and found.base_name.startswith(f"{VERSION}=") and found.base_name != f"{VERSION}={now.get(month)}":
+            if found.type == fs.FileType.Directory and found.base_name.startswith(f"{VERSION}=") and found.base_name != f"{VERSION}={named.get(month)}":
                 store.delete_dir(found.path)
 
 
@@ -88,23 +87,24 @@ def replace_months(df: DataFrame, base: str, months: Sequence[str]) -> DataFrame
     before stays until the next replacement, for readers that planned with it. One writer at a time.
     """
     spark = df.sparkSession
-    clear_versions(spark, base, months)
-    version = uuid.uuid4().hex
+    now = pointers(spark, base).collect()  # bounded by the calendar
+    clear_versions(base, months, {r.month: r.version for r in now})
+    version, seq = uuid.uuid4().hex, max((r.seq for r in now), default=0) + 1
     rows = df.where(F.col("month").isin(*months)).withColumn(VERSION, F.lit(version))
     rows.write.mode("append").option("compression", "zstd").partitionBy("month", VERSION).parquet(base)
     names = [f.name for f in df.schema.fields if f.name != "month"]
     schema = df.select(*names, F.col("month").cast("string")).schema
-    fresh = spark.read.schema(schema).parquet(base)
-    # counted on what was written, from the files' own row counts
-    written = spark.read.schema(f"month string, {VERSION} string").parquet(base).where(F.col(VERSION) == version).groupBy("month").count()
-    last = spark.createDataFrame([(m,) for m in months], "month string").join(written, "month", "left")
-    seq = pointers(spark, base).agg(F.coalesce(F.max("seq"), F.lit(0)) + 1).first()[0]
-    entries = last.select("month", F.lit(version).alias("version"), F.coalesce("count", F.lit(0)).alias("rows"), F.lit(seq).alias("seq"))
+    try:
+        fresh = spark.read.schema(schema).option("basePath", base).parquet(f"{base}/month=*/{VERSION}={version}").drop(VERSION)
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        fresh = spark.createDataFrame([], schema)  # no row was written
+    # counted on what was written, by the files' own row counts
+    written = {r.month: r["count"] for r in fresh.groupBy("month").count().collect()}
+    entries = spark.createDataFrame([(m, version, written.get(m, 0), seq) for m in months], _POINTERS)
     entries.coalesce(1).write.mode("append").json(f"{base}/_pointers")
-    held = [f"{base}/month={r.month}/{VERSION}={version}" for r in pointers(spark, base).where(F.col("month").isin(*months)).collect() if r.rows]
-    if not held:
-        return fresh.where("false").drop(VERSION)
-    return spark.read.schema(schema).option("basePath", base).parquet(*held).drop(VERSION)
+    return fresh
 
 
 def write_sorted_months(df: DataFrame, base: str, key: Sequence[str] = COMPOSITE_KEY) -> None:
