@@ -67,3 +67,27 @@ def test_interpolation_keeps_the_product_error(spark):
     for low, high, w in [(111.9, 351.8, 0.3), (43.98, 304.32, 0.8), (89.71, 465.21, 0.6)]:
         got = _value(spark, casts.interpolated(f"{low!r}D", f"{high!r}D", f"{w!r}D"))
         assert got == math.fma(low, 1 - w, high * w)
+
+
+def test_decimal_rounding_equals_exact_arithmetic(spark):
+    from decimal import ROUND_HALF_EVEN, Decimal
+    import random
+
+    rng = random.Random(8)
+    values = [k / 128 for k in range(-300, 300)] + [k * 0.005 for k in range(-999, 999)] + [k / 2 for k in range(-9, 10)]
+    values += [1.005, 2.675, 0.5, 1e-300, 4503599627370497.5, 9007199254740993.0, 1e300, 45035996273704.97, 0.1 + 0.2]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randint(-9, 18) for _ in range(2000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (0, 2, 6, 8, 11):
+        got = [r.r for r in df.selectExpr(f"{casts.rounded_decimal('v', digits)} AS r").collect()]
+        unit = Decimal(1).scaleb(-digits)
+        exact = [float((Decimal(v) / unit).to_integral_value(ROUND_HALF_EVEN) * unit) if abs(v) < 1e15 else round(v, digits) for v in values]
+        assert got == exact == [round(v, digits) for v in values]
+
+
+def test_decimal_rounding_of_no_number(spark):
+    assert _value(spark, casts.rounded_decimal("CAST(NULL AS DOUBLE)", 6)) is None
+    assert math.isnan(_value(spark, casts.rounded_decimal("double('NaN')", 6)))
+    assert _value(spark, casts.rounded_decimal("double('-Infinity')", 2)) == -math.inf
+    with pytest.raises(ValueError):
+        casts.rounded_decimal("1D", 12)

@@ -159,3 +159,23 @@ def test_reference_ids_in_both_directions(spark):
     b = spark.createDataFrame([(i,) for i in (1, 2, 300)], "id int")
     out = integrity.reference_id_diff(a, b, "csv", "api").collect()
     assert {(r.id, r.only_in) for r in out} == {(264, "csv"), (265, "csv"), (300, "api")}
+
+
+def test_audit_by_digest_equals_the_plain_one(spark):
+    rows = [(m, a, b) for i in range(400) for m, a, b in [(f"m{i % 3}", f"text {i % 37}", i % 5 if i % 7 else None)]]
+    rows += [("m0", None, 1), ("m0", None, 1), ("m0", None, None), (None, "x", None), (None, "x", None)] + [("m1", "hot", 1)] * 500
+    df = spark.createDataFrame(rows, "month string, a string, b long")
+    as_set = lambda found: sorted((r.month or "", r.rows, r.duplicates) for r in found.collect())
+    want = as_set(integrity.duplicate_audit(df, ("a", "b")))
+    assert as_set(integrity.duplicate_audit_by_digest(df, ("a", "b", "absent"))) == want
+    # planted collisions: every tuple shares its digest with others, or with all
+    for weak in (("1L AS _high", "2L AS _low"), ("length(a) AS _high", "b AS _low")):
+        assert as_set(integrity.duplicate_audit_by_digest(df, ("a", "b"), digest=weak)) == want
+    whole = integrity.duplicate_audit_by_digest(df, ("a", "b"), by=()).first()
+    assert whole == integrity.duplicate_audit(df, ("a", "b"), by=()).first()
+    assert integrity.duplicate_audit_by_digest(df.limit(0), ("a",), by=()).first().rows == 0
+
+
+def test_audit_by_digest_tells_where_the_null_is(spark):
+    df = spark.createDataFrame([("m", None, "a"), ("m", "a", None)], "month string, a string, b string")
+    assert integrity.duplicate_audit_by_digest(df, ("a", "b")).first().duplicates == 0

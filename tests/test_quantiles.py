@@ -6,7 +6,7 @@ from collections import defaultdict
 
 import pytest
 
-from tripgauge.operators.quantiles import distribution, value_bin, value_histogram
+from tripgauge.operators.quantiles import REFINEMENTS, distribution, distribution_by_scans, value_bin, value_histogram
 
 PROBS = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p80": 0.8, "p90": 0.9, "p100": 1.0}
 
@@ -21,9 +21,9 @@ def _interpolated(values, p):
     return math.fma(values[low], 1 - w, values[high] * w)
 
 
-def _check(spark, rows):
+def _check(spark, rows, way=distribution, **options):
     df = spark.createDataFrame(rows, "g string, v double, ok boolean")
-    got = {r.g: r for r in distribution(df, ["g"], "v", PROBS, {"share": "ok"}).collect()}
+    got = {r.g: r for r in way(df, ["g"], "v", PROBS, {"share": "ok"}, **options).collect()}
     groups = defaultdict(list)
     for g, v, ok in rows:
         groups[g].append((v, ok))
@@ -108,3 +108,43 @@ def test_without_any_broadcast(spark):
         assert "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
     finally:
         spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("most", [1, 1000])
+def test_by_scans(spark, most):
+    rng = random.Random(5)
+    rows = [("hot", rng.lognormvariate(2, 1), rng.random() < 0.3) for _ in range(3000)] + [("hot", 7.25, None)] * 900
+    rows += [("dense", 1000 + i * 1e-9, True) for i in range(300)] + [(None, v, None) for v in (-5.5, -5.5, -0.0, 0.0, 1e-300, -1e300)]
+    rows += [("none", None, True), ("none", None, None), ("some", None, False), ("some", 2.0, None)]
+    rng.shuffle(rows)
+    _check(spark, rows, distribution_by_scans, most_values=most)
+
+
+def test_scans_shuffle_bins_and_not_values(spark):
+    """All values differ, yet what the last step orders are the values of a few narrow bins."""
+    df = spark.range(200_000).selectExpr("'g' AS g", "10D + rand(3) AS v")
+    df.write.parquet(path := f"{spark.conf.get('spark.checkpoint.dir')}/distinct-doubles")
+    df = spark.read.parquet(path)
+    got = distribution_by_scans(df, ["g"], "v", {"p80": 0.8}, most_values=100).first()
+    values = sorted(r.v for r in df.collect())
+    assert got.p80 == _interpolated(values, 0.8)
+    inside = df.groupBy(*[value_bin_of(b) for b in REFINEMENTS[:2]]).count()
+    largest = [inside.groupBy(f"b{b}").sum("count").agg({"sum(count)": "max"}).first()[0] for b in REFINEMENTS[:2]]
+    assert largest[0] > 500 and largest[1] <= 10
+
+
+def value_bin_of(bits):
+    from pyspark.sql import functions as F
+
+    return F.expr(f"{value_bin('v', 1 << bits)} AS b{bits}")
+
+
+def test_finer_bins_lie_inside_coarser_ones(spark):
+    rng = random.Random(6)
+    values = sorted(rng.uniform(-1, 1) * 10 ** rng.randint(-20, 20) for _ in range(3000))
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", *[value_bin_of(b) for b in REFINEMENTS]).orderBy("v")
+    rows = df.collect()
+    for coarse, fine in zip(REFINEMENTS, REFINEMENTS[1:]):
+        pairs = {(r[f"b{fine}"], r[f"b{coarse}"]) for r in rows}
+        assert len(pairs) == len({f for f, _ in pairs})
+        assert [r[f"b{fine}"] for r in rows] == sorted(r[f"b{fine}"] for r in rows)

@@ -69,6 +69,25 @@ def rounded(expr: str, digits: int) -> str:
     return f"(round(({expr}) * {scale}) / {scale})"
 
 
+def rounded_decimal(expr: str, digits: int) -> str:
+    """The double nearest to the value's exact decimal expansion cut to ``digits`` places, ties to even.
+
+    ``rounded`` multiplies first, so that 2.675 (really 2.67499...) becomes 2.68; here the error of that
+    product decides whenever the product ends in one half. Scales up to 10**11 have few enough binary
+    digits for the error to be exact. From 2**53 on a double has no digit left to round.
+    """
+    if not 0 <= digits <= 11:
+        raise ValueError(f"{digits} digits")
+    scale = f"{10 ** digits}D"
+    p = f"(_r * {scale})"
+    high, low = _halves("_r")
+    error = f"(({high} * {scale} - {p}) + {low} * {scale})"
+    whole = (f"CASE WHEN {p} - floor({p}) = 0.5D AND {error} <> 0D "
+             f"THEN floor({p}) + IF({error} > 0D, 1D, 0D) ELSE rint({p}) END")
+    return (f"transform(array(CAST({expr} AS DOUBLE)), _r -> "
+            f"CASE WHEN abs({p}) < 9007199254740992D THEN {whole} / {scale} ELSE _r END)[0]")
+
+
 def _halves(x: str) -> tuple[str, str]:
     """A double as the sum of two with half the digits, so that products of them are exact."""
     high = f"(134217729D * {x} - (134217729D * {x} - {x}))"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tripgauge.contract import Contract
-from tripgauge.functions.casts import exprs, rounded, share
+from tripgauge.functions.casts import exprs, rounded, rounded_decimal, share
 from tripgauge.operators.quality import period_coverage
 from tripgauge.operators.quantiles import distribution
 from tripgauge.operators.ruler import score, slow
@@ -28,7 +28,7 @@ METRIC_REGISTER: tuple[tuple[str, str, str, str, str, str], ...] = (
     ("slow_trip_share", "M5", "slow_trip_share", "month (detail by hour)",
      "share of valid trips slower than the slow speed", "drives the KPI"),
 )
-_INVALID = rounded("1D - coverage", 6)
+_INVALID = rounded_decimal("1D - coverage", 6)
 
 
 def rounded_quantiles(df: DataFrame) -> DataFrame:
@@ -87,7 +87,7 @@ def metrics_long(wide: DataFrame) -> DataFrame:
     """
     entries = ", ".join(
         f"named_struct('metric_id', '{mid}', 'metric_name', '{name}', "
-        f"'value', {rounded(field, 6)}, 'grain', '{grain}', 'formula', '{formula}', "
+        f"'value', {rounded_decimal(field, 6)}, 'grain', '{grain}', 'formula', '{formula}', "
         f"'kpi_link', '{link}')"
         for field, mid, name, grain, formula, link in METRIC_REGISTER)
     return wide.selectExpr("month", f"inline(array({entries}))")

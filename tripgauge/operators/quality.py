@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from tripgauge.contract import TRIP_COLUMNS, Contract, ContractAbort
-from tripgauge.functions.casts import exprs, ratio, rounded
+from tripgauge.functions.casts import exprs, ratio, rounded_decimal
 from tripgauge.functions.scales import number, text
 from tripgauge.operators.rules import FIXED_ENTRIES, RULES, Rule, passes
 
@@ -62,7 +62,7 @@ def period_counts(staged: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame
 
 
 def _coverage(valid: str, total: str) -> str:
-    return f"coalesce({rounded(ratio(valid, total), 6)}, 0D)"
+    return f"coalesce({rounded_decimal(ratio(valid, total), 6)}, 0D)"
 
 
 def period_coverage(counts: DataFrame) -> DataFrame:
@@ -117,7 +117,7 @@ def rule_results(counts: DataFrame, contract: Contract, rules: Sequence[Rule] =
     for r in _executable(rules):
         warn, fail = contract.tolerances[r.id]
         rows.append(_result_row(
-            r, f"CAST({fails_column(r)} AS BIGINT)", rounded(_rate(r), 6), number(warn),
+            r, f"CAST({fails_column(r)} AS BIGINT)", rounded_decimal(_rate(r), 6), number(warn),
             number(fail), status_of(_rate(r), warn, fail)))
     no_count, no_rate = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)"
     for r in fixed:
@@ -192,7 +192,7 @@ def integrity_checks(counts: DataFrame, provenance: DataFrame, contract: Contrac
 
     The stored counts are compared again rather than trusting a stored verdict.
     """
-    duplicate_rate = rounded(ratio("composite_key_duplicates", "total_rows"), 8)
+    duplicate_rate = rounded_decimal(ratio("composite_key_duplicates", "total_rows"), 8)
     return _with_provenance(counts, provenance).selectExpr(
         "month", "api_count", "total_rows AS rows_staged",
         f"{_RECONCILED} AS api_count_reconciled", "composite_key_duplicates",
@@ -231,16 +231,16 @@ def publish_gate(counts: DataFrame, manifest: DataFrame, provenance: DataFrame,
         ("NOT conserved", f"'{CONSERVATION_REASON}'"),
         ("NOT retrieved", f"'{INTEGRITY_REASON}'"),
         (f"{coverage} < {number(minimum)}",
-         f"format_string('{low_coverage}', {rounded(coverage, 3)})"),
+         f"format_string('{low_coverage}', {rounded_decimal(coverage, 3)})"),
     ]
     for r in executable:
         _, fail = contract.tolerances[r.id]
         reason = RULE_REASON.format(id=r.id, name=r.name)
         reasons.append((f"{_rate(r)} > {number(fail)}",
-                        f"format_string('{reason}', {rounded(_rate(r), 4)})"))
+                        f"format_string('{reason}', {rounded_decimal(_rate(r), 4)})"))
     why = ", ".join(f"CASE WHEN {test} THEN {said} END" for test, said in reasons)
     return one.selectExpr(
-        "raw_rows", "valid_rows", f"{rounded(coverage, 6)} AS coverage",
+        "raw_rows", "valid_rows", f"{rounded_decimal(coverage, 6)} AS coverage",
         f"array_compact(array({why})) AS why",
     ).selectExpr(
         f"CASE WHEN size(why) > 0 THEN {text(contract.hold_label)} "

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripgauge.functions import scales
-from tripgauge.functions.casts import exprs, period_label, rounded
+from tripgauge.functions.casts import exprs, period_label, rounded, rounded_decimal
 from tripgauge.operators import (
     facts as facts_op,
     integrity,
@@ -149,6 +149,19 @@ def _duplicate_audit(b: Fulfilment) -> DataFrame:
     return integrity.duplicate_audit(b.table("lineitem"), ("l_orderkey", "l_linenumber"), by=())
 
 
+def _duplicate_audit_by_digest(b: Events) -> DataFrame:
+    """Visitors folded to 50, so that tuples do repeat; the property text makes them wide."""
+    rows = b.table("events").selectExpr(f"{period_label('ts', 'month')} AS month", "user_id % 50 AS visitor", "event_type", "props")
+    return integrity.duplicate_audit_by_digest(rows, ("visitor", "event_type", "props"))
+
+
+def _decimal_rounding(b: Fulfilment) -> DataFrame:
+    """Rates that end half way between two decimals, exactly or as near as a double gets."""
+    k = b.table("lineitem").where("l_partkey % 1000 > 0").groupBy(F.expr("l_partkey % 1000 AS k")).agg(*exprs("count(1) AS lines"))
+    return k.selectExpr("k", "lines", f"{rounded_decimal('k / 128D', 6)} AS ties", f"{rounded_decimal('k * 0.005D', 2)} AS near_ties",
+                        f"{rounded_decimal('-k / 4D', 1)} AS negative")
+
+
 def _count_reconciliation(b: Fulfilment) -> DataFrame:
     """Orders the header table promises per month against orders that have a line."""
     orders = b.table("orders").selectExpr(
@@ -207,6 +220,14 @@ def _score_rows(b: Events) -> DataFrame:
                            "time_bucket", "duration_min", "expected_duration_min", "on_time")
 
 
+def _quantiles_by_scans(b: Events) -> DataFrame:
+    """The same steps as on a large table: a bin is parted again while it holds more than ten rows."""
+    rows = b.table("events").selectExpr(f"{period_label('ts', 'month')} AS month", "event_type", "value + event_id / 1000003 AS v", "user_id")
+    q = quantiles.distribution_by_scans(rows, ["month", "event_type"], "v", {"p50": 0.5, "p80": 0.8, "largest": 1.0},
+                                        {"share": "user_id % 3 = 0"}, rows="n", most_values=10)
+    return q.selectExpr("month", "event_type", "n", "share", f"{rounded('p50', 2)} AS p50", f"{rounded('p80', 2)} AS p80", "largest")
+
+
 def _quantiles_by_type(b: Events) -> DataFrame:
     wanted = {"p50": 0.5, "p80": 0.8, "p90": 0.9}
     q = quantiles.distribution(b.table("events"), ["event_type"], "value", wanted, rows="n")
@@ -286,6 +307,8 @@ def build() -> dict[str, Query]:
         "integrity_checks": fu(lambda b: quality.integrity_checks(
             b.counts, b.provenance, b.contract)),
         "duplicate_audit": fu(_duplicate_audit),
+        "duplicate_audit_by_digest": ev(_duplicate_audit_by_digest),
+        "decimal_rounding": fu(_decimal_rounding),
         "count_reconciliation": fu(_count_reconciliation),
         "reconciliation_totals": fu(lambda b: integrity.reconciliation_totals(
             _count_reconciliation(b))),
@@ -306,6 +329,7 @@ def build() -> dict[str, Query]:
         "reference_id_diff": fu(_id_diff),
         # quantiles
         "duration_quantiles": ev(_quantiles_by_type),
+        "quantiles_by_scans": ev(_quantiles_by_scans),
         "quantile_histogram": ev(lambda b: quantiles.value_histogram(
             b.table("events"), ["event_type"], "value")),
         # KPI
