@@ -107,7 +107,7 @@ def test_a_huge_document_stops_nothing(spark):
     assert plan.dealt.sum(axis=0).tolist() == [p.quota for p in plan.sources]
 
 
-def test_rows_that_share_an_id_count_whole(spark):
+def test_rows_that_share_an_id_are_parted(spark):
     table = _sources_with_one_huge_document(spark).where("source < 'c'")
     twice = table.union(table.where("length(text) < 500"))
     plan = mixing.plan_mix(twice, weights=(1,), block_words=2000)
@@ -115,7 +115,34 @@ def test_rows_that_share_an_id_count_whole(spark):
     for p in plan.sources:
         own = [r for r in rows if r.source == p.source]
         assert abs(sum(r.w * r.mix_copies for r in own) - p.target) <= 0.002 * p.target
-        assert len({(r.doc_id, r.mix_copies) for r in own}) == len({r.doc_id for r in own})
+
+
+def test_a_source_of_copies_meets_its_target(spark):
+    """Forty equal rows of ten words, 600 words wanted; and a source whose copies lie in many tasks."""
+    rows = [(1, "w " * 10, "a", i % 3) for i in range(40)] + [(2 + i % 4, f"t{i % 4} " + "w " * 9, "b", i) for i in range(4000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, extra long").repartition(7)
+    plan = mixing.plan_mix(table, weights=(1,), block_words=200)
+    got = mixing.assign(table.withColumn("w", word_count(F.col("text"))), plan).collect()
+    assert Counter((r.doc_id, r.extra) for r in got) == Counter((r[0], r[3]) for r in rows)
+    for p in plan.sources:
+        own = [r for r in got if r.source == p.source]
+        assert abs(sum(r.w * r.mix_copies for r in own) - p.target) <= 10
+        assert all(r.mix_copies in (1, 2) and len(r.mix_shards) == r.mix_copies for r in own)
+    again = mixing.assign(table.withColumn("w", word_count(F.col("text"))).repartition(3), mixing.plan_mix(table, weights=(1,), block_words=200)).collect()
+    assert Counter((r.doc_id, r.mix_copies) for r in again) == Counter((r.doc_id, r.mix_copies) for r in got)
+
+
+def test_long_runs_of_copies_unfold_whole(spark):
+    units = spark.createDataFrame([("a", 5, 70, 7), ("a", 6, 4, 1), (None, 5, 0, 3)], "source string, hash long, size long, n long")
+    got = Counter((r.source, r["size"]) for r in mixing._one_by_one(units, chunk=3).collect())
+    assert got == {("a", 10): 7, ("a", 4): 1, (None, 0): 3}
+    assert mixing._one_by_one(units, chunk=3).select("source", "hash").distinct().count() == 11
+
+
+def test_columns_named_like_the_mix_pass_through(spark):
+    table = spark.createDataFrame([(i, "w " * 30, "a", f"n{i}") for i in range(9)], "doc_id long, text string, source string, mix_note string")
+    rows = mixing.mix(table, mixing.plan_mix(table)).collect()
+    assert {r.mix_note for r in rows} <= {f"n{i}" for i in range(9)} and all(r.mix_note == f"n{r.doc_id}" for r in rows)
 
 
 def test_rows_with_a_null_id_are_parted(spark):

@@ -20,11 +20,12 @@ are ordered by another hash.
 
 Decisions are per source (a row for each of its rounds on the driver: sources are the components of
 the mix) and apply to a document through its hash and size, so texts are never shuffled to decide.
-Only where rows share a hash, their common size is looked up.
+Rows that share id and text are numbered, and each has a hash of its own number: n copies are parted
+like n documents. The numbers run over the tasks that met the copies, so no task numbers them all.
 
 Defined results: a null text has size 0; sizes of 0 are taken 0 words; a null source is a source of
-its own, last in order; the hash is of doc_id and text, so rows that share an id are parted
-and only rows that share both are taken together; a null doc_id is an id; an empty table gives an empty mix. Other columns pass through.
+its own, last in order; the hash is of doc_id, text and copy, so rows that share an id are parted, and so
+are rows that share both, which of them being left open; a null doc_id is an id; an empty table gives an empty mix. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ from pyspark.sql import functions as F
 
 from tripgauge.llm.common import settled, word_count
 
+#: What assign adds and what mix adds to it.
+ASSIGNED, MIXED = ("mix_source_size", "mix_target", "mix_copies", "mix_shards"), ("mix_copy", "mix_shard", "mix_key")
 HASH_SPAN = float(2**63)
 HASH_LAST = 2**63 - 1
 
@@ -122,7 +125,7 @@ class MixPlan:
     shards: int
     seed: int
     dealt: np.ndarray = field(repr=False)  # shards x sources
-    repeated: DataFrame | None = field(default=None, repr=False)  # common size of rows that share a hash
+    repeated: DataFrame | None = field(default=None, repr=False)  # sources and hashes that several rows share
 
     def frame(self, spark) -> DataFrame:
         rows = [(p.source, i, p.size, float(p.target), p.passes, p.cut_hash, list(p.stretches), p.extra_hash, p.blocks,
@@ -136,6 +139,39 @@ def _hash(seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(seed)), 1)
 
 
+def _copy_hash(hashed: Column, copy: Column) -> Column:
+    """The hash of one of several rows that share `hashed`, by its number from 1."""
+    return F.shiftrightunsigned(F.xxhash64(hashed, copy), 1)
+
+
+def _one_by_one(units: DataFrame, chunk: int = 100_000) -> DataFrame:
+    """A row per document: units of n rows become n units. Long runs are dealt out before they unfold."""
+    single, many = units.where("n = 1").select("source", "hash", "size"), units.where("n > 1")
+    runs = many.select("*", F.explode(F.expr(f"sequence(0L, n - 1, {chunk}L)")).alias("first")).repartition("hash", "first")
+    each = runs.select("source", "hash", (F.col("size") / F.col("n")).cast("long").alias("size"),
+                       F.explode(F.expr(f"sequence(first + 1, least(first + {chunk}, n))")).alias("copy"))
+    return single.unionByName(each.select("source", _copy_hash(F.col("hash"), F.col("copy")).alias("hash"), "size"))
+
+
+def _numbered(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """rows (_doc, _own, _hash) with a hash for each copy of rows that share one.
+
+    Shared rows are written with the number of the task that met them; a copy's number is its place
+    there after all copies of the tasks before, so that n rows get the numbers 1 to n exactly.
+    """
+    shared = F.col("_own").eqNullSafe(F.col("_unit_source")) & (F.col("_hash") == F.col("_unit_hash"))
+    alone = rows.join(repeated, shared, "left_anti")
+    met = settled(rows.join(repeated, shared, "left_semi").withColumn("_met", F.spark_partition_id()), "mix-copies")
+    unit = ["_own", "_hash"]
+    counts = met.groupBy(*unit, "_met").agg(F.count(F.lit(1)).alias("_there"))
+    upto = Window.partitionBy(*unit).orderBy("_met").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*(F.col(c).alias(f"{c}_") for c in (*unit, "_met")), F.coalesce(F.sum("_there").over(upto), F.lit(0)).alias("_before"))
+    placed = met.withColumn("_place", F.row_number().over(Window.partitionBy(*unit, "_met").orderBy(F.lit(1))))
+    same = F.col("_own").eqNullSafe(F.col("_own_")) & (F.col("_hash") == F.col("_hash_")) & (F.col("_met") == F.col("_met_"))
+    copy = (F.col("_before") + F.col("_place")).cast("long")
+    return alone.unionByName(placed.join(before, same).select("_doc", "_own", _copy_hash(F.col("_hash"), copy).alias("_hash")))
+
+
 def _part(hashed: Column, parts: Column) -> Column:
     """The equal range of the hash space, of `parts` many, that holds the hash."""
     return F.least(F.floor(hashed.cast("double") / HASH_SPAN * parts), parts - 1).cast("long")
@@ -178,8 +214,12 @@ def plan_mix(docs: DataFrame, seed: int = 17, block_words: int = 16_384, shard_w
     spark = docs.sparkSession
     sized = docs.select(F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
                         _hash(seed).alias("hash"))
-    units = settled(sized.groupBy("source", "hash").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")), "mix-sizes")
-    totals = units.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"), F.max("n").alias("most")).collect()
+    grouped = settled(sized.groupBy("source", "hash").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")), "mix-sizes")
+    repeated, units = None, grouped
+    if not grouped.where("n > 1").isEmpty():
+        repeated = grouped.where("n > 1").select(F.col("source").alias("_unit_source"), F.col("hash").alias("_unit_hash"))
+        units = settled(_one_by_one(grouped), "mix-units")
+    totals = units.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
     sizes = {r.source: r["size"] for r in totals}
     targets = target_words(sizes, weights, share, most)
     counted = {r.source: r.n for r in totals}
@@ -228,9 +268,6 @@ def plan_mix(docs: DataFrame, seed: int = 17, block_words: int = 16_384, shard_w
         plans[s] = replace(p, extra_hash=fillers.get(s), rest_blocks=touched, late_blocks=-(-late.get(s, 0) // block_words))
     chosen = list(plans.values())
     shards = max(min_shards, -(-int(sum(targets.values())) // shard_words))
-    repeated = None
-    if any(p.stretches for p in chosen) and max((r.most for r in totals), default=1) > 1:
-        repeated = units.where("n > 1").select(F.col("source").alias("_unit_source"), F.col("hash").alias("_unit_hash"), F.col("size").alias("_unit_size"))
     return MixPlan(chosen, shards, seed, splitting_tree([p.quota for p in chosen], shards, seed), repeated)
 
 
@@ -273,11 +310,10 @@ def _assigned(docs: DataFrame, plan: MixPlan, hashed: Column, size) -> DataFrame
     """assign for rows whose hash is given and whose size is a function of the row's struct."""
     parts = plan.frame(docs.sparkSession)  # one row per source
     rows = docs.select(F.struct("*").alias("_doc"), F.col("source").cast("string").alias("_own"), hashed.alias("_hash"))
+    if plan.repeated is not None:
+        rows = _numbered(rows, plan.repeated)
     df = rows.join(parts, F.col("_own").eqNullSafe(F.col("_source")))
     size = size(F.col("_doc"))
-    if plan.repeated is not None:
-        df = df.join(plan.repeated, F.col("_own").eqNullSafe(F.col("_unit_source")) & (F.col("_hash") == F.col("_unit_hash")), "left")
-        size = F.coalesce("_unit_size", size)
     early = F.col("_hash") <= F.col("_cut_hash")
     # the size is looked at only behind the first stop
     late = F.when(early | (F.size("_stretches") == 0), F.lit(False)).otherwise(_in_stretch(F.col("_hash"), size))
@@ -289,7 +325,7 @@ def _assigned(docs: DataFrame, plan: MixPlan, hashed: Column, size) -> DataFrame
     shards = _shard_lookup(plan)("_index", "_block", "_passes", "_again", "_filler")
     added = {"mix_source_size": F.col("_source_size"), "mix_target": F.col("_target"),
              "mix_copies": F.col("_passes") + (F.col("_again") >= 0).cast("int") + F.col("_filler").cast("int"), "mix_shards": shards}
-    kept = [F.col("_doc")[c].alias(c) for c in docs.columns if c not in added]
+    kept = [F.col("_doc")[c].alias(c) for c in docs.columns if c not in ASSIGNED]
     return df.select(*kept, *(value.alias(name) for name, value in added.items()))
 
 
@@ -303,9 +339,12 @@ def assign(docs: DataFrame, plan: MixPlan) -> DataFrame:
 
 
 def mix(docs: DataFrame, plan: MixPlan) -> DataFrame:
-    """The mix itself: a row per copy, with its shard and its place key inside the shard."""
+    """The mix itself: a row per copy, with its shard and its place key inside the shard.
+
+    Adds mix_copy, mix_shard and mix_key; columns that have these names or those of assign are replaced.
+    """
     rows = assign(docs, plan)
-    own = [c for c in docs.columns if c in rows.columns and not c.startswith("mix_")]
+    own = [c for c in docs.columns if c not in (*ASSIGNED, *MIXED)]
     return rows.select(*own, F.posexplode("mix_shards").alias("mix_copy", "mix_shard")).withColumn(
         "mix_key", F.xxhash64("doc_id", "text", "mix_copy", F.lit(plan.seed + 1)))
 
