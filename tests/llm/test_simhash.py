@@ -44,11 +44,11 @@ def near_prints(count, seed):
     return np.unique(np.array(out[:count], dtype=np.uint64)).view(np.int64)
 
 
-@pytest.mark.parametrize("bits,bands", [(4, 3), (4, 1), (2, 3), (7, 4)])
-def test_trees_find_every_group(spark, bits, bands):
+@pytest.mark.parametrize("bits,bands,block", [(4, 3, 10_000), (4, 3, 60), (4, 1, 200), (2, 3, 10_000), (7, 4, 90)])
+def test_trees_find_every_group(spark, bits, bands, block):
     prints = near_prints(1500, bits)
     df = spark.createDataFrame([(int(p),) for p in prints], "print long")
-    links = simhash.linked_prints(df, bits, bands=bands, shard_rows=100, sample_rows=400)
+    links = simhash.linked_prints(df, bits, bands=bands, shard_rows=100, sample_rows=400, block_rows=block)
     got = {r.node: r.root for r in components(links).collect()}
     u = prints.view(np.uint64)
     i, j = np.nonzero(np.bitwise_count(u[:, None] ^ u[None, :]) <= bits)
@@ -56,6 +56,18 @@ def test_trees_find_every_group(spark, bits, bands):
     assert {n: got.get(n, n) for n in want} == want
 
 
+def test_a_band_that_all_share_is_cut_into_blocks(spark):
+    """Fingerprints that differ in their upper bits only: no tree can part the lowest band."""
+    rnd = random.Random(4)
+    prints = sorted({(rnd.getrandbits(16) << 40) | 12345 for _ in range(900)})
+    df = spark.createDataFrame([(p,) for p in prints], "print long")
+    links = simhash.linked_prints(df, 4, shard_rows=50, sample_rows=100, block_rows=100)
+    assert links.where("u = v").count() == 0
+    got = {r.node: r.root for r in components(links).collect()}
+    want = groups(prints, [(a, b) for i, a in enumerate(prints) for b in prints[i + 1:] if (a ^ b).bit_count() <= 4])
+    assert {n: got.get(n, n) for n in want} == want
+
+
 def test_groups_of_documents(spark):
     base = " ".join(f"word{i}" for i in range(400))
     rows = [(i, base if i % 3 else base + f" tail{i}", "en", "s", 1, 1.0, "x") for i in range(30)]

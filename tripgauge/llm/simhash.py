@@ -126,8 +126,12 @@ def _link_shard(prints: np.ndarray, band: np.ndarray, home: np.ndarray, slack: i
 
 
 def linked_prints(prints: DataFrame, max_bits: int = 4, bands: int = 3, shard_rows: int = 4096, sample_rows: int = 8192,
-                  seed: int = 11) -> DataFrame:
-    """Links (u, v) that connect exactly the distinct fingerprints `print` (long) within max_bits."""
+                  block_rows: int = 16_384, seed: int = 11) -> DataFrame:
+    """Links (u, v) that connect exactly the distinct fingerprints `print` (long) within max_bits.
+
+    A shard with more than block_rows visitors, as where many fingerprints share a band, is cut into
+    blocks: each block of those that live there meets each block of all that visit, a task a pair.
+    """
     spark, slack = prints.sparkSession, max_bits // bands
     n = prints.count()
     drawn = prints.orderBy(F.xxhash64("print", F.lit(seed)), "print").limit(sample_rows).collect()
@@ -158,11 +162,17 @@ def linked_prints(prints: DataFrame, max_bits: int = 4, bands: int = 3, shard_ro
         values, home = signed.view(np.uint64), frame["home"].to_numpy()[order]
         label = np.arange(len(values))
         _link_shard(values, values & np.uint64(mask_of[key[0]]), home, slack, max_bits, label)
-        moved = label != np.arange(len(label))
+        moved = signed != signed[label]  # in a block of a large shard a fingerprint may stand twice
         return pd.DataFrame({"u": signed[moved], "v": signed[label[moved]]})
 
-    routed = prints.mapInPandas(route, "shard int, print long, home boolean")
-    return routed.groupBy("shard").applyInPandas(link, "u long, v long")
+    routed = settled(prints.mapInPandas(route, "shard int, print long, home boolean"), "simhash-shards")
+    blocks = lambda n: F.ceil(n / block_rows).cast("int")
+    sizes = routed.groupBy("shard").agg(blocks(F.count_if("home")).alias("homes"), blocks(F.count(F.lit(1))).alias("guests"))
+    pairs = F.expr("""inline(CASE WHEN guests = 1 THEN array(named_struct('i', 0, 'j', 0, 'home', home)) ELSE concat(
+        transform(filter(sequence(0, guests - 1), x -> home), x -> named_struct('i', int(pmod(xxhash64(print, 1), homes)), 'j', x, 'home', true)),
+        transform(sequence(0, homes - 1), x -> named_struct('i', x, 'j', int(pmod(xxhash64(print, 2), guests)), 'home', false))) END)""")
+    met = routed.join(sizes.where("homes > 0"), "shard").select("shard", "print", F.col("home").alias("home"), "homes", "guests")
+    return met.select("shard", "print", pairs).groupBy("shard", "i", "j").applyInPandas(link, "u long, v long")
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
