@@ -55,3 +55,17 @@ def test_empty_and_whole_table(spark, tmp_path):
     rows = warc.op5_warc(spark, "/root/testdata/sf0.001").collect()
     assert {r.page_id: (r.payload_bytes, r.payload_digest) for r in rows} == {k: (len(v), hashlib.sha1(v).hexdigest()) for k, v in pages.items()}
     assert len(rows) == len(pages)
+
+
+def test_pages_equal_sql(spark, tmp_path, monkeypatch):
+    """The query's SQL over crafted pages and over the small table."""
+    import duckdb
+
+    from tripgauge.llm.oracle import WARC
+
+    spark.createDataFrame(PAGES, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    for folder, files in ((str(tmp_path), "pages.parquet/*.parquet"), ("/root/testdata/sf0.001", "pages.parquet")):
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW pages AS SELECT * FROM '{folder}/{files}'")
+        want = con.execute(f"SELECT page_id, payload_bytes, payload_digest, record_type, refers_to FROM ({WARC})").fetchall()
+        assert sorted(map(repr, map(tuple, warc.op5_warc(spark, folder).collect()))) == sorted(map(repr, want))

@@ -115,6 +115,18 @@ FROM scored LEFT JOIN drawn ON drawn.r = scored.r
 """
 
 
+WARC = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+k AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS kept FROM p),
+r AS (SELECT *, kept IS NOT NULL AND page_id IS DISTINCT FROM kept AS again FROM k)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN kept END AS refers_to
+FROM r
+"""
+
+
 def build() -> dict[str, str]:
-    return {"op8_exact_topk": TOPK, "op10_embedding_dedup": EMBEDDING_DEDUP,
+    return {"op5_warc": WARC, "op8_exact_topk": TOPK, "op10_embedding_dedup": EMBEDDING_DEDUP,
             "op11_fim": FIM, "op12_line_dedup": LINE_DEDUP, "op13_resampling": RESAMPLING}
