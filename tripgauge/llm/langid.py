@@ -116,8 +116,8 @@ def document_probabilities(model: LanguageModel, texts: list[str], batch: int =
     return out / np.maximum(out.sum(axis=1, keepdims=True), 1e-9)
 
 
-def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """docs with lang_pred and lang_score added; columns of these names are replaced."""
+def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """docs with lang_pred and lang_score of the column or field `text` added; columns of these names are replaced."""
 
     @F.pandas_udf("lang_pred string, lang_score double")
     def label(texts: pd.Series) -> pd.DataFrame:
@@ -129,7 +129,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 lang[i], score[i] = model.languages[best], min(1.0, float(line[best]))
         return pd.DataFrame({"lang_pred": lang, "lang_score": score})
 
-    found = docs.withColumn("_label", label("text"))
+    found = docs.withColumn("_label", label(text))
     kept = [c for c in docs.columns if c not in ("lang_pred", "lang_score")]
     return found.select(*kept, "_label.lang_pred", "_label.lang_score")
 

@@ -338,15 +338,24 @@ def assign(docs: DataFrame, plan: MixPlan) -> DataFrame:
     return _assigned(docs, plan, _hash(plan.seed), lambda doc: word_count(doc["text"]))
 
 
+def packed_mix(docs: DataFrame, plan: MixPlan) -> DataFrame:
+    """The mix with every row whole in the struct `doc`, beside mix_copy, mix_shard and mix_key.
+
+    A text is carried once: the place of a copy follows from the row's hash.
+    """
+    rows = docs.select(F.struct("*").alias("doc"), "source", _hash(plan.seed).alias("hash"))
+    taken = _assigned(rows, plan, F.col("hash"), lambda row: word_count(row["doc"]["text"]))
+    copies = taken.select("doc", "hash", F.posexplode("mix_shards").alias("mix_copy", "mix_shard"))
+    return copies.select("doc", "mix_copy", "mix_shard", F.xxhash64("hash", "mix_copy", F.lit(plan.seed + 1)).alias("mix_key"))
+
+
 def mix(docs: DataFrame, plan: MixPlan) -> DataFrame:
     """The mix itself: a row per copy, with its shard and its place key inside the shard.
 
     Adds mix_copy, mix_shard and mix_key; columns that have these names or those of assign are replaced.
     """
-    rows = assign(docs, plan)
     own = [c for c in docs.columns if c not in (*ASSIGNED, *MIXED)]
-    return rows.select(*own, F.posexplode("mix_shards").alias("mix_copy", "mix_shard")).withColumn(
-        "mix_key", F.xxhash64("doc_id", "text", "mix_copy", F.lit(plan.seed + 1)))
+    return packed_mix(docs, plan).select(*(F.col("doc")[c].alias(c) for c in own), *MIXED)
 
 
 def write_mix(docs: DataFrame, plan: MixPlan, path: str) -> None:

@@ -206,14 +206,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8192, seed: int = 9)
     return QualityModel(fit_pu(p, u, prior, draw), model.centre, model.scale, prior)
 
 
-def score(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """docs with the column quality_score, 0 to 1, added or replaced."""
+def score(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
+    """docs with the column quality_score, 0 to 1, of the column or field `text` added or replaced."""
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
         return pd.Series(model.score(texts.tolist()))
 
-    return docs.withColumn("quality_score", scored("text"))
+    return docs.withColumn("quality_score", scored(text))
 
 
 def op7_quality(spark, sf_dir: str, threshold: float = 0.3) -> DataFrame:
