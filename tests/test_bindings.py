@@ -1,7 +1,11 @@
 """The order lines as trips, over rows of the test's own."""
 
+import os
+
+from tripgauge.operators import rules
 from tripgauge.plans import bindings
 from tripgauge.plans.bindings import Fulfilment
+from tripgauge.sources.tables import FOLDER, in_month_order, read_months, write_months
 
 
 def _tables(spark, path):
@@ -47,3 +51,47 @@ def test_rows_for_month_tables_keep_sparks_partitions(spark, tmp_path, monkeypat
     b = Fulfilment(spark, _tables(spark, tmp_path))
     assert "REPARTITION_BY_NUM" not in b.raw_for_months._jdf.queryExecution().executedPlan().toString()
     assert _rows(b.raw_for_months) == _rows(b.raw)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("\n")
+
+
+def _below(plan, wanted):
+    """The subtree of the first node that has this text."""
+    at = next(i for i, line in enumerate(plan) if wanted in line)
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    end = next((i for i in range(at + 1, len(plan)) if depth[i] <= depth[at]), len(plan))
+    return "\n".join(plan[at:end])
+
+
+def test_customers_meet_orders_and_never_shuffle_lines(spark, tmp_path):
+    b = Fulfilment(spark, _tables(spark, tmp_path))
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = _below(_plan(b.lines), "hashpartitioning(o_custkey")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert "o_orderkey" in moved and "l_orderkey" not in moved
+
+
+def test_month_tables_sort_lines_and_not_staged_rows(spark, tmp_path):
+    b = Fulfilment(spark, _tables(spark, tmp_path))
+    staged = rules.stage(b.raw_by_folder, b.contract)
+    assert not staged.schema[FOLDER].nullable
+    below = _below(_plan(staged), f"Sort [{FOLDER}")
+    assert "SortMergeJoin" in below and "fail_reasons" not in below and "t_seconds" not in below
+    write_months(staged, f"{tmp_path}/by-folder")
+    write_months(rules.stage(b.raw, b.contract), f"{tmp_path}/plain")
+    found = read_months(spark, f"{tmp_path}/by-folder")
+    assert _rows(found) == _rows(read_months(spark, f"{tmp_path}/plain").select(found.columns)) and FOLDER not in found.columns
+
+
+def test_months_that_are_null_or_empty_keep_their_folder(spark, tmp_path):
+    rows = spark.createDataFrame([(i, m) for i, m in enumerate([None, "2020-02", "", "2020-01", None, "2020-02", ""])], "id long, month string")
+    write_months(in_month_order(rows.coalesce(1), "month"), f"{tmp_path}/sorted")
+    write_months(rows.coalesce(1), f"{tmp_path}/plain")
+    assert _rows(read_months(spark, f"{tmp_path}/sorted")) == _rows(read_months(spark, f"{tmp_path}/plain"))
+    folders = [sorted(f for f in os.listdir(f"{tmp_path}/{name}") if f.startswith("month")) for name in ("sorted", "plain")]
+    assert folders[0] == folders[1] and len(folders[0]) == 3
