@@ -1,11 +1,12 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from compare import difference, oracle_connection
 
 from helpers import groups
-from tripgauge.llm import embedding_dedup, oracle, topk
+from tripgauge.llm import common, embedding_dedup, oracle, topk
 
 SF = "/root/testdata/sf0.001"
 NAN, INF = float("nan"), float("inf")
@@ -69,6 +70,62 @@ def test_links_against_every_pair(spark, size):
     assert {r.vec_id: r.component_id for r in got} == groups(degree, links) and all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_visited_cells_are_not_sent_copies(spark, tmp_path, monkeypatch):
+    """Vectors without clusters visit most cells: what is written holds each vector a fixed number of times, whatever the number of cells."""
+    rnd = random.Random(9)
+    rows = [(i, [rnd.gauss(0, 1) for _ in range(24)], i % 7 // 6, "x") for i in range(1400)]
+    rows += [(2000 + i, [x + rnd.gauss(0, 0.02) for x in rows[i % 5][1]], rows[i % 5][2], "x") for i in range(90)]
+    purposes = []
+
+    def scratch_dir(_, purpose):
+        purposes.append(purpose)
+        return str(tmp_path / f"{purpose}-{len(purposes)}")
+
+    for module in (common, embedding_dedup):
+        monkeypatch.setattr(module, "scratch_dir", scratch_dir, raising=False)
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), cell_rows=16, block_rows=64).collect()
+    written = {p.name.rpartition("-")[0]: spark.read.parquet(str(p)).count() for p in tmp_path.iterdir() if p.name.startswith("cosine-")}
+    assert written["cosine-cells"] == len(rows) and max(written.values()) == len(rows)
+    v = np.array([r[1] for r in rows], dtype=np.float32).astype(float)
+    v /= np.sqrt((v**2).sum(axis=1))[:, None]
+    label = np.array([r[2] for r in rows])
+    linked = (v @ v.T >= 0.93) & (label[:, None] == label[None, :]) & ~np.eye(len(v), dtype=bool)
+    ids = [r[0] for r in rows]
+    assert linked.sum() > 1000 and {r.vec_id: r.n_links for r in got} == dict(zip(ids, linked.sum(axis=1).tolist()))
+    assert {r.vec_id: r.component_id for r in got} == groups(ids, [(ids[a], ids[b]) for a, b in zip(*np.nonzero(linked))])
+
+
+def test_cells_send_a_row_once():
+    """A task that finds cells gives a row for each it got, and holds no copies of its vectors."""
+    import pandas as pd
+
+    draw = np.random.default_rng(4)
+    centres = embedding_dedup.unit(draw.normal(size=(300, 16)))
+    frame = pd.DataFrame({"node": np.arange(5000), "label": "a", "copies": 1, "v": list(draw.normal(size=(5000, 16)))})
+    out = pd.concat(embedding_dedup._homes(centres)(iter([frame, frame.iloc[:0]])))
+    assert len(out) == 5000 and (out["cell"].to_numpy() == (np.stack(frame["v"]) @ centres.T).argmax(axis=1)).all()
+
+
+def test_links_in_many_small_and_one_large_label(spark):
+    """Labels of one block and of many, an id with several vectors, rows of one long group, vectors at both sides of a block's end."""
+    rnd = random.Random(3)
+    rows = [(i, [math.cos(i / 16), math.sin(i / 16), rnd.random() / 50], 0, "x") for i in range(240)]
+    rows += [(1000 + i, [1.0, i % 5 / 10, 0.5], 1 + i // 4, "x") for i in range(80)] + [(3, [0.0, 0.0, 5.0], 0, "x"), (7, [0.1, 0.0, 5.0], 0, "x")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, score string")
+    whole = sorted(tuple(r) for r in embedding_dedup.near_duplicates(table).collect())
+    for size in (dict(cell_rows=20, block_rows=30, own_blocks=1, read_blocks=3), dict(cell_rows=100, block_rows=20, own_blocks=3, read_blocks=5)):
+        assert sorted(tuple(r) for r in embedding_dedup.near_duplicates(table, **size).collect()) == whole
+    v = np.array([r[1] for r in rows])
+    v /= np.sqrt((v**2).sum(axis=1))[:, None]
+    label, ids = np.array([r[2] for r in rows]), np.array([r[0] for r in rows])
+    linked = (v @ v.T >= 0.93) & (label[:, None] == label[None, :]) & (ids[:, None] != ids[None, :])
+    degree = {i: 0 for i in ids.tolist()}
+    for i, n in zip(ids.tolist(), linked.sum(axis=1).tolist()):
+        degree[i] += n
+    got = groups(ids.tolist(), [(int(ids[a]), int(ids[b])) for a, b in zip(*np.nonzero(linked))])
+    assert all(r[1] == degree[r[0]] and r[2] == got[r[0]] for r in whole)
+
+
 def test_links_awkward_rows(spark):
     table = spark.createDataFrame(ODD, SCHEMA)
     got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(table).collect()), key=repr)

@@ -4,12 +4,18 @@ Equal vectors of a label are one node with a count, so copies never meet each ot
 from spherical k-means over a bounded sample. A vector lives in the cell of its nearest centre and
 visits every cell that could hold a vector within the threshold: if x lives with centre a and y with
 b, the arc from y to x crosses the plane between a and b, so y's height above that plane is at most
-the sine of the largest angle. So each vector meets, in its own cell, all vectors that it may link
-with, and what the cells find is exact.
-
-A cell with many rows is cut into blocks, and each block of residents meets each block of rows, as a
-matrix product. A block returns counts and links to the smallest member of each group it found,
-never pairs. The driver holds the sample and the centres (at most `max_cells`).
+the sine of the largest angle. So a vector meets all vectors of its own cell and those of the cells
+that both visit, and what the cells find is exact.
+
+The vectors of a label, in the order of their cells, are cut into blocks: small cells share a block,
+large ones are parted by hash. A label of one block is one group. Of a larger label each block is
+written once, as a file of its own, and no vector is sent to the cells it visits: a task holds a few
+blocks and reads the blocks behind them one at a time. Of two blocks the rows that visit a cell of the
+other meet as a matrix product, in single precision first, with room for its rounding, and again in
+double precision where anything came close. So a task holds a few blocks and one product, whatever
+the number of vectors, cells and visits. It returns counts and links to one member of each group it
+found, never pairs. The driver holds the sample, the centres (at most `max_cells`) and a count of tasks.
+Block files are read through a file system that pyarrow opens (local, HDFS, S3).
 
 Defined results: a vector that is null, zero or holds a null or non-finite component, and one whose
 label is null, links with nothing and is its own component; vectors of different length do not link;
@@ -19,17 +25,22 @@ graph; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from math import ceil
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
+from pyspark.sql.window import Window
 
 from tripgauge.llm.common import settled
 from tripgauge.llm.components import components
 from tripgauge.llm.vectors import drawn, merge_labels, stacked, usable
+from tripgauge.session import scratch_dir
+
+FOUND = "node long, links long, root long"
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -49,77 +60,173 @@ def spherical_kmeans(rows: np.ndarray, cells: int, rounds: int = 8, seed: int =
     return centres
 
 
-def _cells(centres: np.ndarray, sine: float):
-    apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
-
+def _homes(centres: np.ndarray, rows: int = 1024):
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            if not len(frame):
-                continue
-            near = unit(stacked(frame["v"])) @ centres.T
-            home = near.argmax(axis=1)
-            height = near.max(axis=1)[:, None] - near
-            row, cell = np.nonzero(height <= (sine + 1e-9) * apart[home] + 1e-12)
-            yield pd.DataFrame({"node": frame["node"].to_numpy()[row], "label": frame["label"].to_numpy()[row],
-                                "copies": frame["copies"].to_numpy()[row], "v": frame["v"].to_numpy()[row],
-                                "cell": cell.astype("int32"), "home": cell == home[row]})
+            if len(frame):
+                parts = (stacked(frame["v"].iloc[i : i + rows]) for i in range(0, len(frame), rows))
+                yield frame.assign(cell=np.concatenate([(unit(part) @ centres.T).argmax(axis=1) for part in parts]).astype("int32"))
 
     return route
 
 
-def _meet(least: float, room: int = 1 << 22):
-    def meet(key, frame):
-        """Links of the residents in one block with the rows in another, as counts and links to a smallest member."""
-        own, other = frame[frame["resident"]], frame[~frame["resident"]]
-        nodes = np.unique(frame["node"].to_numpy())
-        out = [pd.DataFrame({"node": nodes[:0], "links": nodes[:0], "root": nodes[:0]})]
-        if len(own) and len(other):
-            label, a, b = np.arange(len(nodes)), unit(stacked(own["v"])), unit(stacked(other["v"]))
-            at, to = np.searchsorted(nodes, own["node"]), np.searchsorted(nodes, other["node"])
-            copies, links = other["copies"].to_numpy(), np.zeros(len(own), np.int64)
-            step = max(1, room // len(b))
-            for i in range(0, len(a), step):
-                linked = (a[i : i + step] @ b.T >= least) & (at[i : i + step, None] != to[None, :])
-                links[i : i + step] = linked @ copies
-                x, y = np.nonzero(linked)
-                merge_labels(label, at[i + x], to[y])
-            some, moved = links > 0, label != np.arange(len(nodes))
-            out.append(pd.DataFrame({"node": own["node"].to_numpy()[some], "links": links[some], "root": own["node"].to_numpy()[some]}))
-            out.append(pd.DataFrame({"node": nodes[moved], "links": 0, "root": nodes[label[moved]]}))
-        return pd.concat(out)
-
-    return meet
-
-
-def _linked(nodes: DataFrame, largest: int, least: float, cell_rows: int, max_cells: int, block_rows: int, sample_rows: int, seed: int) -> DataFrame:
+class _Block:
+    """Nodes that live in a few cells: ids, numbers of copies, home cells and unit vectors in both precisions."""
+
+    def __init__(self, nodes: np.ndarray, copies: np.ndarray, cell: np.ndarray, v: np.ndarray):
+        self.nodes, self.copies, self.cell, self.v = nodes, copies, cell, v
+        self.cells, self.single = np.unique(cell), v.astype(np.float32)
+
+    def visitors(self, cells: np.ndarray, centres: np.ndarray, sine: float) -> np.ndarray:
+        """Numbers of the rows that could link with a vector that lives in one of the cells; among many cells it is taken to be all."""
+        if len(cells) > 16:
+            return np.arange(len(self.nodes))
+        there = centres[cells]
+        height = (self.v * centres[self.cell]).sum(axis=1)[:, None] - self.v @ there.T
+        apart = np.sqrt(np.maximum(2 - 2 * centres @ there.T, 0))[self.cell]
+        return np.flatnonzero((height <= (sine + 1e-9) * apart + 1e-12).any(axis=1))
+
+
+def _products(a: _Block, x: np.ndarray, b: _Block, y: np.ndarray, least: float, room: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Which of a's rows x link with which of b's rows y: row numbers, row numbers, a matrix of truth values; at most `room` at a time."""
+    right, slack = b.single[y].T, (a.v.shape[1] + 8) * 2.0**-23  # more than single precision can lose
+    step = max(1, room // max(1, len(y)))
+    for i in range(0, len(x) if len(y) else 0, step):
+        some = x[i : i + step]
+        close = a.single[some] @ right >= least - slack
+        if not close.any():
+            continue
+        p, q = some[close.any(axis=1)], y[close.any(axis=0)]
+        linked = (a.v[p] @ b.v[q].T >= least) & (a.nodes[p][:, None] != b.nodes[q])
+        if linked.any():
+            yield p, q, linked
+
+
+def _join(label: np.ndarray, p: np.ndarray, q: np.ndarray, linked: np.ndarray) -> None:
+    """Give the ends of all links the smaller label: first one link of each row and column, then those that still join two groups."""
+    rows, columns = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+    merge_labels(label, np.concatenate([p[rows], p[linked[:, columns].argmax(axis=0)]]), np.concatenate([q[linked[rows].argmax(axis=1)], q[columns]]))
+    x, y = np.nonzero(linked & (label[p][:, None] != label[q]))
+    merge_labels(label, p[x], q[y])
+
+
+def _meet(own: list[_Block], others: Iterable[tuple[int, _Block]], centres: np.ndarray, sine: float, least: float) -> Iterator[pd.DataFrame]:
+    """Counts, and links to a member of the group, between the blocks `own` and the others, which come numbered.
+
+    Block i of own meets the others with a number of i or more; the other of number i is the block itself.
+    """
+    nodes = np.concatenate([b.nodes for b in own])
+    at = np.cumsum([0, *(len(b.nodes) for b in own)])
+    label, links = np.arange(len(nodes)), np.zeros(len(nodes), np.int64)
+    for number, block in others:
+        both, got = np.concatenate([label, len(nodes) + np.arange(len(block.nodes))]), np.zeros(len(block.nodes), np.int64)
+        for i, mine in enumerate(own[: number + 1]):
+            same, every = i == number, np.arange(len(mine.nodes))
+            visits = (every, every) if same else (mine.visitors(block.cells, centres, sine), block.visitors(mine.cells, centres, sine))
+            for x, y, linked in _products(mine, visits[0], block, visits[1], least):
+                counted = linked.astype(np.float64)  # sums of copies are exact below 2^53
+                links[at[i] + x] += (counted @ block.copies[y]).astype(np.int64)
+                if not same:  # a block with itself has every pair both ways
+                    got[y] += (mine.copies[x] @ counted).astype(np.int64)
+                _join(both, at[i] + x, at[i] + y if same else len(nodes) + y, linked)
+        label, some = both[: len(nodes)], got > 0
+        if some.any():
+            yield pd.DataFrame({"node": block.nodes[some], "links": got[some], "root": nodes[both[len(nodes) :][some]]})
+    some = (links > 0) | (label != np.arange(len(nodes)))
+    yield pd.DataFrame({"node": nodes[some], "links": links[some], "root": nodes[label[some]]})
+
+
+def _within(centres: np.ndarray, sine: float, least: float):
+    def within(frame: pd.DataFrame) -> pd.DataFrame:
+        block = _Block(frame["node"].to_numpy(), frame["copies"].to_numpy(), frame["cell"].to_numpy(), unit(stacked(frame["v"])))
+        return pd.concat(_meet([block], [(0, block)], centres, sine, least))
+
+    return within
+
+
+def _packed(kind: str):
+    def pack(key, frame: pd.DataFrame) -> pd.DataFrame:
+        of = lambda name, kept: frame[name].to_numpy().astype(kept).tobytes()
+        return pd.DataFrame([(*key, of("node", "<i8"), of("copies", "<i8"), of("cell", "<i4"), stacked(frame["v"]).astype(kind).tobytes())],
+                            columns=["label", "slot", "part", "nodes", "copies", "cells", "vectors"])
+
+    return pack
+
+
+def _read(file: str, kind: str) -> _Block:
+    from pyarrow import fs
+    from pyarrow import parquet
+
+    store, path = fs.FileSystem.from_uri(file)
+    row = parquet.read_table(path, filesystem=store, use_threads=False, partitioning=None).to_pylist()[0]
+    nodes = np.frombuffer(row["nodes"], "<i8")
+    v = np.frombuffer(row["vectors"], kind).astype(np.float64).reshape(len(nodes), -1)
+    return _Block(nodes, np.frombuffer(row["copies"], "<i8"), np.frombuffer(row["cells"], "<i4"), unit(v))
+
+
+def _between(kind: str, centres: np.ndarray, sine: float, least: float):
+    def between(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for first, own, begin, others in zip(frame["first"], frame["own"], frame["begin"], frame["others"]):
+                blocks = [_read(file, kind) for file in own]
+                behind = ((begin + j - first, file) for j, file in enumerate(others) if begin + j >= first)
+                read = ((n, blocks[n] if n < len(blocks) else _read(file, kind)) for n, file in behind)
+                yield from _meet(blocks, read, centres, sine, least)
+
+    return between
+
+
+def _linked(nodes: DataFrame, length: int, largest: int, least: float, cell_rows: int, max_cells: int, block_rows: int, sample_rows: int, own_blocks: int,
+            read_blocks: int, seed: int) -> DataFrame:
     """(node, links, root) for vectors of one length; a node may have several rows, whose links add up."""
+    spark, kind = nodes.sparkSession, "<f4" if isinstance(nodes.schema["v"].dataType.elementType, FloatType) else "<f8"
     sample = stacked([r.v for r in drawn(nodes, ["node"], sample_rows, seed).collect()])
-    centres = spherical_kmeans(unit(sample), min(max_cells, ceil(largest / cell_rows)), seed=seed)
-    routed = settled(nodes.mapInPandas(_cells(centres, np.sqrt(1 - least**2)),
-                                       "node long, label string, copies long, v array<double>, cell int, home boolean"), "cosine-cells")
-    sizes = routed.groupBy("label", "cell").agg(F.ceil(F.sum(F.col("home").cast("int")) / block_rows).cast("int").alias("homes"),
-                                               F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("all"))
-    sized = routed.join(sizes.where("homes > 0"), ["label", "cell"])
-    block = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
-    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    residents = sized.where("home").select("label", "cell", block("homes", 1).alias("i"), upto("all").alias("j"), "node", "copies", "v", F.lit(True).alias("resident"))
-    rows = sized.select("label", "cell", upto("homes").alias("i"), block("all", 2).alias("j"), "node", "copies", "v", F.lit(False).alias("resident"))
-    return residents.union(rows).groupBy("label", "cell", "i", "j").applyInPandas(_meet(least), "node long, links long, root long")
+    centres, sine = spherical_kmeans(unit(sample), min(max_cells, ceil(largest / cell_rows)), seed=seed), np.sqrt(1 - least**2)
+    most = max(1, min(block_rows, (1 << 20) // max(1, length)))  # rows of a block: 8 MB in double precision at most
+    routed = settled(nodes.mapInPandas(_homes(centres), f"{nodes.select('label', 'node', 'copies', 'v').schema.simpleString()[7:-1]}, cell int"), "cosine-cells")
+    label = Window.partitionBy("label")
+    sizes = routed.groupBy("label", "cell").count().select(
+        "label", "cell", F.sum("count").over(label).alias("in_label"), F.when(F.col("count") > most, -1 - F.col("cell")).otherwise(
+            F.floor((F.sum("count").over(label.orderBy("cell")) - F.col("count")) / most)).cast("long").alias("slot"), F.ceil(F.col("count") / most).alias("parts"))
+    small = routed.join(sizes.where(F.col("in_label") <= most).select("label", "cell"), ["label", "cell"])
+    found = small.groupBy("label").applyInPandas(_within(centres, sine, least), FOUND)
+    if largest <= most:
+        return found
+    large = routed.join(sizes.where(F.col("in_label") > most), ["label", "cell"])
+    part = F.pmod(F.xxhash64("node", "v", F.lit(1)), F.col("parts")).cast("int")
+    blocks = large.withColumn("part", part).groupBy("label", "slot", "part").applyInPandas(
+        _packed(kind), "label string, slot long, part int, nodes binary, copies binary, cells binary, vectors binary")
+    folder = scratch_dir(spark, "cosine-blocks")
+    blocks.write.option("maxRecordsPerFile", 1).option("parquet.enable.dictionary", "false").parquet(folder)  # a block is a file
+    number = F.row_number().over(label.orderBy("slot", "part")) - 1
+    index = settled(spark.read.schema(blocks.schema).parquet(folder).select(
+        "label", number.alias("number"), F.col("_metadata.file_path").alias("file")), "cosine-index")
+
+    def bundled(size: int, first: str, files: str) -> DataFrame:
+        start = (F.floor(F.col("number") / size) * size).alias(first)
+        listed = F.sort_array(F.collect_list(F.struct("number", "file")))
+        return index.groupBy("label", start).agg(F.transform(listed, lambda x: x["file"]).alias(files))
+
+    tasks = bundled(own_blocks, "first", "own").join(bundled(read_blocks, "begin", "others"), "label").where(
+        F.col("begin") + F.size("others") > F.col("first")).select("first", "own", "begin", "others")
+    tasks = settled(tasks, "cosine-tasks")
+    tasks = tasks.repartition(max(1, min(tasks.count(), 20_000)))
+    return found.union(tasks.mapInPandas(_between(kind, centres, sine, least), FOUND))
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.93, cell_rows: int = 1024, max_cells: int = 1024, block_rows: int = 2048,
-                    sample_rows: int = 16_384, seed: int = 3) -> DataFrame:
+                    sample_rows: int = 16_384, own_blocks: int = 4, read_blocks: int = 256, seed: int = 3) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row of vec_id, embedding and label."""
     spark = vectors.sparkSession
-    doubles = F.transform("embedding", lambda x: x.cast("double"))
+    kept = "float" if isinstance(vectors.schema["embedding"].dataType.elementType, FloatType) else "double"  # computed in doubles
     takes_part = usable("embedding") & F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.exists("embedding", lambda x: x != 0)
     rows = settled(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.when(takes_part, F.col("label").cast("string")).alias("label"),
-                                  F.when(takes_part, doubles).alias("v")), "cosine-vectors")
+                                  F.when(takes_part, F.col("embedding").cast(f"array<{kept}>")).alias("v")), "cosine-vectors")
     nodes = settled(rows.where("v IS NOT NULL").groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "cosine-nodes")
-    found = spark.createDataFrame([], "node long, links long, root long")
+    found = spark.createDataFrame([], FOUND)
     lengths = nodes.groupBy(F.size("v").alias("length"), "label").count().groupBy("length").agg(F.max("count").alias("largest"))
     for length, largest in lengths.collect():  # as a rule one length
-        found = found.union(_linked(nodes.where(F.size("v") == length), largest, least, cell_rows, max_cells, block_rows, sample_rows, seed))
+        found = found.union(_linked(nodes.where(F.size("v") == length), length, largest, least, cell_rows, max_cells, block_rows, sample_rows, own_blocks, read_blocks, seed))
     found = settled(found, "cosine-links")
     groups = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
