@@ -6,7 +6,7 @@ import pytest
 from compare import difference, oracle_connection
 
 from helpers import groups
-from tripgauge.llm import common, embedding_dedup, oracle, topk
+from tripgauge.llm import common, embedding_dedup, oracle, topk, vectors
 
 SF = "/root/testdata/sf0.001"
 NAN, INF = float("nan"), float("inf")
@@ -95,6 +95,18 @@ def test_visited_cells_are_not_sent_copies(spark, tmp_path, monkeypatch):
     assert {r.vec_id: r.component_id for r in got} == groups(ids, [(ids[a], ids[b]) for a, b in zip(*np.nonzero(linked))])
 
 
+def test_wide_rows_are_drawn_from_few(spark, monkeypatch):
+    """The same rows as a sort of the whole table gives; what is sorted for them is little more than them."""
+    table = spark.range(40_000).selectExpr("id % 30000 AS node", "id AS v")
+    asked, sort = [], vectors.drawn
+    monkeypatch.setattr(vectors, "drawn", lambda df, *rest: (asked.append(df.count()), sort(df, *rest))[1])
+    for rows in (1, 100, 5000, 40_000, 50_000):
+        want = [r.node for r in sort(table, ["node"], rows, 3).collect()]
+        assert sorted(r.node for r in vectors.drawn_wide(table, ["node"], rows, 3).collect()) == sorted(want)
+    assert len(asked) == 5 and asked[1] < 200 and asked[2] < 5100 and asked[3:] == [40_000, 40_000]
+    assert vectors.drawn_wide(table.limit(0), ["node"], 5, 3).count() == 0
+
+
 def test_cells_send_a_row_once():
     """A task that finds cells gives a row for each it got, and holds no copies of its vectors."""
     import pandas as pd

@@ -37,7 +37,7 @@ from pyspark.sql.window import Window
 
 from tripgauge.llm.common import settled
 from tripgauge.llm.components import components
-from tripgauge.llm.vectors import drawn, merge_labels, stacked, usable
+from tripgauge.llm.vectors import drawn_wide, merge_labels, stacked, usable
 from tripgauge.session import scratch_dir
 
 FOUND = "node long, links long, root long"
@@ -180,7 +180,7 @@ def _linked(nodes: DataFrame, length: int, largest: int, least: float, cell_rows
             read_blocks: int, seed: int) -> DataFrame:
     """(node, links, root) for vectors of one length; a node may have several rows, whose links add up."""
     spark, kind = nodes.sparkSession, "<f4" if isinstance(nodes.schema["v"].dataType.elementType, FloatType) else "<f8"
-    sample = stacked([r.v for r in drawn(nodes, ["node"], sample_rows, seed).collect()])
+    sample = stacked([r.v for r in drawn_wide(nodes, ["node"], sample_rows, seed).collect()])
     centres, sine = spherical_kmeans(unit(sample), min(max_cells, ceil(largest / cell_rows)), seed=seed), np.sqrt(1 - least**2)
     most = max(1, min(block_rows, (1 << 20) // max(1, length)))  # rows of a block: 8 MB in double precision at most
     routed = settled(nodes.mapInPandas(_homes(centres), f"{nodes.select('label', 'node', 'copies', 'v').schema.simpleString()[7:-1]}, cell int"), "cosine-cells")

@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripgauge.llm.common import settled
+
 
 def usable(name: str) -> Column:
     """True for a vector that is there and has only finite components."""
@@ -18,6 +20,21 @@ def drawn(df: DataFrame, by: list, rows: int, seed: int) -> DataFrame:
     return df.orderBy(F.xxhash64(*by, F.lit(seed)), *by).limit(rows)
 
 
+def drawn_wide(df: DataFrame, by: list, rows: int, seed: int) -> DataFrame:
+    """The rows that drawn gives, written, for wide rows: there each task sends `rows` rows to the driver or to one task.
+
+    Here hashes are counted in ranges first, and only the ranges that hold the rows are sorted. The driver
+    gets 16,384 counts at most.
+    """
+    of_range, held = F.shiftright(F.xxhash64(*by, F.lit(seed)), 50), 0
+    for found, count in sorted(df.groupBy(of_range).count().collect()):
+        held += count
+        if held >= rows:
+            df = df.where(of_range <= found)
+            break
+    return settled(drawn(df, by, rows, seed), "drawn")
+
+
 def stacked(column) -> np.ndarray:
     """A pandas column of equally long arrays as a matrix of doubles."""
     return np.stack([np.asarray(v, dtype=np.float64) for v in column]) if len(column) else np.zeros((0, 0))
